@@ -84,7 +84,10 @@ def json_kind(v: Column) -> Column:
         .when(s == "VOID", "NoneType")
         .when(s == "BOOLEAN", "bool")
         .when(s.isin("BIGINT", "INT", "SMALLINT", "TINYINT"), "int")
-        .when(s.startswith("DECIMAL") & s.endswith(",0)"), "int")
+        # the parser keeps integer tokens as BIGINT and normalizes decimal
+        # tokens ("181.0" -> DECIMAL(3,0)); only integers beyond the long
+        # range come out as wide scale-0 decimals
+        .when(s.rlike(r"^DECIMAL\((19|[2-3][0-9]),0\)$"), "int")
         .when(s.startswith("DECIMAL") | s.isin("DOUBLE", "FLOAT"), "float")
         .when(s == "STRING", "str")
         .when(s.startswith("OBJECT"), "dict")
@@ -138,6 +141,45 @@ def _contract(
     return F.when(is_object, problems).otherwise(F.array(F.lit(not_object_msg)))
 
 
+def with_contract(
+    df: DataFrame,
+    raw: str,
+    out: str = "problems",
+    kinds=CONTRACT_KINDS,
+    not_object_msg: str = MSG_NOT_OBJECT_TXN,
+    nullable: bool = True,
+    check_type_values: bool = True,
+) -> DataFrame:
+    """Frame form of the contract check: parse once, one kind column per
+    field, then the message array. Staged projections keep each generated
+    method small (whole-stage codegen stays on) and compute every kind once."""
+    staged = df.withColumn("_v", F.try_parse_json(F.col(raw)))
+    kind_cols = {f"_k_{f}": json_kind(F.try_variant_get(F.col("_v"), f"$.{f}", "variant")) for f, _ in kinds}
+    kind_cols["_obj"] = F.coalesce(F.schema_of_variant(F.col("_v")).startswith("OBJECT"), F.lit(False))
+    if check_type_values:
+        kind_cols["_ttext"] = F.try_variant_get(F.col("_v"), "$.type", "string")
+        kind_cols["_tjson"] = F.to_json(F.try_variant_get(F.col("_v"), "$.type", "variant"))
+    staged = staged.withColumns(kind_cols)
+    items = []
+    for field, expected in kinds:
+        kind = F.col(f"_k_{field}")
+        items.append(F.when(kind.isNull(), F.lit(MSG_MISSING_FIELD.format(field=field))))
+        items.append(
+            F.when(
+                kind.isNotNull() & ~_accepts(expected, kind, nullable),
+                F.concat(F.lit(f"field {field}: expected {expected}, got "), kind),
+            )
+        )
+    if check_type_values:
+        tkind, text = F.col("_k_type"), F.col("_ttext")
+        shown = F.when(tkind == "str", F.concat(F.lit("'"), text, F.lit("'"))).otherwise(F.col("_tjson"))
+        unknown = tkind.isNotNull() & (tkind != "NoneType") & ~((tkind == "str") & text.isin(*TXN_TYPES))
+        items.append(F.when(unknown, F.concat(F.lit(MSG_UNKNOWN_TYPE.format(value="")), shown)))
+    problems = F.filter(F.array(*items), lambda x: x.isNotNull())
+    result = staged.withColumn(out, F.when(F.col("_obj"), problems).otherwise(F.array(F.lit(not_object_msg))))
+    return result.drop("_v", "_obj", "_ttext", "_tjson", *[f"_k_{f}" for f, _ in kinds])
+
+
 def txn_contract(raw: Column | str) -> Column:
     """Contract problems of a raw transaction message (empty = valid).
 

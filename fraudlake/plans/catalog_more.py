@@ -1 +1,951 @@
-"""Further registered queries (filled in operator by operator)."""
+"""Registered queries beyond the medallion slice, each with its DuckDB oracle."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from fraudlake.functions import quality
+from fraudlake.functions.alias import account_alias
+from fraudlake.functions.features import balance_features, scoring_features
+from fraudlake.operators import erasure, evaluate as ev, fanin, monitor, score, split
+from fraudlake.plans import oracle_views  # noqa: F401  (registers the views)
+from fraudlake.plans import pipeline as P
+from fraudlake.plans.catalog import register
+from fraudlake.plans.oracle import REJECTED_PREDICATE, with_views
+from fraudlake.schemas import FEATURES, TXN_TYPES
+from fraudlake.sources import fixtures
+from fraudlake.sources.fixtures import FIXTURE_PEPPER
+from fraudlake.sources import txn as txn_source
+
+D = "CAST({} AS DOUBLE)".format
+
+# --- 2.4 quality ------------------------------------------------------------------
+
+
+@register("F1_dq_reject", with_views(f"SELECT seq, {REJECTED_PREDICATE} AS rejected FROM transactions", "transactions"))
+def q_f1(spark, sf):
+    return P.transactions(spark, sf).select("seq", quality.dq_rejected().alias("rejected"))
+
+
+@register(
+    "F2_dq_reasons",
+    with_views(
+        "SELECT seq, CAST(len(reasons) AS INTEGER) AS n_reasons, array_to_string(reasons, '; ') AS reasons_text FROM reasoned",
+        "reasoned",
+    ),
+)
+def q_f2(spark, sf):
+    r = P.reasoned(spark, sf)
+    return r.select("seq", F.size("reasons").alias("n_reasons"), F.concat_ws("; ", "reasons").alias("reasons_text"))
+
+
+@register(
+    "F3_dq_split",
+    with_views(
+        "SELECT CASE WHEN len(reasons) = 0 THEN 'accepted' ELSE 'rejected' END AS outcome, count(*) AS rows "
+        "FROM reasoned GROUP BY 1",
+        "reasoned",
+    ),
+)
+def q_f3(spark, sf):
+    r = P.reasoned(spark, sf)
+    return r.groupBy(F.when(F.size("reasons") == 0, "accepted").otherwise("rejected").alias("outcome")).agg(
+        F.count(F.lit(1)).alias("rows")
+    )
+
+
+def _messages_sql() -> str:
+    cols = ["step", "type", "amount", "nameOrig", "oldbalanceOrg", "newbalanceOrig", "nameDest",
+            "oldbalanceDest", "newbalanceDest", "isFraud", "isFlaggedFraud"]
+
+    def obj(over: dict | None = None, drop: str | None = None) -> str:
+        over = over or {}
+        parts = [f"'{c}', {over.get(c, c)}" for c in cols if c != drop]
+        return f"json_object({', '.join(parts)})::VARCHAR"
+
+    body = obj()
+    return f"""SELECT seq, CASE
+      WHEN seq % 307 = 0 THEN '"' || nameOrig || '"'
+      WHEN seq % 211 = 0 THEN substr({body}, 1, 40)
+      WHEN seq % 97 = 0 THEN replace({body}, '"oldbalanceOrg":', '"oldbalanceOrig":')
+      WHEN seq % 89 = 0 THEN {obj({'amount': 'CAST(amount AS VARCHAR)'})}
+      WHEN seq % 83 = 0 THEN {obj({'type': "'REFUND'"})}
+      WHEN seq % 79 = 0 THEN {obj(drop='nameDest')}
+      WHEN seq % 71 = 0 THEN {obj({'step': 'CAST(step AS DOUBLE)'})}
+      ELSE {body} END AS value
+    FROM transactions"""
+
+
+def _kind_sql(path: str) -> str:
+    jt = f"json_type(v, '{path}')"
+    return (f"CASE WHEN {jt} IS NULL THEN NULL WHEN {jt} = 'NULL' THEN 'NoneType' WHEN {jt} = 'BOOLEAN' THEN 'bool' "
+            f"WHEN {jt} IN ('BIGINT','UBIGINT','HUGEINT') THEN 'int' WHEN {jt} = 'DOUBLE' THEN 'float' "
+            f"WHEN {jt} = 'VARCHAR' THEN 'str' WHEN {jt} = 'OBJECT' THEN 'dict' WHEN {jt} = 'ARRAY' THEN 'list' ELSE {jt} END")
+
+
+def _contract_sql(kinds, not_object: str, nullable: bool, check_type: bool) -> str:
+    items = []
+    for field, expected in kinds:
+        k = _kind_sql(f"$.{field}")
+        ok = [f"({k}) = '{expected}'"]
+        if expected == "int":
+            ok.append(f"({k}) = 'bool'")
+        if nullable:
+            ok.append(f"({k}) = 'NoneType'")
+        items.append(f"CASE WHEN ({k}) IS NULL THEN 'missing field: {field}' END")
+        items.append(f"CASE WHEN ({k}) IS NOT NULL AND NOT ({' OR '.join(ok)}) "
+                     f"THEN 'field {field}: expected {expected}, got ' || ({k}) END")
+    if check_type:
+        tk = _kind_sql("$.type")
+        types = ", ".join(f"'{t}'" for t in TXN_TYPES)
+        items.append(
+            f"CASE WHEN ({tk}) IS NOT NULL AND ({tk}) <> 'NoneType' AND NOT (({tk}) = 'str' AND json_extract_string(v, '$.type') IN ({types})) "
+            f"THEN 'unknown type: ' || CASE WHEN ({tk}) = 'str' THEN '''' || json_extract_string(v, '$.type') || '''' "
+            f"ELSE json_extract(v, '$.type')::VARCHAR END END"
+        )
+    return (f"CASE WHEN coalesce(json_valid(raw), false) AND json_type(CASE WHEN json_valid(raw) THEN raw END) = 'OBJECT' "
+            f"THEN list_filter([{', '.join(items)}], lambda x: x IS NOT NULL) ELSE ['{not_object}'] END")
+
+
+from fraudlake.plans.oracle import add_view  # noqa: E402
+from fraudlake.schemas import ALERT_KINDS, CONTRACT_KINDS  # noqa: E402
+
+add_view("messages", _messages_sql(), ["transactions"])
+add_view(
+    "contract",
+    f"SELECT seq, {_contract_sql(CONTRACT_KINDS, 'transaction is not a dict', True, True)} AS problems "
+    f"FROM (SELECT seq, value AS raw, CASE WHEN json_valid(value) THEN value END AS v FROM messages)",
+    ["messages"],
+)
+
+
+@register(
+    "F6_txn_contract",
+    with_views(
+        "SELECT seq, CAST(len(problems) AS INTEGER) AS n_problems, array_to_string(problems, '; ') AS problems_text FROM contract",
+        "contract",
+    ),
+)
+def q_f6(spark, sf):
+    msgs = fixtures.txn_messages_from_transactions(P.transactions(spark, sf))
+    c = quality.with_contract(msgs, "value", out="p").select("seq", "p")
+    return c.select("seq", F.size("p").alias("n_problems"), F.concat_ws("; ", "p").alias("problems_text"))
+
+
+# S3: decode with the fixed schema; a value of the wrong JSON kind becomes NULL
+def _decoded_sql() -> str:
+    def num(field, kinds, typ):
+        return f"CASE WHEN json_type(v, '$.{field}') IN ({kinds}) THEN CAST(json_extract(v, '$.{field}') AS {typ}) END"
+
+    ints, dbl = "'BIGINT','UBIGINT'", "'BIGINT','UBIGINT','DOUBLE'"
+    s = lambda f: f"CASE WHEN json_type(v, '$.{f}') = 'VARCHAR' THEN json_extract_string(v, '$.{f}') END"
+    return f"""SELECT seq, {num('step', ints, 'INTEGER')} AS step, {s('type')} AS type, {num('amount', dbl, 'DOUBLE')} AS amount,
+      {s('nameOrig')} AS nameOrig, {num('oldbalanceOrg', dbl, 'DOUBLE')} AS oldbalanceOrg,
+      {num('newbalanceOrig', dbl, 'DOUBLE')} AS newbalanceOrig, {s('nameDest')} AS nameDest,
+      {num('oldbalanceDest', dbl, 'DOUBLE')} AS oldbalanceDest, {num('newbalanceDest', dbl, 'DOUBLE')} AS newbalanceDest,
+      {num('isFraud', ints, 'INTEGER')} AS isFraud, {num('isFlaggedFraud', ints, 'INTEGER')} AS isFlaggedFraud
+    FROM (SELECT seq, CASE WHEN json_valid(value) AND json_type(CASE WHEN json_valid(value) THEN value END) = 'OBJECT'
+                 THEN value END AS v FROM messages)"""
+
+
+add_view("decoded", _decoded_sql(), ["messages"])
+
+
+@register("S3_decode_txn", with_views("SELECT * FROM decoded", "decoded"))
+def q_s3(spark, sf):
+    msgs = fixtures.txn_messages_from_transactions(P.transactions(spark, sf))
+    return txn_source.decode_txn(msgs, keep=("seq",), with_ingest_time=False).drop("raw")
+
+
+@register(
+    "F8_account_id_format",
+    with_views(
+        """SELECT candidate AS account_id, coalesce(regexp_full_match(candidate, '^[A-Za-z][0-9]{2,31}$'), false) AS valid
+           FROM (SELECT CASE WHEN user_id % 13 = 0 THEN ''
+                             WHEN user_id % 7 = 0 THEN CAST(user_id + 100 AS VARCHAR)
+                             WHEN user_id % 11 = 0 THEN 'C' || CAST(user_id AS VARCHAR) || '$'
+                             WHEN user_id % 17 = 0 THEN '  C' || lpad(CAST(user_id AS VARCHAR), 9, '0')
+                             WHEN user_id % 19 = 0 THEN 'C'
+                             ELSE 'C' || lpad(CAST(user_id AS VARCHAR), 9, '0') END AS candidate
+                 FROM (SELECT DISTINCT user_id FROM events))""",
+    ),
+)
+def q_f8(spark, sf):
+    u = F.col("user_id")
+    cand = (
+        F.when(u % 13 == 0, F.lit(""))
+        .when(u % 7 == 0, (u + 100).cast("string"))
+        .when(u % 11 == 0, F.concat(F.lit("C"), u.cast("string"), F.lit("$")))
+        .when(u % 17 == 0, F.concat(F.lit("  C"), F.lpad(u.cast("string"), 9, "0")))
+        .when(u % 19 == 0, F.lit("C"))
+        .otherwise(F.concat(F.lit("C"), F.lpad(u.cast("string"), 9, "0")))
+    )
+    users = fixtures.table(spark, sf, "events").select("user_id").distinct()
+    return users.select(cand.alias("account_id")).select("account_id", quality.account_id_valid("account_id").alias("valid"))
+
+
+def _payload_spark(spark, sf):
+    req = fixtures.erasure_requests(spark, sf).withColumn("_n", F.regexp_extract("request_id", r"(\d+)$", 1).cast("long"))
+    n = F.col("_n")
+    value = (
+        F.when(n % 3 == 0, F.to_json(F.struct(F.col("request_id"))))
+        .when(n % 7 == 0, F.concat(F.lit('"'), F.col("account_id"), F.lit('"')))
+        .when(n % 11 == 0, F.to_json(F.struct(F.lit(None).cast("string").alias("account_id"), "request_id"), {"ignoreNullFields": "false"}))
+        .when(n % 13 == 0, F.to_json(F.struct(F.lit("").alias("account_id"), "request_id")))
+        .otherwise(F.to_json(F.struct("account_id", "request_id")))
+    )
+    return req.select("request_id", "account_id", value.alias("value"))
+
+
+_PAYLOAD_SQL = """SELECT request_id, account_id, CASE
+      WHEN n % 3 = 0 THEN json_object('request_id', request_id)::VARCHAR
+      WHEN n % 7 = 0 THEN '"' || account_id || '"'
+      WHEN n % 11 = 0 THEN json_object('account_id', NULL, 'request_id', request_id)::VARCHAR
+      WHEN n % 13 = 0 THEN json_object('account_id', '', 'request_id', request_id)::VARCHAR
+      ELSE json_object('account_id', account_id, 'request_id', request_id)::VARCHAR END AS value
+    FROM (SELECT *, CAST(regexp_extract(request_id, '(\\d+)$', 1) AS BIGINT) AS n FROM erasure_requests)"""
+add_view("payloads", _PAYLOAD_SQL, ["erasure_requests"])
+add_view(
+    "payload_checks",
+    """SELECT request_id, account_id, value,
+        NOT (coalesce(json_valid(value), false) AND json_type(CASE WHEN json_valid(value) THEN value END) = 'OBJECT')
+        OR coalesce(json_type(CASE WHEN json_valid(value) THEN value END, '$.account_id') IS NULL
+           OR json_type(CASE WHEN json_valid(value) THEN value END, '$.account_id') = 'NULL'
+           OR json_extract_string(CASE WHEN json_valid(value) THEN value END, '$.account_id') = '', true) AS bad
+       FROM payloads""",
+    ["payloads"],
+)
+
+
+@register("F9_erasure_payload_check", with_views("SELECT request_id, bad FROM payload_checks", "payload_checks"))
+def q_f9(spark, sf):
+    return _payload_spark(spark, sf).select("request_id", quality.erasure_payload_bad("value").alias("bad"))
+
+
+_EXPECT_SQL = """
+SELECT 'stg_transactions' AS model, 'not_null' AS expectation, 'type' AS column_name, CAST(count(*) FILTER (WHERE type IS NULL) AS BIGINT) AS failures FROM silver
+UNION ALL SELECT 'stg_transactions', 'accepted_values', 'type', CAST(count(*) FILTER (WHERE type IS NOT NULL AND type NOT IN ('CASH_IN','CASH_OUT','DEBIT','PAYMENT','TRANSFER')) AS BIGINT) FROM silver
+UNION ALL SELECT 'stg_transactions', 'not_null', 'amount', CAST(count(*) FILTER (WHERE amount IS NULL) AS BIGINT) FROM silver
+UNION ALL SELECT 'stg_transactions', 'not_null', 'is_fraud', CAST(count(*) FILTER (WHERE is_fraud IS NULL) AS BIGINT) FROM silver
+UNION ALL SELECT 'stg_transactions', 'not_null', 'ingested_at', CAST(count(*) FILTER (WHERE ingested_at IS NULL) AS BIGINT) FROM silver
+UNION ALL SELECT 'gold_transactions', 'not_null', 'type', CAST(count(*) FILTER (WHERE type IS NULL) AS BIGINT) FROM gold
+UNION ALL SELECT 'gold_transactions', 'not_null', 'amount', CAST(count(*) FILTER (WHERE amount IS NULL) AS BIGINT) FROM gold
+UNION ALL SELECT 'gold_transactions', 'not_null', 'is_fraud', CAST(count(*) FILTER (WHERE is_fraud IS NULL) AS BIGINT) FROM gold
+"""
+
+
+@register("F13_F14_expectations", with_views(_EXPECT_SQL, "gold"))
+def q_f13(spark, sf):
+    s = P.silver(spark, sf)
+    g = P.gold(spark, sf)
+    a = quality.expectation_counts(
+        s, not_null=["type", "amount", "is_fraud", "ingested_at"], accepted_values={"type": TXN_TYPES}
+    ).withColumn("model", F.lit("stg_transactions"))
+    b = quality.expectation_counts(g, not_null=["type", "amount", "is_fraud"]).withColumn("model", F.lit("gold_transactions"))
+    return a.unionByName(b).select("model", "expectation", "column_name", "failures")
+
+
+# --- 2.3 projections ----------------------------------------------------------------
+
+@register(
+    "P2_P4_balance_features",
+    with_views(
+        """SELECT seq, oldbalanceOrg - newbalanceOrig AS balance_delta_orig, newbalanceDest - oldbalanceDest AS balance_delta_dest,
+              oldbalanceOrg - newbalanceOrig - amount AS error_balance_orig, oldbalanceDest + amount - newbalanceDest AS error_balance_dest,
+              CAST(oldbalanceOrg > 0 AS INTEGER) AS has_balance_orig, CAST(oldbalanceDest > 0 AS INTEGER) AS has_balance_dest
+           FROM bronze""",
+        "bronze",
+    ),
+)
+def q_p2(spark, sf):
+    b = P.bronze(spark, sf)
+    feats = balance_features("oldbalanceOrg", "newbalanceOrig", "oldbalanceDest", "newbalanceDest", "amount")
+    return b.select("seq", *[v.alias(k) for k, v in feats.items()])
+
+
+@register(
+    "P5_P6_feature_vector",
+    with_views(f"SELECT seq, {', '.join(FEATURES)} FROM scored_live", "scored_live"),
+)
+def q_p6(spark, sf):
+    s = fanin.fan_in_arrival(P.bronze(spark, sf).where(F.col("type").isin("CASH_OUT", "TRANSFER")))
+    return scoring_features(s).select("seq", *FEATURES)
+
+
+@register(
+    "P7_account_alias",
+    with_views("SELECT DISTINCT account_id, account_alias FROM registry", "registry"),
+)
+def q_p7(spark, sf):
+    req = fixtures.erasure_requests(spark, sf)
+    return req.select("account_id").distinct().select("account_id", account_alias("account_id", FIXTURE_PEPPER).alias("account_alias"))
+
+
+@register(
+    "J1_mask_join",
+    with_views("SELECT seq, name_orig, name_dest FROM masked", "masked"),
+)
+def q_j1(spark, sf):
+    from fraudlake.operators.silver import mask_accounts
+
+    return mask_accounts(P.bronze(spark, sf), P.registry(spark, sf)).select("seq", "name_orig", "name_dest")
+
+
+@register(
+    "P9_request_id",
+    with_views(
+        """SELECT account_id, coalesce(CASE WHEN CAST(substr(account_id, 2) AS BIGINT) % 30 = 0 THEN NULL ELSE request_id END,
+              'req-' || substr(sha256(account_id || requested_at), 1, 8)) AS request_id
+           FROM (SELECT account_id, request_id, """ + "strftime(requested_ts, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00'" + """ AS requested_at
+                 FROM erasure_requests)""",
+        "erasure_requests",
+    ),
+)
+def q_p9(spark, sf):
+    req = fixtures.erasure_requests(spark, sf)
+    uid = F.substring("account_id", 2, 20).cast("long")
+    req = req.withColumn("request_id", F.when(uid % 30 == 0, F.lit(None)).otherwise(F.col("request_id")))
+    reg, _ = erasure.build_registry(req, FIXTURE_PEPPER)
+    return reg.select("account_id", "request_id")
+
+
+@register("G3_registry_build", with_views("SELECT * FROM registry", "registry"))
+def q_g3(spark, sf):
+    return P.registry(spark, sf)
+
+
+@register(
+    "O2_ordered_registry",
+    with_views("SELECT request_id, account_alias, requested_at FROM registry ORDER BY requested_at, request_id", "registry"),
+)
+def q_o2(spark, sf):
+    return erasure.ordered_registry(P.registry(spark, sf))
+
+
+@register(
+    "K8_J2_registry_append",
+    with_views(
+        """SELECT n.* FROM (SELECT * FROM registry QUALIFY row_number() OVER (PARTITION BY request_id ORDER BY account_id) = 1) n
+           WHERE NOT EXISTS (SELECT 1 FROM registry e WHERE e.request_id LIKE 'req-dup-%' AND e.request_id = n.request_id)""",
+        "registry",
+    ),
+)
+def q_k8(spark, sf):
+    reg = P.registry(spark, sf)
+    existing = reg.where(F.col("request_id").startswith("req-dup-"))
+    return erasure.registry_new_rows(reg, existing)
+
+
+add_view(
+    "raw_table",
+    "SELECT seq, nameOrig AS name_orig, nameDest AS name_dest, amount FROM bronze",
+    ["bronze"],
+)
+add_view(
+    "cells",
+    """SELECT a.account_id, a.account_alias, CAST(count(c.id) AS BIGINT) AS cells
+       FROM (SELECT DISTINCT account_id, account_alias FROM registry) a
+       LEFT JOIN (SELECT name_orig AS id FROM raw_table UNION ALL SELECT name_dest FROM raw_table) c ON c.id = a.account_id
+       GROUP BY a.account_id, a.account_alias""",
+    ["raw_table", "registry"],
+)
+
+
+def _raw_table(spark, sf):
+    return P.bronze(spark, sf).select("seq", F.col("nameOrig").alias("name_orig"), F.col("nameDest").alias("name_dest"), "amount")
+
+
+@register("G1_erase_cells", with_views("SELECT account_alias, cells AS rows_anonymized FROM cells", "cells"))
+def q_g1(spark, sf):
+    c = erasure.erased_cells(_raw_table(spark, sf), fixtures.erasure_requests(spark, sf), FIXTURE_PEPPER)
+    return c.select("account_alias", F.col("cells").alias("rows_anonymized"))
+
+
+@register(
+    "J3_erase_match",
+    with_views(
+        """SELECT r.account_id, CAST(count(*) AS BIGINT) AS matched_rows
+           FROM raw_table t JOIN (SELECT DISTINCT account_id FROM registry) r
+             ON t.name_orig = r.account_id OR t.name_dest = r.account_id
+           GROUP BY r.account_id""",
+        "raw_table",
+        "registry",
+    ),
+)
+def q_j3(spark, sf):
+    t = _raw_table(spark, sf)
+    ids = erasure.sized_broadcast(fixtures.erasure_requests(spark, sf).select("account_id").distinct())
+    # one row per (row, matched account): both id columns unpivoted, de-duplicated per row
+    cells = t.select("seq", F.explode(F.array_distinct(F.array("name_orig", "name_dest"))).alias("account_id"))
+    hits = cells.join(ids, "account_id", "left_semi")
+    return hits.groupBy("account_id").agg(F.count(F.lit(1)).alias("matched_rows"))
+
+
+@register(
+    "G2_erasure_cascade",
+    with_views(
+        """SELECT q.request_id, c.account_alias, 'erasure_requested' AS status, true AS streaming_purge_published,
+              coalesce(c.cells, 0) AS rows_anonymized,
+              strftime(q.requested_ts, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' AS timestamp
+           FROM erasure_requests q LEFT JOIN cells c ON c.account_id = q.account_id""",
+        "cells",
+    ),
+)
+def q_g2(spark, sf):
+    req = fixtures.erasure_requests(spark, sf)
+    cells = erasure.erased_cells(_raw_table(spark, sf), req, FIXTURE_PEPPER)
+    return erasure.erasure_results(req, cells, published=True)
+
+
+@register(
+    "K9_audit_rows",
+    with_views(
+        """SELECT strftime(q.requested_ts, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' AS timestamp, q.request_id, c.account_alias,
+              true AS streaming_purge_published, coalesce(c.cells, 0) AS rows_anonymized
+           FROM erasure_requests q LEFT JOIN cells c ON c.account_id = q.account_id""",
+        "cells",
+    ),
+)
+def q_k9(spark, sf):
+    return erasure.audit_rows(q_g2(spark, sf))
+
+
+@register(
+    "A16_duplicate_audit",
+    """SELECT CAST(sum(n) AS BIGINT) AS rows, CAST(count(*) AS BIGINT) AS distinct_keys, CAST(sum(n) - count(*) AS BIGINT) AS duplicate_rows
+       FROM (SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2)""",
+)
+def q_a16(spark, sf):
+    return erasure.duplicate_audit(fixtures.table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+@register(
+    "A16_duplicate_offenders",
+    "SELECT l_orderkey, l_linenumber, count(*) AS copies FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1",
+)
+def q_a16b(spark, sf):
+    return erasure.duplicate_offenders(fixtures.table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+@register(
+    "A17_leak_audit",
+    with_views(
+        """SELECT 'bronze' AS layer, 'nameOrig' AS column_name, CAST(count(*) FILTER (WHERE nameOrig IN (SELECT account_id FROM registry)) AS BIGINT) AS leaked_rows, true AS allowed FROM bronze
+           UNION ALL SELECT 'bronze', 'nameDest', CAST(count(*) FILTER (WHERE nameDest IN (SELECT account_id FROM registry)) AS BIGINT), true FROM bronze
+           UNION ALL SELECT 'silver', 'name_orig', CAST(count(*) FILTER (WHERE name_orig IN (SELECT account_id FROM registry)) AS BIGINT), false FROM silver
+           UNION ALL SELECT 'silver', 'name_dest', CAST(count(*) FILTER (WHERE name_dest IN (SELECT account_id FROM registry)) AS BIGINT), false FROM silver""",
+        "silver",
+    ),
+)
+def q_a17(spark, sf):
+    return erasure.leak_audit(
+        {"bronze": (P.bronze(spark, sf), ["nameOrig", "nameDest"]), "silver": (P.silver(spark, sf), ["name_orig", "name_dest"])},
+        P.registry(spark, sf),
+    )
+
+
+# --- 2.7 windows ------------------------------------------------------------------------
+
+_W1_SQL = with_views("SELECT seq, name_dest, step, fan_in_dest_count_24h FROM silver", "silver")
+
+
+@register("W1_fan_in_batch", _W1_SQL)
+def q_w1(spark, sf):
+    return P.silver(spark, sf, scale_form=True).select("seq", "name_dest", "step", "fan_in_dest_count_24h")
+
+
+@register("W1_fan_in_plain", _W1_SQL)
+def q_w1p(spark, sf):
+    return P.silver(spark, sf, scale_form=False).select("seq", "name_dest", "step", "fan_in_dest_count_24h")
+
+
+_W2_SQL = with_views("SELECT seq, nameDest, step, fan_in_dest_count_24h FROM fan_arrival", "fan_arrival")
+
+
+@register("W2_fan_in_arrival", _W2_SQL)
+def q_w2(spark, sf):
+    s = P.bronze(spark, sf).where(F.col("type").isin("CASH_OUT", "TRANSFER"))
+    return fanin.fan_in_arrival(s).select("seq", "nameDest", "step", "fan_in_dest_count_24h")
+
+
+@register("W2_fan_in_arrival_chunked", _W2_SQL)
+def q_w2c(spark, sf):
+    # tiny chunks force the hot-group path (many chunks per destination-step)
+    s = P.bronze(spark, sf).where(F.col("type").isin("CASH_OUT", "TRANSFER"))
+    return fanin.fan_in_arrival(s, chunk_rows=7).select("seq", "nameDest", "step", "fan_in_dest_count_24h")
+
+
+@register("W2_fan_in_arrival_plain", _W2_SQL)
+def q_w2p(spark, sf):
+    s = P.bronze(spark, sf).where(F.col("type").isin("CASH_OUT", "TRANSFER"))
+    return fanin.fan_in_arrival_plain(s).select("seq", "nameDest", "step", "fan_in_dest_count_24h")
+
+
+@register(
+    "W3_velocity_orig",
+    with_views(
+        """SELECT seq,
+              COUNT(*) OVER w - 1 AS orig_count_24h,
+              CAST(SUM(CAST(round(amount * 100) AS BIGINT)) OVER w - coalesce(CAST(round(amount * 100) AS BIGINT), 0) AS BIGINT) AS orig_amount_cents_24h
+           FROM silver WINDOW w AS (PARTITION BY name_orig ORDER BY step RANGE BETWEEN 24 PRECEDING AND CURRENT ROW)""",
+        "silver",
+    ),
+)
+def q_w3(spark, sf):
+    return fanin.velocity_orig(P.silver(spark, sf)).select("seq", "orig_count_24h", "orig_amount_cents_24h")
+
+
+add_view(
+    "rollup5",
+    """SELECT time_bucket(INTERVAL 300 SECOND, ts) AS window_start, time_bucket(INTERVAL 300 SECOND, ts) + INTERVAL 300 SECOND AS window_end,
+          metric, CAST(sum(value) AS BIGINT) AS total
+       FROM metric_points GROUP BY 1, 2, 3""",
+    ["metric_points"],
+)
+
+
+@register("X9_metric_rollup", with_views("SELECT * FROM rollup5", "rollup5"))
+def q_x9(spark, sf):
+    return monitor.rollup(P.metric_points(spark, sf), 300)
+
+
+@register(
+    "W4_metric_deltas",
+    with_views(
+        """SELECT metric, window_start, cumulative, cumulative - lag(cumulative, 1, 0) OVER (PARTITION BY metric ORDER BY window_start) AS delta
+           FROM (SELECT metric, window_start, CAST(sum(total) OVER (PARTITION BY metric ORDER BY window_start
+                   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS cumulative FROM rollup5)""",
+        "rollup5",
+    ),
+)
+def q_w4(spark, sf):
+    rolled = monitor.rollup(P.metric_points(spark, sf), 300)
+    return monitor.metric_deltas(monitor.cumulative_counts(rolled)).select("metric", "window_start", "cumulative", "delta")
+
+
+@register(
+    "X10_threshold_alarm",
+    with_views(
+        f"""SELECT metric, window_start, window_end, total,
+              CASE metric WHEN 'ScorerErrorCount' THEN {D(5.0)} ELSE {D(50.0)} END AS threshold,
+              total > CASE metric WHEN 'ScorerErrorCount' THEN 5 ELSE 50 END AS alarm
+           FROM rollup5 WHERE metric IN ('ScorerErrorCount', 'FraudAlertCount')""",
+        "rollup5",
+    ),
+)
+def q_x10(spark, sf):
+    return monitor.threshold_alarm(spark, P.metric_points(spark, sf))
+
+
+@register(
+    "X11_W5_dead_mans_switch",
+    with_views(
+        """SELECT period_start, total, breach,
+              sum(CAST(breach AS INTEGER)) OVER (ORDER BY period_start ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) = 3 AS alarm
+           FROM (SELECT s.period_start, CAST(coalesce(r.total, 0) AS DOUBLE) AS total, coalesce(r.total, 0) < 1 AS breach
+                 FROM (SELECT unnest(generate_series(time_bucket(INTERVAL 60 SECOND, min(ts)), time_bucket(INTERVAL 60 SECOND, max(ts)),
+                         INTERVAL 60 SECOND)) AS period_start FROM metric_points WHERE metric = 'ConsumerHeartbeat') s
+                 LEFT JOIN (SELECT time_bucket(INTERVAL 60 SECOND, ts) AS period_start, sum(value) AS total FROM metric_points
+                            WHERE metric = 'ConsumerHeartbeat' GROUP BY 1) r ON r.period_start = s.period_start)""",
+        "metric_points",
+    ),
+)
+def q_x11(spark, sf):
+    return monitor.missing_data_alarm(P.metric_points(spark, sf), "ConsumerHeartbeat", 60, 1.0, 3).select(
+        "period_start", "total", "breach", "alarm"
+    )
+
+
+# --- scoring chain ----------------------------------------------------------------------
+
+@register("X4_score_batch", with_views("SELECT seq, status, fan_in_dest_count_24h, fraud_probability, is_alert, threshold, model_version FROM chain", "chain"))
+def q_x4(spark, sf):
+    return P.chain(spark, sf).select(
+        "seq", "status", "fan_in_dest_count_24h", "fraud_probability", "is_alert", "threshold", "model_version"
+    )
+
+
+@register("X5_score_failure", with_views("SELECT seq, type, status FROM chain WHERE status = 'score_error'", "chain"))
+def q_x5(spark, sf):
+    return P.chain(spark, sf).where(F.col("status") == "score_error").select("seq", "type", "status")
+
+
+@register(
+    "F4_scorable_filter",
+    with_views(
+        "SELECT type, type IN ('CASH_OUT','TRANSFER') AS scorable, count(*) AS rows FROM bronze GROUP BY 1, 2",
+        "bronze",
+    ),
+)
+def q_f4(spark, sf):
+    return P.bronze(spark, sf).groupBy("type", F.col("type").isin("CASH_OUT", "TRANSFER").alias("scorable")).agg(
+        F.count(F.lit(1)).alias("rows")
+    )
+
+
+@register(
+    "F5_ood_guard",
+    with_views(
+        "SELECT seq, CASE WHEN type IN ('CASH_OUT','TRANSFER') THEN 'ok' ELSE 'out_of_distribution' END AS guard FROM bronze",
+        "bronze",
+    ),
+)
+def q_f5(spark, sf):
+    return score.ood_guard(P.bronze(spark, sf)).select("seq", "guard")
+
+
+@register(
+    "F10_alert_predicate",
+    with_views("SELECT seq, fraud_probability, threshold FROM chain WHERE is_alert", "chain"),
+)
+def q_f10(spark, sf):
+    return score.alerts(P.chain(spark, sf)).select("seq", "fraud_probability", "threshold")
+
+
+@register(
+    "P11_alert_struct",
+    with_views(
+        """SELECT c.seq, s.nameDest AS txn_nameDest, s.fan_in_raw AS txn_fan_in, c.fraud_probability, c.threshold, c.model_version
+           FROM chain c JOIN scored_live s USING (seq) WHERE c.is_alert""",
+        "chain",
+    ),
+)
+def q_p11(spark, sf):
+    a = score.alerts(P.chain(spark, sf))
+    st = a.select("seq", score.alert_struct(a).alias("alert"))
+    return st.select(
+        "seq",
+        F.col("alert.txn.nameDest").alias("txn_nameDest"),
+        F.col("alert.txn.fan_in_dest_count_24h").alias("txn_fan_in"),
+        F.col("alert.fraud_probability").alias("fraud_probability"),
+        F.col("alert.threshold").alias("threshold"),
+        F.col("alert.model_version").alias("model_version"),
+    )
+
+
+@register(
+    "A5_stream_counters",
+    with_views(
+        """SELECT CAST(count(*) FILTER (WHERE status = 'scored') AS BIGINT) AS scored,
+              CAST(count(*) FILTER (WHERE is_alert) AS BIGINT) AS alerts,
+              CAST(count(*) FILTER (WHERE status = 'score_error') AS BIGINT) AS score_errors,
+              CAST(count(*) FILTER (WHERE status = 'skipped') AS BIGINT) AS skipped,
+              CAST(count(*) FILTER (WHERE status = 'dq_rejected') AS BIGINT) AS dq_rejected,
+              CAST(count(*) FILTER (WHERE status IN ('scored','score_error')) AS BIGINT) AS fan_in_events,
+              (SELECT CAST(count(DISTINCT account_id) FILTER (WHERE NOT bad AND account_id IN (SELECT nameDest FROM scorable)) AS BIGINT) FROM payload_checks) AS gdpr_purges,
+              (SELECT CAST(count(*) FILTER (WHERE bad) AS BIGINT) FROM payload_checks) AS gdpr_bad_payloads
+           FROM chain""",
+        "chain",
+        "payload_checks",
+    ),
+)
+def q_a5(spark, sf):
+    ch = P.chain(spark, sf)
+    checks = _payload_spark(spark, sf).withColumn("bad", quality.erasure_payload_bad("value"))
+    dests = ch.where(F.col("status").isin("scored", "score_error")).select(F.col("nameDest").alias("account_id")).distinct()
+    good = checks.where(~F.col("bad")).select("account_id").distinct().join(dests, "account_id", "left_semi")
+    ec = checks.select(F.col("bad"), F.lit(False).alias("purged")).unionByName(
+        good.select(F.lit(False).alias("bad"), F.lit(True).alias("purged"))
+    )
+    return monitor.stream_counters(ch, ec)
+
+
+@register(
+    "A6_skipped_by_type",
+    with_views("SELECT type, count(*) AS skipped FROM chain WHERE status = 'skipped' GROUP BY 1", "chain"),
+)
+def q_a6(spark, sf):
+    return monitor.skipped_by_type(P.chain(spark, sf))
+
+
+# --- 2.1 sources / 2.8 order ------------------------------------------------------------
+
+@register(
+    "S6_page_scan",
+    with_views("SELECT seq, step, type, amount FROM transactions ORDER BY seq LIMIT 1000 OFFSET 1000", "transactions"),
+)
+def q_s6(spark, sf):
+    page = txn_source.page(P.transactions(spark, sf), offset=1000, limit=1000, seq_col="seq", dense=True)
+    return page.select("seq", "step", "type", "amount")
+
+
+@register("S9_extract_training", with_views("SELECT * FROM extract", "extract"))
+def q_s9(spark, sf):
+    return P.extract(spark, sf)
+
+
+@register(
+    "O4_first_per_class",
+    with_views(
+        "SELECT t.isFraud, t.seq, t.type, t.amount FROM transactions t JOIN (SELECT isFraud, min(seq) AS m FROM transactions GROUP BY 1) f "
+        "ON t.isFraud = f.isFraud AND t.seq = f.m",
+        "transactions",
+    ),
+)
+def q_o4(spark, sf):
+    t = P.transactions(spark, sf)
+    first = t.groupBy("isFraud").agg(F.min_by(F.struct("seq", "type", "amount"), "seq").alias("r"))
+    return first.select("isFraud", "r.seq", "r.type", "r.amount")
+
+
+# --- 2.6 split and evaluation ------------------------------------------------------------
+
+@register("A1_label_distribution", with_views("SELECT is_fraud, count(*) AS rows FROM extract GROUP BY 1", "extract"))
+def q_a1(spark, sf):
+    return split.label_distribution(P.extract(spark, sf))
+
+
+@register("A4_step_quantile", with_views("SELECT split_step FROM cut", "cut"))
+def q_a4(spark, sf):
+    return split.step_quantile(P.extract(spark, sf))
+
+
+@register("F11_temporal_masks", with_views("SELECT seq, split FROM labelled", "labelled"))
+def q_f11(spark, sf):
+    lab, _ = P.labelled(spark, sf)
+    return lab.select("seq", "split")
+
+
+@register(
+    "A2_class_weight",
+    with_views(
+        """SELECT CAST(count(*) FILTER (WHERE is_fraud = 0) AS BIGINT) AS negatives, CAST(count(*) FILTER (WHERE is_fraud = 1) AS BIGINT) AS positives,
+              CAST(count(*) FILTER (WHERE is_fraud = 0) AS DOUBLE) / CAST(nullif(count(*) FILTER (WHERE is_fraud = 1), 0) AS DOUBLE) AS class_weight
+           FROM labelled WHERE split = 'train'""",
+        "labelled",
+    ),
+)
+def q_a2(spark, sf):
+    lab, _ = P.labelled(spark, sf)
+    return split.class_weight(lab.where(F.col("split") == "train"))
+
+
+@register(
+    "A3_split_summary",
+    with_views(
+        """SELECT split, count(*) AS rows, CAST(sum(is_fraud) AS BIGINT) AS fraud, round(avg(CAST(is_fraud AS DOUBLE)), 6) AS fraud_rate,
+              CAST(count(*) FILTER (WHERE is_fraud = 0) AS BIGINT) AS legit FROM labelled GROUP BY split""",
+        "labelled",
+    ),
+)
+def q_a3(spark, sf):
+    lab, _ = P.labelled(spark, sf)
+    return split.split_summary(lab)
+
+
+@register(
+    "A18_partition_check",
+    with_views(
+        """SELECT (SELECT count(*) FROM extract) AS source_rows, CAST(count(*) FILTER (WHERE split = 'train') AS BIGINT) AS train_rows,
+              CAST(count(*) FILTER (WHERE split = 'test') AS BIGINT) AS test_rows,
+              count(*) FILTER (WHERE split = 'train') + count(*) FILTER (WHERE split = 'test') = (SELECT count(*) FROM extract) AS is_partition
+           FROM labelled""",
+        "labelled",
+    ),
+)
+def q_a18(spark, sf):
+    ex = P.extract(spark, sf)
+    lab, _ = P.labelled(spark, sf)
+    return split.partition_check(ex, lab)
+
+
+_PR_SQL = with_views("SELECT threshold, precision, recall FROM pr", "pr")
+
+
+@register("A9_pr_curve", _PR_SQL)
+def q_a9(spark, sf):
+    _, _, pts, _ = P.evaluation(spark, sf)
+    return ev.pr_curve(pts).select("threshold", "precision", "recall")
+
+
+@register("A9_pr_curve_plain", _PR_SQL)
+def q_a9p(spark, sf):
+    _, _, pts, _ = P.evaluation(spark, sf, scale_form=False)
+    return ev.pr_curve(pts).select("threshold", "precision", "recall")
+
+
+@register(
+    "A10_roc_curve",
+    with_views("SELECT score AS threshold, CAST(cum_fp AS DOUBLE) / CAST(N AS DOUBLE) AS fpr, CAST(cum_tp AS DOUBLE) / CAST(P AS DOUBLE) AS tpr FROM curve", "curve"),
+)
+def q_a10(spark, sf):
+    _, _, pts, _ = P.evaluation(spark, sf)
+    return ev.roc_curve(pts)
+
+
+_AP_SQL = "round(sum((CAST(tp AS DOUBLE) / CAST(P AS DOUBLE)) * (CAST(cum_tp AS DOUBLE) / CAST(cum_tp + cum_fp AS DOUBLE))), 9)"
+_AUC_SQL = "round(CAST(sum(2 * tp * (N - cum_fp) + tp * fp) AS DOUBLE) / (CAST(2 AS DOUBLE) * CAST(max(P) AS DOUBLE) * CAST(max(N) AS DOUBLE)), 9)"
+
+
+@register("A11_average_precision", with_views(f"SELECT {_AP_SQL} AS average_precision FROM curve", "curve"))
+def q_a11(spark, sf):
+    _, _, pts, _ = P.evaluation(spark, sf)
+    return ev.average_precision(pts)
+
+
+@register("A12_roc_auc", with_views(f"SELECT {_AUC_SQL} AS roc_auc FROM curve", "curve"))
+def q_a12(spark, sf):
+    _, _, pts, _ = P.evaluation(spark, sf)
+    return ev.roc_auc(pts)
+
+
+@register("O1_best_threshold", with_views("SELECT * FROM best", "best"))
+def q_o1(spark, sf):
+    _, _, _, best = P.evaluation(spark, sf)
+    return best
+
+
+@register("A7_confusion_matrix", with_views("SELECT * FROM cm", "cm"))
+def q_a7(spark, sf):
+    scored, _, _, best = P.evaluation(spark, sf)
+    return ev.confusion(scored, best.first()["threshold"])
+
+
+def _report_sql() -> str:
+    def sd(a, b):
+        return f"CASE WHEN ({b}) > 0 THEN CAST({a} AS DOUBLE) / CAST({b} AS DOUBLE) ELSE CAST(0 AS DOUBLE) END"
+
+    def f1(p, r):
+        return f"CASE WHEN {p} + {r} > 0 THEN CAST(2 AS DOUBLE) * ({p} * {r}) / ({p} + {r}) ELSE CAST(0 AS DOUBLE) END"
+
+    base = f"""SELECT {sd('tp', 'tp + fp')} AS p1, {sd('tp', 'tp + fn')} AS r1, {sd('tn', 'tn + fn')} AS p0, {sd('tn', 'tn + fp')} AS r0,
+        tn + fp AS s0, tp + fn AS s1, CAST(tp + tn AS DOUBLE) / CAST(tn + fp + tp + fn AS DOUBLE) AS acc FROM cm"""
+    b2 = f"SELECT *, {f1('p0', 'r0')} AS f0, {f1('p1', 'r1')} AS f1 FROM ({base})"
+    tot = "(CAST(s0 AS DOUBLE) + CAST(s1 AS DOUBLE))"
+    w = lambda a, b: f"({a} * CAST(s0 AS DOUBLE) + {b} * CAST(s1 AS DOUBLE)) / {tot}"
+    rows = [
+        "SELECT '0' AS label, round(p0, 9) AS precision, round(r0, 9) AS recall, round(f0, 9) AS f1_score, CAST(s0 AS BIGINT) AS support FROM b",
+        "SELECT '1', round(p1, 9), round(r1, 9), round(f1, 9), CAST(s1 AS BIGINT) FROM b",
+        "SELECT 'accuracy', CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), round(acc, 9), CAST(s0 + s1 AS BIGINT) FROM b",
+        "SELECT 'macro avg', round((p0 + p1) / CAST(2 AS DOUBLE), 9), round((r0 + r1) / CAST(2 AS DOUBLE), 9), round((f0 + f1) / CAST(2 AS DOUBLE), 9), CAST(s0 + s1 AS BIGINT) FROM b",
+        f"SELECT 'weighted avg', round({w('p0', 'p1')}, 9), round({w('r0', 'r1')}, 9), round({w('f0', 'f1')}, 9), CAST(s0 + s1 AS BIGINT) FROM b",
+    ]
+    return f"WITH b AS ({b2}) " + " UNION ALL ".join(rows)
+
+
+add_view("report", _report_sql(), ["cm"])
+
+
+@register("A8_classification_report", with_views("SELECT * FROM report", "report"))
+def q_a8(spark, sf):
+    return ev.classification_report(q_a7(spark, sf))
+
+
+def _matrix_sql() -> str:
+    ths = " UNION ".join(f"SELECT {D(t)} AS threshold" for t in (0.5, 0.9, 0.95, 0.99, 0.999))
+    sd = lambda a, b: f"CASE WHEN ({b}) > 0 THEN CAST({a} AS DOUBLE) / CAST({b} AS DOUBLE) ELSE CAST(0 AS DOUBLE) END"
+    return f"""SELECT threshold, p AS precision, r AS recall,
+          CASE WHEN p + r > 0 THEN CAST(2 AS DOUBLE) * (p * r) / (p + r) ELSE CAST(0 AS DOUBLE) END AS f1_score, fp, fn
+        FROM (SELECT threshold, {sd('tp', 'tp + fp')} AS p, {sd('tp', 'tp + (Pt - tp)')} AS r, CAST(fp AS BIGINT) AS fp, CAST(Pt - tp AS BIGINT) AS fn
+              FROM (SELECT t.threshold, coalesce(sum(c.tp) FILTER (WHERE c.score >= t.threshold), 0) AS tp,
+                           coalesce(sum(c.fp) FILTER (WHERE c.score >= t.threshold), 0) AS fp, sum(c.tp) AS Pt
+                    FROM ({ths} UNION SELECT threshold FROM best) t, score_counts c GROUP BY t.threshold))"""
+
+
+add_view("matrix", _matrix_sql(), ["score_counts", "best"])
+
+
+@register("A13_threshold_matrix", with_views("SELECT * FROM matrix", "matrix"))
+def q_a13(spark, sf):
+    _, counts, _, best = P.evaluation(spark, sf)
+    return ev.threshold_matrix(counts, best.first()["threshold"])
+
+
+def _cohort_sql() -> str:
+    rows = []
+    for f in FEATURES:
+        rows.append(
+            f"SELECT '{f}' AS feature, round(avg(CAST({f} AS DOUBLE)) FILTER (WHERE cohort = 'FN'), 6) AS fn_mean, "
+            f"round(avg(CAST({f} AS DOUBLE)) FILTER (WHERE cohort = 'TP'), 6) AS tp_mean, "
+            f"round(avg(CAST({f} AS DOUBLE)) FILTER (WHERE cohort = 'FP'), 6) AS fp_mean FROM cohorts"
+        )
+    return " UNION ALL ".join(rows)
+
+
+add_view(
+    "cohorts",
+    """SELECT s.*, CASE WHEN label = 1 AND score < b.threshold THEN 'FN' WHEN label = 1 THEN 'TP'
+                        WHEN score >= b.threshold THEN 'FP' ELSE 'TN' END AS cohort
+       FROM test_scored s, best b WHERE s.score IS NOT NULL""",
+    ["test_scored", "best"],
+)
+add_view("cohort_means", _cohort_sql(), ["cohorts"])
+
+
+@register("A14_cohort_means", with_views("SELECT * FROM cohort_means", "cohort_means"))
+def q_a14(spark, sf):
+    scored, _, _, best = P.evaluation(spark, sf)
+    return ev.cohort_means(scored, best.first()["threshold"])
+
+
+@register("F12_cohort_label", with_views("SELECT seq, cohort FROM cohorts", "cohorts"))
+def q_f12(spark, sf):
+    scored, _, _, best = P.evaluation(spark, sf)
+    t = best.first()["threshold"]
+    return scored.where(F.col("score").isNotNull()).select("seq", ev.cohort("score", "label", t).alias("cohort"))
+
+
+@register(
+    "A15_score_range",
+    with_views("SELECT min(score) AS min_probability, max(score) AS max_probability FROM test_scored", "test_scored"),
+)
+def q_a15(spark, sf):
+    scored, _, _, _ = P.evaluation(spark, sf)
+    return ev.score_range(scored)
+
+
+@register(
+    "M4_freeze_metadata",
+    with_views(
+        f"""SELECT b.threshold AS decision_threshold, (SELECT {_AP_SQL} FROM curve) AS pr_auc,
+              CAST(cm.tp AS DOUBLE) / CAST(cm.tp + cm.fp AS DOUBLE) AS precision, CAST(cm.tp AS DOUBLE) / CAST(cm.tp + cm.fn AS DOUBLE) AS recall,
+              cm.tn AS true_negatives, cm.fp AS false_positives, cm.fn AS false_negatives, cm.tp AS true_positives,
+              '{oracle_views.VERSION}' AS model_version, '{",".join(FEATURES)}' AS features
+           FROM best b, cm""",
+        "best",
+        "cm",
+        "curve",
+    ),
+)
+def q_m4(spark, sf):
+    from fraudlake.operators.model import freeze_metadata_frame
+
+    scored, _, pts, best = P.evaluation(spark, sf)
+    return freeze_metadata_frame(scored, pts, best, score.model_version(score.SCORECARD_METADATA))
+
+
+# baseline model: the scorecard without the fan-in feature
+_BASELINE_WEIGHTS = tuple((n, 0.0 if n == "fan_in_dest_count_24h" else w) for n, w in score.SCORECARD_WEIGHTS)
+add_view("test_scored_base", oracle_views.scored_test_sql(_BASELINE_WEIGHTS), ["labelled"])
+add_view(
+    "curve_base",
+    """WITH sc AS (SELECT score, CAST(sum(CASE WHEN label = 1 THEN 1 ELSE 0 END) AS BIGINT) AS tp,
+                          CAST(sum(CASE WHEN label = 1 THEN 0 ELSE 1 END) AS BIGINT) AS fp
+                   FROM test_scored_base WHERE score IS NOT NULL GROUP BY score)
+       SELECT score, tp, fp,
+          CAST(sum(tp) OVER (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS cum_tp,
+          CAST(sum(fp) OVER (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS cum_fp,
+          (SELECT CAST(sum(tp) AS BIGINT) FROM sc) AS P, (SELECT CAST(sum(fp) AS BIGINT) FROM sc) AS N
+       FROM sc""",
+    ["test_scored_base"],
+)
+
+
+@register(
+    "M5_compare_models",
+    with_views(
+        f"""SELECT 'enriched' AS model, (SELECT {_AP_SQL} FROM curve) AS pr_auc, (SELECT {_AUC_SQL} FROM curve) AS roc_auc
+            UNION ALL
+            SELECT 'baseline', (SELECT {_AP_SQL} FROM curve_base), (SELECT {_AUC_SQL} FROM curve_base)""",
+        "curve",
+        "curve_base",
+    ),
+)
+def q_m5(spark, sf):
+    out = {}
+    for name, w in (("enriched", score.SCORECARD_WEIGHTS), ("baseline", _BASELINE_WEIGHTS)):
+        _, _, pts, _ = P.evaluation(spark, sf, weights=w)
+        out[name] = ev.summary_metrics(pts)
+    return ev.compare_models(out).select("model", "pr_auc", "roc_auc")
+
+

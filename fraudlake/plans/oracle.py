@@ -46,7 +46,7 @@ SELECT *, list_filter([
   CASE WHEN coalesce(newbalanceOrig<0,false) THEN 'negative balance: newbalanceOrig' END,
   CASE WHEN coalesce(oldbalanceDest<0,false) THEN 'negative balance: oldbalanceDest' END,
   CASE WHEN coalesce(newbalanceDest<0,false) THEN 'negative balance: newbalanceDest' END
-], x -> x IS NOT NULL) AS reasons
+], lambda x: x IS NOT NULL) AS reasons
 FROM transactions
 """
 
@@ -130,6 +130,8 @@ def with_views(body: str, *names: str) -> str:
 
     for n in names:
         add(n)
+    if not needed:
+        return body
     ctes = ",\n".join(f"{n} AS ({VIEWS[n]})" for n in needed)
     return f"WITH {ctes}\n{body}"
 

@@ -49,3 +49,65 @@ def gold(spark: SparkSession, sf_dir: str, scale_form: bool = True) -> DataFrame
 
 def gold_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold_projection(silver(spark, sf_dir))
+
+
+# --- scoring chain and evaluation inputs -------------------------------------------
+
+def chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batch twin of the live scorer over every transaction."""
+    from fraudlake.operators.score import score_chain
+
+    return score_chain(transactions(spark, sf_dir))
+
+
+def extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fraudlake.operators.split import extract_training
+
+    return extract_training(silver(spark, sf_dir), keep=("seq",))
+
+
+def labelled(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, float]:
+    from fraudlake.operators.split import split_cut, with_split
+
+    ex = extract(spark, sf_dir)
+    cut = split_cut(ex)
+    return with_split(ex, cut), cut
+
+
+def test_scored(spark: SparkSession, sf_dir: str, weights=None) -> DataFrame:
+    """Test split scored by the scorecard: columns ``score`` and ``label``."""
+    from pyspark.sql import functions as F
+
+    from fraudlake.operators.score import SCORECARD_WEIGHTS, scorecard_probability
+
+    lab, _ = labelled(spark, sf_dir)
+    test = lab.where(F.col("split") == "test")
+    return test.withColumns(
+        {"score": scorecard_probability(weights or SCORECARD_WEIGHTS), "label": F.col("is_fraud")}
+    )
+
+
+def evaluation(spark: SparkSession, sf_dir: str, scale_form: bool = True, weights=None):
+    """(scored test rows, per-score counts, curve points, best-threshold row)."""
+    from fraudlake.operators import evaluate as ev
+
+    scored = test_scored(spark, sf_dir, weights)
+    counts = ev.score_counts(scored)
+    points = ev.curve_points(counts, scale_form=scale_form)
+    best = ev.best_threshold(ev.pr_curve(points))
+    return scored, counts, points, best
+
+
+def metric_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monitoring data points derived from ``events`` (metric name per type)."""
+    from pyspark.sql import functions as F
+
+    et = F.col("event_type")
+    metric = (
+        F.when(et == "error", "ScorerErrorCount")
+        .when(et == "purchase", "FraudAlertCount")
+        .when(et == "view", "ConsumerHeartbeat")
+        .when(et == "click", "ScoredTransactions")
+        .otherwise(et)
+    )
+    return fixtures.table(spark, sf_dir, "events").select("ts", metric.alias("metric"), F.lit(1).cast("long").alias("value"))
