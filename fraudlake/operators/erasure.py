@@ -17,6 +17,7 @@ from fraudlake.functions.quality import account_id_valid
 from fraudlake.paths import guard_output
 from fraudlake.plans.strategies import sized_broadcast
 from fraudlake.schemas import REGISTRY, REQUEST_ID_HEX_CHARS, REQUEST_ID_PREFIX
+from fraudlake.session import checkpoint_root
 
 ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 ID_COLUMNS = ("name_orig", "name_dest")
@@ -172,7 +173,10 @@ def erase_tables(
         cols = [c for c in ID_COLUMNS if c in df.columns]
         if not cols:
             continue
-        counts = erased_cells(df, requests, pepper).select("account_id", F.col("cells").alias("_c"))
+        # the counts must survive the rewrite of their source: cut the lineage
+        # with a reliable checkpoint in the shared checkpoint folder
+        checkpoint_root(spark)
+        counts = erased_cells(df, requests, pepper).select("account_id", F.col("cells").alias("_c")).checkpoint(eager=True)
         n_cells = counts.agg(F.sum("_c")).first()[0] or 0
         totals = counts if totals is None else totals.unionByName(counts)
         if n_cells == 0:
