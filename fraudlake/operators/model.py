@@ -30,6 +30,16 @@ from fraudlake.schemas import (
 from fraudlake.session import checkpoint_root
 
 
+# MLlib trees have no missing-value branch: a missing feature (a null balance
+# passes the quality gate) is encoded as a value below every real one, so a
+# split can isolate it, identically in training and scoring.
+MISSING = -1.0e9
+
+
+def fill_missing(df: DataFrame, features=FEATURES) -> DataFrame:
+    return df.withColumns({f: F.coalesce(F.col(f).cast("double"), F.lit(MISSING)) for f in features})
+
+
 def weighted(train: DataFrame, label: str = "is_fraud") -> tuple[DataFrame, float]:
     """Attach ``weight`` = negatives/positives for positives, 1 otherwise."""
     w = train.agg(
@@ -59,7 +69,7 @@ def gbt_pipeline(max_iter: int = GBT_MAX_ITER, features=FEATURES, label: str = "
 def train_gbt(train: DataFrame, max_iter: int = GBT_MAX_ITER, features=FEATURES, label: str = "is_fraud") -> tuple[PipelineModel, float]:
     """Fit on the training rows; returns (model, class weight)."""
     checkpoint_root(train.sparkSession)  # node-id caching checkpoints to the shared folder
-    data, w = weighted(train.select(*features, label), label)
+    data, w = weighted(fill_missing(train.select(*features, label), features), label)
     data = data.withColumn(label, F.col(label).cast("double"))
     return gbt_pipeline(max_iter, features, label).fit(data), w
 
@@ -76,7 +86,9 @@ def early_stop_freeze(
     log-loss (stopping after ``patience`` rounds without gain), refit with
     ``best + 1`` trees (rounds are 0-indexed). Returns (model, trees, losses)."""
     model, _ = train_gbt(train, max_iter, features, label)
-    assembled = model.stages[0].transform(valid.withColumn(label, F.col(label).cast("double")))
+    # validation loss is unweighted (unit weights): the real class balance
+    staged = fill_missing(valid, features).withColumns({label: F.col(label).cast("double"), "weight": F.lit(1.0)})
+    assembled = model.stages[0].transform(staged)
     losses = list(model.stages[-1].evaluateEachIteration(assembled))
     best, best_loss, since = 0, float("inf"), 0
     for i, loss in enumerate(losses):
@@ -97,7 +109,9 @@ def model_scorer(model: PipelineModel):
     """Scorer for the scoring chain: ``fraud_probability`` = P(class 1)."""
 
     def score(df: DataFrame) -> DataFrame:
-        out = model.transform(df)
+        raw = {f: F.col(f) for f in FEATURES}
+        out = model.transform(fill_missing(df.withColumns({f"_raw_{f}": c for f, c in raw.items()})))
+        out = out.withColumns({f: F.col(f"_raw_{f}") for f in FEATURES}).drop(*[f"_raw_{f}" for f in FEATURES])
         return out.withColumn("fraud_probability", vector_to_array(F.col("probability"))[1]).drop(
             "features", "rawPrediction", "probability", "prediction"
         )
