@@ -14,6 +14,7 @@ from fraudlake.operators.gold import gold as gold_projection
 from fraudlake.operators.silver import silver as silver_layer
 from fraudlake.schemas import GOLD_COLUMNS
 from fraudlake.sources import fixtures
+from fraudlake.session import checkpoint_root
 from fraudlake.sources.fixtures import FIXTURE_PEPPER
 
 
@@ -92,7 +93,10 @@ def evaluation(spark: SparkSession, sf_dir: str, scale_form: bool = True, weight
     from fraudlake.operators import evaluate as ev
 
     scored = test_scored(spark, sf_dir, weights)
-    counts = ev.score_counts(scored)
+    # one pass over the scored rows; cut points, class totals and the curve
+    # then read the small per-score aggregate from the shared checkpoint
+    checkpoint_root(spark)
+    counts = ev.score_counts(scored).checkpoint(eager=True)
     points = ev.curve_points(counts, scale_form=scale_form)
     best = ev.best_threshold(ev.pr_curve(points))
     return scored, counts, points, best
