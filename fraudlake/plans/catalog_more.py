@@ -949,3 +949,90 @@ def q_m5(spark, sf):
     return ev.compare_models(out).select("model", "pr_auc", "roc_auc")
 
 
+
+
+# --- sinks: write, then read back through the written table ------------------------------
+
+def _scratch_table(spark, name: str) -> str:
+    from fraudlake.session import shared_path
+
+    import uuid
+
+    return shared_path(spark, "fraudlake-tables", f"{name}-{uuid.uuid4().hex}")
+
+
+@register("K5_gold_ctas", with_views("SELECT * FROM gold WHERE type IN ('CASH_OUT','TRANSFER')", "gold"))
+def q_k5(spark, sf):
+    """Gold written partitioned by ``type``; the read back prunes partitions."""
+    from fraudlake.operators.gold import write_gold
+
+    path = _scratch_table(spark, "gold")
+    write_gold(P.gold(spark, sf), path)
+    return spark.read.parquet(path).where(F.col("type").isin("CASH_OUT", "TRANSFER"))
+
+
+@register(
+    "K10_write_splits",
+    with_views(
+        """SELECT amount, has_balance_orig, balance_delta_orig, error_balance_orig, has_balance_dest, balance_delta_dest,
+              error_balance_dest, is_flagged_fraud, fan_in_dest_count_24h, is_fraud, seq, split FROM labelled""",
+        "labelled",
+    ),
+)
+def q_k10(spark, sf):
+    """Train and test parquet (``step`` dropped), read back and tagged."""
+    lab, cut = P.labelled(spark, sf)
+    train, test = split.temporal_split(lab.drop("split"), cut)
+    tp, sp = _scratch_table(spark, "train"), _scratch_table(spark, "test")
+    split.write_splits(train, test, tp, sp)
+    return spark.read.parquet(tp).withColumn("split", F.lit("train")).unionByName(
+        spark.read.parquet(sp).withColumn("split", F.lit("test"))
+    )
+
+
+# --- model (rows-only checks: boosted trees are not SQL-expressible) -----------------------
+
+_MODEL_CACHE: dict = {}
+GBT_QUERY_ITER_CONF = "fraudlake.gbt.maxIter"
+
+
+def _trained(spark, sf):
+    """Train once per input folder: early stopping on a validation slice cut
+    from the end of the training period (never on the test window)."""
+    from fraudlake.operators import model as M
+
+    key = (sf, spark.sparkContext.applicationId)
+    if key not in _MODEL_CACHE:
+        lab, cut = P.labelled(spark, sf)
+        train = lab.where(F.col("split") == "train")
+        inner_cut = split.split_cut(train)  # the last 20 % of training steps validate
+        fit, valid = train.where(F.col("step") <= inner_cut), train.where(F.col("step") > inner_cut)
+        iters = int(spark.conf.get(GBT_QUERY_ITER_CONF, "20"))
+        model, n_trees, losses = M.early_stop_freeze(fit, valid, max_iter=iters)
+        _MODEL_CACHE[key] = (model, n_trees, losses)
+    return _MODEL_CACHE[key]
+
+
+@register("M1_M2_train_early_stop")
+def q_m2(spark, sf):
+    _, n_trees, losses = _trained(spark, sf)
+    rows = [(i, float(l), i + 1 == n_trees) for i, l in enumerate(losses)]
+    return spark.createDataFrame(rows, "round int, validation_logloss double, frozen_at boolean")
+
+
+@register("A19_O3_feature_importance")
+def q_a19(spark, sf):
+    from fraudlake.operators import model as M
+
+    model, _, _ = _trained(spark, sf)
+    return M.feature_importance(model)
+
+
+@register("M3_score_gbt")
+def q_m3(spark, sf):
+    from fraudlake.operators import model as M
+
+    model, n_trees, _ = _trained(spark, sf)
+    meta = {"phase": "gbt", "num_trees": n_trees, "decision_threshold": 0.5, "features": list(FEATURES)}
+    chain = score.score_chain(P.transactions(spark, sf), scorer=M.model_scorer(model), metadata=meta)
+    return chain.select("seq", "status", "fraud_probability", "is_alert", "model_version")
