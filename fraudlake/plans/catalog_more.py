@@ -12,7 +12,7 @@ from fraudlake.plans import oracle_views  # noqa: F401  (registers the views)
 from fraudlake.plans import pipeline as P
 from fraudlake.plans.catalog import register
 from fraudlake.plans.oracle import REJECTED_PREDICATE, with_views
-from fraudlake.schemas import FEATURES, TXN_TYPES
+from fraudlake.schemas import FEATURES, TXN, TXN_TYPES
 from fraudlake.sources import fixtures
 from fraudlake.sources.fixtures import FIXTURE_PEPPER
 from fraudlake.sources import txn as txn_source
@@ -1036,3 +1036,55 @@ def q_m3(spark, sf):
     meta = {"phase": "gbt", "num_trees": n_trees, "decision_threshold": 0.5, "features": list(FEATURES)}
     chain = score.score_chain(P.transactions(spark, sf), scorer=M.model_scorer(model), metadata=meta)
     return chain.select("seq", "status", "fraud_probability", "is_alert", "model_version")
+
+
+# --- message encoding and the alert contract --------------------------------------------
+
+@register("P14_encode_json", with_views("SELECT * EXCLUDE (ingested_at) FROM transactions", "transactions"))
+def q_p14(spark, sf):
+    """Row -> JSON text -> typed row again (lossless for the 11 fields)."""
+    t = P.transactions(spark, sf)
+    enc = t.select("seq", F.to_json(F.struct(*TXN.fieldNames()), {"ignoreNullFields": "false"}).alias("value"))
+    return txn_source.decode_txn(enc, keep=("seq",), with_ingest_time=False).drop("raw")
+
+
+def _alert_json_spark(chain):
+    txn = F.struct(*[F.col(c) for c in TXN.fieldNames()])
+    full = F.to_json(F.struct(txn.alias("txn"), "fraud_probability", "threshold", "model_version"), {"ignoreNullFields": "false"})
+    no_version = F.to_json(F.struct(txn.alias("txn"), "fraud_probability", "threshold"), {"ignoreNullFields": "false"})
+    return F.when(F.col("seq") % 5 == 0, no_version).otherwise(full)
+
+
+_TXN_OBJ = "json_object(" + ", ".join(f"'{f}', t.{f}" for f in TXN.fieldNames()) + ")"
+add_view(
+    "alert_msgs",
+    f"""SELECT c.seq, CASE WHEN c.seq % 5 = 0
+          THEN json_object('txn', {_TXN_OBJ}, 'fraud_probability', c.fraud_probability, 'threshold', c.threshold)::VARCHAR
+          ELSE json_object('txn', {_TXN_OBJ}, 'fraud_probability', c.fraud_probability, 'threshold', c.threshold,
+                           'model_version', c.model_version)::VARCHAR END AS value
+       FROM chain c JOIN transactions t USING (seq) WHERE c.status IN ('scored', 'score_error')""",
+    ["chain"],
+)
+add_view(
+    "alert_contract",
+    f"SELECT seq, {_contract_sql(ALERT_KINDS, 'alert is not a dict', False, False)} AS problems "
+    f"FROM (SELECT seq, value AS raw, CASE WHEN json_valid(value) THEN value END AS v FROM alert_msgs)",
+    ["alert_msgs"],
+)
+
+
+@register(
+    "F7_alert_contract",
+    with_views(
+        "SELECT seq, CAST(len(problems) AS INTEGER) AS n_problems, array_to_string(problems, '; ') AS problems_text FROM alert_contract",
+        "alert_contract",
+    ),
+)
+def q_f7(spark, sf):
+    chain = P.transactions(spark, sf).join(
+        P.chain(spark, sf).select("seq", "status", "fraud_probability", "threshold", "model_version"), "seq"
+    ).where(F.col("status").isin("scored", "score_error"))
+    msgs = chain.select("seq", _alert_json_spark(chain).alias("value"))
+    c = quality.with_contract(msgs, "value", out="p", kinds=ALERT_KINDS, not_object_msg="alert is not a dict",
+                              nullable=False, check_type_values=False)
+    return c.select("seq", F.size("p").alias("n_problems"), F.concat_ws("; ", "p").alias("problems_text"))
