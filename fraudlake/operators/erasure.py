@@ -131,14 +131,20 @@ def erased_cells(table: DataFrame, requests: DataFrame, pepper: str, id_columns=
 
 
 def anonymize(table: DataFrame, amap: DataFrame, id_columns=ID_COLUMNS) -> DataFrame:
-    """Project each erased raw id to its alias (columns that exist only)."""
+    """Project each erased raw id to its alias (columns that exist only).
+
+    The alias map is joined once per id column under a different alias, so
+    its broadcast is built once and reused."""
+    cols = [c for c in id_columns if c in table.columns]
     out = table
-    for c in [c for c in id_columns if c in table.columns]:
-        m = amap.select(F.col("account_id").alias(f"_id_{c}"), F.col("account_alias").alias(f"_al_{c}"))
-        out = out.join(m, F.col(c) == F.col(f"_id_{c}"), "left").withColumn(
-            c, F.coalesce(F.col(f"_al_{c}"), F.col(c))
-        ).drop(f"_id_{c}", f"_al_{c}")
-    return out.select(*table.columns)
+    for i, c in enumerate(cols):
+        out = out.join(amap.alias(f"_m{i}"), F.col(c) == F.col(f"_m{i}.account_id"), "left")
+    return out.select(
+        *[
+            F.coalesce(F.col(f"_m{cols.index(c)}.account_alias"), table[c]).alias(c) if c in cols else table[c]
+            for c in table.columns
+        ]
+    )
 
 
 def _fs(spark: SparkSession, path: str):

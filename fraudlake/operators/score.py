@@ -133,9 +133,7 @@ def alert_messages(alert_rows: DataFrame, alias_map: DataFrame | None = None) ->
     """JSON alert messages keyed by destination; registered ids are masked."""
     df = alert_rows
     if alias_map is not None:
-        for c in ("nameOrig", "nameDest"):
-            m = alias_map.select(F.col("account_id").alias(f"_i_{c}"), F.col("account_alias").alias(f"_a_{c}"))
-            df = df.join(F.broadcast(m), F.col(c) == F.col(f"_i_{c}"), "left").withColumn(
-                c, F.coalesce(F.col(f"_a_{c}"), F.col(c))
-            ).drop(f"_i_{c}", f"_a_{c}")
+        from fraudlake.operators.silver import mask_accounts
+
+        df = mask_accounts(df, alias_map, out_orig="nameOrig", out_dest="nameDest")
     return df.select(F.col("nameDest").alias("key"), F.to_json(alert_struct(df)).alias("value"))

@@ -36,17 +36,17 @@ def mask_accounts(
     if registry is None:
         return txn.withColumnsRenamed({orig_col: out_orig, dest_col: out_dest})
     reg = sized_broadcast(alias_per_account(registry), broadcast_max_rows)
-    o = reg.select(F.col("account_id").alias("_o_id"), F.col("account_alias").alias("_o_alias"))
-    d = reg.select(F.col("account_id").alias("_d_id"), F.col("account_alias").alias("_d_alias"))
-    joined = txn.join(o, F.col(orig_col) == F.col("_o_id"), "left").join(
-        d, F.col(dest_col) == F.col("_d_id"), "left"
+    # the same registry frame joined twice under two aliases: one broadcast
+    # exchange, reused for the second join
+    o, d = reg.alias("_o"), reg.alias("_d")
+    joined = txn.join(o, F.col(orig_col) == F.col("_o.account_id"), "left").join(
+        d, F.col(dest_col) == F.col("_d.account_id"), "left"
+    )
+    return joined.select(
+        *[F.col(c) for c in txn.columns if c not in (orig_col, dest_col)],
+        F.coalesce(F.col("_o.account_alias"), F.col(orig_col)).alias(out_orig),
+        F.coalesce(F.col("_d.account_alias"), F.col(dest_col)).alias(out_dest),
     )
-    return joined.withColumns(
-        {
-            orig_col: F.coalesce(F.col("_o_alias"), F.col(orig_col)),
-            dest_col: F.coalesce(F.col("_d_alias"), F.col(dest_col)),
-        }
-    ).drop("_o_id", "_o_alias", "_d_id", "_d_alias").withColumnsRenamed({orig_col: out_orig, dest_col: out_dest})
 
 
 def silver(

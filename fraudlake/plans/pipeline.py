@@ -12,7 +12,9 @@ from fraudlake.functions import quality
 from fraudlake.operators import erasure
 from fraudlake.operators.gold import gold as gold_projection
 from fraudlake.operators.silver import silver as silver_layer
-from fraudlake.schemas import GOLD_COLUMNS
+from pyspark.sql import functions as F
+
+from fraudlake.schemas import GOLD_COLUMNS, SCORABLE_TYPES
 from fraudlake.sources import fixtures
 from fraudlake.session import checkpoint_root
 from fraudlake.sources.fixtures import FIXTURE_PEPPER
@@ -71,7 +73,11 @@ def labelled(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, float]:
     from fraudlake.operators.split import split_cut, with_split
 
     ex = extract(spark, sf_dir)
-    cut = split_cut(ex)
+    # Silver keeps Bronze's rows one to one (the registry is unique per
+    # account, fan-in joins back on a unique key) and never changes ``step``,
+    # so the cut is taken from Bronze's scorable rows: no joins or windows.
+    scorable_steps = bronze(spark, sf_dir).where(F.col("type").isin(*SCORABLE_TYPES)).select("step")
+    cut = split_cut(scorable_steps)
     return with_split(ex, cut), cut
 
 
