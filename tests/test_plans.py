@@ -100,3 +100,23 @@ def test_auc_and_ap_exact_small_example(spark):
     best = ev.best_threshold(ev.pr_curve(pts)).first()
     # F1 at 0.8 is 2/3; at 0.1 precision 3/5, recall 1 gives 0.75
     assert best.threshold == 0.1
+
+
+def test_scale_forms_under_a_hot_destination(spark):
+    # one destination holds a third of all rows (every third event)
+    b = P.bronze(spark, SF_SMOKE).withColumn(
+        "nameDest", F.when(F.col("seq") % 3 == 0, F.lit("C000000001")).otherwise(F.col("nameDest"))
+    )
+    hot = b.where(F.col("nameDest") == "C000000001").count()
+    assert hot * 3 >= b.count() - 3
+    masked = b.withColumnsRenamed({"nameDest": "name_dest"})
+    a = {r.seq: r.fan_in_dest_count_24h for r in fanin.fan_in(masked).collect()}
+    p = {r.seq: r.fan_in_dest_count_24h for r in fanin.fan_in_plain(masked).collect()}
+    assert a == p
+    s = b.where(F.col("type").isin("CASH_OUT", "TRANSFER"))
+    x = {r.seq: r.fan_in_dest_count_24h for r in fanin.fan_in_arrival(s, chunk_rows=4).collect()}
+    y = {r.seq: r.fan_in_dest_count_24h for r in fanin.fan_in_arrival_plain(s).collect()}
+    assert x == y
+    # the window of the scale form sees at most one row per (destination, step)
+    per = fanin._step_counts(masked, "name_dest", "step").groupBy("name_dest").count()
+    assert per.agg(F.max("count")).first()[0] <= masked.select("step").distinct().count()
