@@ -83,3 +83,33 @@ def start_alert_sink(chain: DataFrame, path: str, checkpoint: str, trigger: str
     w = msgs.writeStream.format("json").option("path", path).option("checkpointLocation", checkpoint).outputMode("append")
     w = w.trigger(availableNow=True) if trigger in (None, "availableNow") else w.trigger(processingTime=trigger)
     return w.start()
+
+
+def dispatch_topics(
+    records: DataFrame,
+    txn_topic: str = "transactions-raw",
+    erasure_topic: str = "gdpr-deletion-requests",
+    seq_col: str = "offset",
+) -> tuple[DataFrame, DataFrame]:
+    """One subscription of both topics -> (decoded transactions, erasure rows).
+
+    ``records`` has the topic-source columns ``topic``, ``value`` and an
+    arrival order column. Erasure rows carry ``account_id``, ``request_id``
+    and ``bad`` (not an object, or no usable account id); only good ones
+    should reach the state as purges.
+    """
+    from fraudlake.sources.txn import decode_txn
+
+    ordered = records.withColumn("seq", F.col(seq_col).cast("long"))
+    txn = decode_txn(ordered.where(F.col("topic") == txn_topic), keep=("seq",))
+    er = ordered.where(F.col("topic") == erasure_topic).select(
+        "seq",
+        F.col("value").cast("string").alias("raw"),
+    )
+    er = er.select(
+        "seq",
+        F.get_json_object("raw", "$.account_id").alias("account_id"),
+        F.get_json_object("raw", "$.request_id").alias("request_id"),
+        quality.erasure_payload_bad("raw").alias("bad"),
+    )
+    return txn, er
