@@ -4,6 +4,7 @@ import json
 import os
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from conftest import SF_SMOKE
 from fraudlake.operators.fanin import fan_in_arrival
@@ -102,7 +103,7 @@ def test_smoke_batch_scores_alerts_skips_rejects(spark, workdir):
     with open(os.path.join(src, "batch.json"), "w") as f:
         for i, m in enumerate(SMOKE):
             f.write(json.dumps(dict(m, seq=i)) + "\n")
-    schema = TXN.add("seq", "long")
+    schema = T.StructType(TXN.fields + [T.StructField("seq", T.LongType())])  # a new schema: TXN stays as is
     stream = spark.readStream.schema(schema).json(src)
 
     def fake_scorer(df):
