@@ -58,6 +58,9 @@ def checkpoint_root(spark: SparkSession, fallback: str | None = None) -> str:
         configured = spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
+    if not fallback and not spark.sparkContext.master.startswith("local"):
+        # a machine-local folder is not reachable by other executors
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     root = fallback or tempfile.mkdtemp(prefix="fraudlake-ckpt-")
     spark.sparkContext.setCheckpointDir(root)
     spark.conf.set("spark.checkpoint.dir", root)
