@@ -82,21 +82,20 @@ def rejected(df: DataFrame, reasons_col: str = "reasons") -> DataFrame:
 
 # --- JSON contracts -------------------------------------------------------
 
-def json_kind(v: Column) -> Column:
-    """Python type name of a VARIANT value as ``json.loads`` would give it.
+def kind_from_schema(s: Column) -> Column:
+    """Python type name for a ``schema_of_variant`` string (NULL = absent).
 
-    NULL for an absent value; ``NoneType`` for JSON null.
+    The parser keeps integer tokens as BIGINT and normalizes decimal tokens
+    (``181.0`` -> ``DECIMAL(3,0)``); only integers beyond the long range come
+    out as scale-0 decimals of 19+ digits (``DECIMAL(19,0)`` .. ``(38,0)``).
     """
-    s = F.schema_of_variant(v)
+    wide_int = s.startswith("DECIMAL(") & s.endswith(",0)") & (F.length(s) == 13) & (F.substring(s, 9, 2) >= "19")
     return (
-        F.when(v.isNull(), F.lit(None).cast("string"))
+        F.when(s.isNull(), F.lit(None).cast("string"))
         .when(s == "VOID", "NoneType")
         .when(s == "BOOLEAN", "bool")
         .when(s.isin("BIGINT", "INT", "SMALLINT", "TINYINT"), "int")
-        # the parser keeps integer tokens as BIGINT and normalizes decimal
-        # tokens ("181.0" -> DECIMAL(3,0)); only integers beyond the long
-        # range come out as wide scale-0 decimals
-        .when(s.rlike(r"^DECIMAL\((19|[2-3][0-9]),0\)$"), "int")
+        .when(wide_int, "int")
         .when(s.startswith("DECIMAL") | s.isin("DOUBLE", "FLOAT"), "float")
         .when(s == "STRING", "str")
         .when(s.startswith("OBJECT"), "dict")
@@ -105,6 +104,14 @@ def json_kind(v: Column) -> Column:
     )
 
 
+def json_kind(v: Column) -> Column:
+    """Python type name of a VARIANT value as ``json.loads`` would give it.
+
+    NULL for an absent value; ``NoneType`` for JSON null.
+    """
+    return kind_from_schema(F.schema_of_variant(v))
+
+
 def _is_object(raw: Column, v: Column) -> Column:
     """Parsed JSON whose first non-blank character is ``{`` is an object.
 
@@ -171,7 +178,12 @@ def with_contract(
     field, then the message array. Staged projections keep each generated
     method small (whole-stage codegen stays on) and compute every kind once."""
     staged = df.withColumn("_v", F.try_parse_json(F.col(raw)))
-    kind_cols = {f"_k_{f}": json_kind(F.try_variant_get(F.col("_v"), f"$.{f}", "variant")) for f, _ in kinds}
+    # one schema string per field in its own projection (evaluated once), then
+    # kinds by plain string comparisons
+    staged = staged.withColumns(
+        {f"_s_{f}": F.schema_of_variant(F.try_variant_get(F.col("_v"), f"$.{f}", "variant")) for f, _ in kinds}
+    )
+    kind_cols = {f"_k_{f}": kind_from_schema(F.col(f"_s_{f}")) for f, _ in kinds}
     kind_cols["_obj"] = _is_object(F.col(raw), F.col("_v"))
     if check_type_values:
         kind_cols["_ttext"] = F.try_variant_get(F.col("_v"), "$.type", "string")
@@ -194,7 +206,7 @@ def with_contract(
         items.append(F.when(unknown, F.concat(F.lit(MSG_UNKNOWN_TYPE.format(value="")), shown)))
     problems = compact(items)
     result = staged.withColumn(out, F.when(F.col("_obj"), problems).otherwise(F.array(F.lit(not_object_msg))))
-    return result.drop("_v", "_obj", "_ttext", "_tjson", *[f"_k_{f}" for f, _ in kinds])
+    return result.drop("_v", "_obj", "_ttext", "_tjson", *[f"_k_{f}" for f, _ in kinds], *[f"_s_{f}" for f, _ in kinds])
 
 
 def txn_contract(raw: Column | str) -> Column:
