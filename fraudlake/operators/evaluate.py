@@ -32,10 +32,22 @@ def class_totals(counts: DataFrame) -> DataFrame:
     return counts.agg(F.sum("tp").alias("P"), F.sum("fp").alias("N"))
 
 
-def curve_points(counts: DataFrame, scale_form: bool = True, n_buckets: int | None = None) -> DataFrame:
+SINGLE_TASK_ROWS_CONF = "fraudlake.prefix.singleTaskRows"
+
+
+def curve_points(counts: DataFrame, scale_form: bool | str = "auto", n_buckets: int | None = None) -> DataFrame:
     """Running ``cum_tp``, ``cum_fp`` at each distinct score (descending),
     with the class totals ``P`` and ``N`` as literal columns (two driver
-    scalars from one aggregate)."""
+    scalars from one aggregate).
+
+    ``scale_form``: True = range buckets with offsets, False = one ordered
+    window, "auto" = one window only when the per-score table is proven to hold
+    at most ``fraudlake.prefix.singleTaskRows`` rows (default 1,000,000;
+    ``counts`` should be checkpointed so the count is cheap), else buckets.
+    """
+    if scale_form == "auto":
+        bound = int(counts.sparkSession.conf.get(SINGLE_TASK_ROWS_CONF, "1000000"))
+        scale_form = counts.limit(bound + 1).count() > bound
     cum = (
         cumulative_by_order(counts, "score", ["tp", "fp"], descending=True, n_buckets=n_buckets)
         if scale_form

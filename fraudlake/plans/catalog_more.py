@@ -758,6 +758,13 @@ def q_a9(spark, sf):
     return ev.pr_curve(pts).select("threshold", "precision", "recall")
 
 
+@register("A9_pr_curve_bucketed", _PR_SQL)
+def q_a9b(spark, sf):
+    """The distributed path forced (range buckets + broadcast offsets)."""
+    _, _, pts, _ = P.evaluation(spark, sf, scale_form=True)
+    return ev.pr_curve(pts).select("threshold", "precision", "recall")
+
+
 @register("A9_pr_curve_plain", _PR_SQL)
 def q_a9p(spark, sf):
     _, _, pts, _ = P.evaluation(spark, sf, scale_form=False)

@@ -94,7 +94,7 @@ def test_scored(spark: SparkSession, sf_dir: str, weights=None) -> DataFrame:
     )
 
 
-def evaluation(spark: SparkSession, sf_dir: str, scale_form: bool = True, weights=None):
+def evaluation(spark: SparkSession, sf_dir: str, scale_form: bool | str = "auto", weights=None):
     """(scored test rows, per-score counts, curve points, best-threshold row)."""
     from fraudlake.operators import evaluate as ev
 
