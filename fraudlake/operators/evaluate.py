@@ -44,16 +44,18 @@ def curve_points(counts: DataFrame, scale_form: bool | str = "auto", n_buckets:
     window, "auto" = one window only when the per-score table is proven to hold
     at most ``fraudlake.prefix.singleTaskRows`` rows (default 1,000,000;
     ``counts`` should be checkpointed so the count is cheap), else buckets.
+    A one-row aggregate is fine here: it runs over the small per-score table.
     """
+    # one aggregate gives the class totals and the table's row count
+    totals = counts.agg(F.sum("tp").alias("P"), F.sum("fp").alias("N"), F.count(F.lit(1)).alias("n")).first()
     if scale_form == "auto":
         bound = int(counts.sparkSession.conf.get(SINGLE_TASK_ROWS_CONF, "1000000"))
-        scale_form = counts.limit(bound + 1).count() > bound
+        scale_form = totals["n"] > bound
     cum = (
         cumulative_by_order(counts, "score", ["tp", "fp"], descending=True, n_buckets=n_buckets)
         if scale_form
         else cumulative_by_order_plain(counts, "score", ["tp", "fp"], descending=True)
     )
-    totals = class_totals(counts).first()
     return cum.withColumns({"P": F.lit(int(totals["P"] or 0)), "N": F.lit(int(totals["N"] or 0))})
 
 
