@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fraudlake.plans.strategies import chunked_row_number
+from fraudlake.plans.strategies import CHUNK_ROWS_CONF, DEFAULT_CHUNK_ROWS
 from fraudlake.schemas import FAN_IN_WINDOW_STEPS
 
 
@@ -86,16 +86,40 @@ def fan_in_arrival(
 ) -> DataFrame:
     """Scale form of :func:`fan_in_arrival_plain`.
 
-    Earlier steps come from the per-(key, step) RANGE sum over
-    ``[step - window, step - 1]``; the rank inside the current step comes from
-    :func:`chunked_row_number`, which splits a hot (key, step) into bounded
-    chunks of ``seq``.
+    fan-in = (arrivals of the key in steps [step - window, step - 1])
+           + (arrivals earlier in the same step)
+    Rows are cut into ``seq`` chunks of at most ``chunk_rows`` rows. Everything
+    but the rank inside a chunk is computed on a small table with one row per
+    (key, step, chunk): the RANGE sum over earlier steps and the offset of the
+    chunk inside its step. The fact rows are shuffled once, by
+    (key, step, chunk), for the rank; the join to the small table uses exactly
+    those keys, so it needs no second shuffle of the fact side, and no task
+    holds more than one chunk of a hot destination-step.
     """
-    w = Window.partitionBy(key).orderBy(step).rangeBetween(-window, -1)
-    prior = _step_counts(df, key, step).select(key, step, F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_prior"))
-    ranked = chunked_row_number(df, [key, step], seq, out_col="_rank", chunk_rows=chunk_rows)
-    joined = _join_back(ranked, prior, key, step)
-    return joined.withColumn(out, F.col("_prior") + F.col("_rank") - F.lit(1)).drop("_prior", "_rank")
+    size = chunk_rows or int(df.sparkSession.conf.get(CHUNK_ROWS_CONF, str(DEFAULT_CHUNK_ROWS)))
+    # null-safe keys as plain columns, used alike by the window and the join
+    staged = df.withColumns(
+        {
+            "_fk": F.coalesce(F.col(key).cast("string"), F.lit("")),
+            "_fn": F.col(key).isNull(),
+            "_chunk": F.floor(F.col(seq) / F.lit(size)),
+        }
+    )
+    keys = ["_fk", "_fn"]
+    chunks = staged.groupBy(*keys, step, "_chunk").agg(F.count(F.lit(1)).alias("_n"))
+    per_step = chunks.groupBy(*keys, step).agg(F.sum("_n").alias("_sn"))
+    earlier = Window.partitionBy(*keys).orderBy(step).rangeBetween(-window, -1)
+    prior = per_step.select(*keys, step, F.coalesce(F.sum("_sn").over(earlier), F.lit(0)).alias("_prior"))
+    before = Window.partitionBy(*keys, step).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = chunks.select(*keys, step, "_chunk", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    base = offsets.join(prior, [*keys, step], "inner").select(
+        *keys, step, "_chunk", (F.col("_prior") + F.col("_off")).alias("_base")
+    )
+    rank = Window.partitionBy(*keys, step, "_chunk").orderBy(seq)
+    numbered = staged.withColumn("_rn", F.row_number().over(rank))
+    # left: a row is never dropped (a NULL step or seq only leaves its fan-in NULL)
+    joined = numbered.join(base, [*keys, step, "_chunk"], "left")
+    return joined.withColumn(out, F.col("_base") + F.col("_rn") - F.lit(1)).select(*df.columns, out)
 
 
 def velocity_orig(
