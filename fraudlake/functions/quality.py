@@ -147,7 +147,7 @@ def _contract(
         items.append(
             F.when(
                 kind.isNotNull() & ~_accepts(expected, kind, nullable),
-                F.concat(F.lit(f"field {field}: expected {expected}, got "), kind),
+                F.concat(F.lit(MSG_WRONG_KIND.format(field=field, expected=expected, got="")), kind),
             )
         )
     if check_type_values:
@@ -196,7 +196,7 @@ def with_contract(
         items.append(
             F.when(
                 kind.isNotNull() & ~_accepts(expected, kind, nullable),
-                F.concat(F.lit(f"field {field}: expected {expected}, got "), kind),
+                F.concat(F.lit(MSG_WRONG_KIND.format(field=field, expected=expected, got="")), kind),
             )
         )
     if check_type_values:

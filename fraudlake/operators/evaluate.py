@@ -28,10 +28,6 @@ def score_counts(scored: DataFrame, score: str = "score", label: str = "label")
     )
 
 
-def class_totals(counts: DataFrame) -> DataFrame:
-    return counts.agg(F.sum("tp").alias("P"), F.sum("fp").alias("N"))
-
-
 SINGLE_TASK_ROWS_CONF = "fraudlake.prefix.singleTaskRows"
 
 

@@ -9,7 +9,6 @@ arg-min with patience, and a refit with ``best + 1`` trees.
 from __future__ import annotations
 
 import json
-import os
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
@@ -167,7 +166,3 @@ def load_model(path: str) -> tuple[PipelineModel, dict]:
     model = PipelineModel.load(f"{path}/model")
     meta = json.loads(spark.read.text(f"{path}/metadata").first()[0])
     return model, meta
-
-
-def local_path_exists(path: str) -> bool:  # pragma: no cover - convenience for scripts
-    return os.path.exists(path)

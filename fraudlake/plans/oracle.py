@@ -104,10 +104,6 @@ SELECT amount, has_balance_orig, balance_delta_orig, error_balance_orig, has_bal
 FROM silver
 """
 
-# dependency order of the views above (and later additions)
-VIEW_ORDER = ["transactions", "reasoned", "bronze", "erasure_requests", "registry", "alias_map", "masked", "silver", "gold"]
-
-
 def with_views(body: str, *names: str) -> str:
     """Prefix ``body`` with the CTEs it needs (dependencies included)."""
     needed: list[str] = []

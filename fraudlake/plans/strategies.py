@@ -9,7 +9,6 @@ task, group or the driver ever holds a share of the data that grows with it:
   single-partition window (range buckets + per-bucket offsets).
 * ``chunked_row_number``: exact arrival rank inside a group, with hot groups
   split into bounded chunks of the ordering key.
-* ``period_spine``: a distributed sequence of time periods (``spark.range``).
 """
 
 from __future__ import annotations
@@ -133,10 +132,3 @@ def chunked_row_number(
     return out.withColumn(out_col, F.col("_off") + F.col("_rn")).drop(
         "_chunk", "_rn", "_off", "_k_chunk", *[f"_k_{k}" for k in keys]
     )
-
-
-def period_spine(spark: SparkSession, start_epoch_s: int, end_epoch_s: int, period_s: int) -> DataFrame:
-    """One row per period start in ``[start, end]``, generated in parallel."""
-    first = start_epoch_s - start_epoch_s % period_s
-    n = (end_epoch_s - first) // period_s + 1
-    return spark.range(0, n).select((F.lit(first) + F.col("id") * F.lit(period_s)).alias("period_epoch"))

@@ -130,3 +130,30 @@ def test_layer_isolation_guard(tmp_path):
     guard_output("/lake/gold/t", ["/lake/bronze/transactions"])
     assert name_clash({"bronze_transactions", "gdpr_requests"}, {"stg_transactions", "gold_transactions"}) == set()
     LakePaths(str(tmp_path)).check_disjoint()
+
+
+def test_purge_messages_and_audit_append(spark, workdir):
+    import json as _json
+
+    req = erasure_requests_frame(spark, [("C0000000001", "r1"), ("bad id", "r2")])
+    msgs = erasure.purge_messages(req).collect()
+    assert len(msgs) == 1 and msgs[0].key == "C0000000001"
+    assert _json.loads(msgs[0].value) == {"account_id": "C0000000001", "request_id": "r1"}
+    req = req.withColumn("requested_ts", F.current_timestamp())
+    t = spark.createDataFrame([("C0000000001", "C0000000002")], "name_orig string, name_dest string")
+    rows = erasure.audit_rows(erasure.erasure_results(req, erasure.erased_cells(t, req, "p")))
+    path = os.path.join(workdir, "audit")
+    erasure.append_audit(rows, path)
+    erasure.append_audit(rows, path)
+    audit = spark.read.parquet(path)
+    assert audit.count() == 2 and set(audit.columns) == {
+        "timestamp", "request_id", "account_alias", "streaming_purge_published", "rows_anonymized"}
+
+
+def test_silver_view_is_registered(spark):
+    from conftest import SF_SMOKE
+    from fraudlake.operators.silver import silver_view
+    from fraudlake.plans import pipeline as P
+
+    v = silver_view(spark, P.silver(spark, SF_SMOKE), "stg_transactions_t")
+    assert spark.sql("SELECT count(*) AS n FROM stg_transactions_t").first().n == v.count() > 0
