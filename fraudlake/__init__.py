@@ -1,0 +1,12 @@
+"""fraudlake: transaction-fraud lakehouse analytics on Spark.
+
+functions/  column expressions (quality rules, contracts, features, alias)
+sources/    readers and the fixture views over the driver's tables
+operators/  batch operators (Silver, Gold, fan-in, erasure, split,
+            evaluation, scoring, monitoring, model)
+plans/      plan helpers, the medallion chain, registered queries, oracles
+streaming/  Structured Streaming jobs (Bronze fork, keyed fan-in state, scorer)
+sinks/      every writer
+"""
+
+__version__ = "0.1.0"
