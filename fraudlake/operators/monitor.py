@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from fraudlake.schemas import ALARM_RULES
 
+SERIES_SINGLE_TASK_CONF = "fraudlake.series.singleTaskPeriods"
+
 
 def stream_counters(chain: DataFrame, erasure_checks: DataFrame | None = None) -> DataFrame:
     """The live scorer's counters as one conditional aggregate over the chain.
@@ -90,6 +92,30 @@ def consecutive_breach(df: DataFrame, partition_cols, order_col: str, breach_col
     return df.withColumn(out, F.sum(F.col(breach_col).cast("int")).over(w) == F.lit(n))
 
 
+def consecutive_breach_periods(
+    df: DataFrame, keys, ts: str, period_s: int, breach_col: str, n: int, out: str = "alarm"
+) -> DataFrame:
+    """Distributed form of :func:`consecutive_breach` on a complete period
+    spine: period p alarms when p and the ``n - 1`` periods before it breach.
+
+    Each earlier period is found by an equi-join on the shifted period start
+    (no window ordered by time alone, so no single-partition step); a period
+    missing before the series starts counts as not breaching, as in the
+    window form."""
+    flags = df.select(*keys, ts, F.col(breach_col).cast("int").alias("_b0"))
+    acc = flags
+    for k in range(1, n):
+        prev = flags.select(
+            *keys,
+            (F.col(ts) + F.make_dt_interval(secs=F.lit(k * period_s).cast("decimal(18,6)"))).alias(ts),
+            F.col("_b0").alias(f"_b{k}"),
+        )
+        acc = acc.join(prev, [*keys, ts], "left")
+    total = sum((F.coalesce(F.col(f"_b{k}"), F.lit(0)) for k in range(n)), F.lit(0))
+    alarms = acc.select(*keys, ts, (total == F.lit(n)).alias(out))
+    return df.join(alarms, [*keys, ts], "left")
+
+
 def missing_data_alarm(
     points: DataFrame,
     metric_name: str,
@@ -122,7 +148,12 @@ def missing_data_alarm(
     joined = spine.join(rolled.select(F.col("window_start").alias("period_start"), "total"), "period_start", "left")
     filled = joined.withColumn("total", F.coalesce(F.col("total"), F.lit(0)).cast("double"))
     flagged = filled.withColumn("breach", F.col("total") < F.lit(threshold))
-    return consecutive_breach(flagged, [], "period_start", "breach", evaluation_periods)
+    # the series length is known here: one window while it is proven small
+    # (bounded by the time span, not by data volume), equi-joins beyond that
+    bound = int(spark.conf.get(SERIES_SINGLE_TASK_CONF, "5000000"))
+    if n <= bound:
+        return consecutive_breach(flagged, [], "period_start", "breach", evaluation_periods)
+    return consecutive_breach_periods(flagged, [], "period_start", period_s, "breach", evaluation_periods)
 
 
 def metric_deltas(cumulative: DataFrame, metric: str = "metric", order: str = "window_start", value: str = "cumulative") -> DataFrame:

@@ -76,3 +76,18 @@ def test_train_freeze_save_load_score(spark, workdir):
     assert scored.where((F.col("fraud_probability") < 0) | (F.col("fraud_probability") > 1)).count() == 0
     with pytest.raises(FileNotFoundError):
         M.load_model(os.path.join(workdir, "absent"))
+
+
+def test_distributed_breach_equals_window(spark):
+    import __spark_entry__ as E
+
+    base = E.queries()["X11_W5_dead_mans_switch"](spark, SF_SMOKE)
+    spark.conf.set("fraudlake.series.singleTaskPeriods", "10")
+    try:
+        joined = E.queries()["X11_W5_dead_mans_switch"](spark, SF_SMOKE)
+        a = {(r.period_start, r.alarm) for r in base.collect()}
+        b = {(r.period_start, r.alarm) for r in joined.collect()}
+        assert a == b and len(a) > 10
+        assert "Window" not in joined._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("fraudlake.series.singleTaskPeriods")
