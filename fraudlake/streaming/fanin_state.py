@@ -24,6 +24,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -61,6 +62,44 @@ def control_stream(txn: DataFrame, purges: DataFrame | None = None, carry=()) ->
     return t if purges is None else t.unionByName(tag_purges(purges), allowMissingColumns=True)
 
 
+def _in_order_run(seg, live, max_step, window, lateness, out_fan, offset):
+    """Vectorized fan-in for a run of non-decreasing steps that starts at or
+    after every step in the state. Eviction then only removes steps below
+    every row's window, so each row counts the state entries and the earlier
+    rows of the run with step >= its step - window."""
+    if live:
+        st = np.array(sorted(live), dtype=np.int64)
+        cnt = np.array([live[x] for x in st], dtype=np.int64)
+        suffix = np.concatenate([np.cumsum(cnt[::-1])[::-1], [0]])
+        from_state = suffix[np.searchsorted(st, seg - window, side="left")]
+    else:
+        from_state = np.zeros(len(seg), dtype=np.int64)
+    idx = np.arange(len(seg))
+    from_run = idx - np.searchsorted(seg, seg - window, side="left")
+    fans = from_state + from_run
+    for k, v in enumerate(fans.tolist()):
+        out_fan[offset + k] = v
+    values, counts = np.unique(seg, return_counts=True)
+    for v, c in zip(values.tolist(), counts.tolist()):
+        live[v] = live.get(v, 0) + c
+    max_step = int(seg[-1]) if max_step is None else max(max_step, int(seg[-1]))
+    floor = max_step - window - lateness
+    return {st_: c for st_, c in live.items() if st_ >= floor}, max_step
+
+
+def _row_by_row(seg, live, max_step, window, lateness, out_fan, out_late, offset):
+    """General case (steps out of order): apply events one at a time."""
+    for k, s in enumerate(seg.tolist()):
+        late = max_step is not None and s < max_step - window - lateness
+        out_fan[offset + k] = sum(c for st_, c in live.items() if s - window <= st_ <= s)
+        out_late[offset + k] = bool(late)
+        live[s] = live.get(s, 0) + 1
+        max_step = s if max_step is None else max(max_step, s)
+        floor = max_step - window - lateness
+        live = {st_: c for st_, c in live.items() if st_ >= floor}
+    return live, max_step
+
+
 def _make_fn(window: int, lateness: int):
     def fan_in_fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
@@ -73,24 +112,28 @@ def _make_fn(window: int, lateness: int):
             max_step = None if max_step is None else int(max_step)
         else:
             live, max_step = {}, None
-        out_fan, out_late, out_purged = [], [], []
-        for row in batch[["kind", "step"]].itertuples(index=False):
-            if row.kind == "purge":
-                out_fan.append(None)
-                out_late.append(False)
-                out_purged.append(bool(live) or max_step is not None)
+        kinds = batch["kind"].to_numpy()
+        steps_all = batch["step"].to_numpy()
+        n = len(batch)
+        out_fan = [None] * n
+        out_late = [False] * n
+        out_purged = [False] * n
+        i = 0
+        while i < n:
+            if kinds[i] == "purge":
+                out_purged[i] = bool(live) or max_step is not None
                 live, max_step = {}, None
+                i += 1
                 continue
-            s = int(row.step)
-            late = max_step is not None and s < max_step - window - lateness
-            fan = sum(c for st, c in live.items() if s - window <= st <= s)
-            live[s] = live.get(s, 0) + 1
-            max_step = s if max_step is None else max(max_step, s)
-            floor = max_step - window - lateness
-            live = {st: c for st, c in live.items() if st >= floor}
-            out_fan.append(fan)
-            out_late.append(bool(late))
-            out_purged.append(False)
+            j = i
+            while j < n and kinds[j] != "purge":
+                j += 1
+            seg = steps_all[i:j].astype(np.int64)
+            if (max_step is None or seg[0] >= max_step) and bool(np.all(seg[1:] >= seg[:-1])):
+                live, max_step = _in_order_run(seg, live, max_step, window, lateness, out_fan, i)
+            else:
+                live, max_step = _row_by_row(seg, live, max_step, window, lateness, out_fan, out_late, i)
+            i = j
         if max_step is None:
             state.remove()
         else:
