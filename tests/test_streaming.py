@@ -196,7 +196,8 @@ def test_vectorized_run_equals_row_by_row():
     for _ in range(300):
         window, lateness = rnd.choice([24, 3]), rnd.choice([0, 2])
         base = rnd.randint(0, 60)
-        live = {s: rnd.randint(1, 3) for s in rnd.sample(range(max(0, base - 40), base + 1), rnd.randint(0, 6))}
+        pool = range(max(0, base - 40), base + 1)
+        live = {s: rnd.randint(1, 3) for s in rnd.sample(pool, min(len(pool), rnd.randint(0, 6)))}
         max_step = max(live) if live else None
         start = base if max_step is None else max_step
         seg = np.array(sorted(start + rnd.randint(0, 50) for _ in range(rnd.randint(1, 40))), dtype=np.int64)
