@@ -165,8 +165,9 @@ def erase_tables(
     Returns one row per requested account: ``account_id, account_alias,
     rows_anonymized`` (cells replaced over all tables). Each table is written
     to a staging folder first (Spark cannot overwrite what it reads), row
-    counts are verified, then copied back. For partitioned tables only the
-    partitions holding a hit are rewritten (dynamic partition overwrite).
+    counts are verified, then the folders are swapped by rename. For
+    partitioned tables only the partitions holding a hit are rewritten
+    (dynamic partition overwrite from the staging copy).
     """
     partition_cols = partition_cols or {}
     amap = _alias_map(requests, pepper)
@@ -207,13 +208,23 @@ def erase_tables(
         staged = spark.read.parquet(staging)
         if staged.count() != expected:
             raise RuntimeError(f"staging row count mismatch for {path}; table left unchanged")
-        writer = staged.write.mode("overwrite")
+        sfs, sjp = _fs(spark, staging)
         if parts:
-            writer.option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path)
+            # Spark stages the new partitions and swaps them in at job commit
+            staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path)
+            sfs.delete(sjp, True)
         else:
-            writer.parquet(path)
-        sfs, sjp = _fs(spark, staging)
-        sfs.delete(sjp, True)
+            # swap folders: at every moment one complete version exists (the old
+            # table under ``.__old__`` or the verified copy in staging)
+            old = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}.__old__{uuid.uuid4().hex}")
+            if not fs.rename(jp, old):
+                raise RuntimeError(f"could not move {path} aside; table left unchanged")
+            if not fs.rename(sjp, jp):
+                fs.rename(old, jp)
+                raise RuntimeError(f"could not move the rewritten copy into {path}; old table restored")
+            fs.delete(old, True)
+            if not staging_root:
+                fs.delete(spark._jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + ".__staging__"), True)
     if totals is None:
         return amap.select("account_id", "account_alias", F.lit(0).cast("long").alias("rows_anonymized"))
     summed = totals.groupBy("account_id").agg(F.sum("_c").alias("rows_anonymized"))

@@ -157,3 +157,11 @@ def test_silver_view_is_registered(spark):
 
     v = silver_view(spark, P.silver(spark, SF_SMOKE), "stg_transactions_t")
     assert spark.sql("SELECT count(*) AS n FROM stg_transactions_t").first().n == v.count() > 0
+
+
+def test_erase_leaves_no_staging_or_old_copies(spark, workdir):
+    path = os.path.join(workdir, "u")
+    spark.createDataFrame([("C0000000001", "C0000000002")], "name_orig string, name_dest string").write.parquet(path)
+    erasure.erase_tables(spark, [path], erasure_requests_frame(spark, [("C0000000001", "r1")]), "p")
+    assert sorted(os.listdir(workdir)) == ["u"]
+    assert spark.read.parquet(path).first().name_orig == account_alias_py("C0000000001", "p")
