@@ -1095,3 +1095,21 @@ def q_f7(spark, sf):
     c = quality.with_contract(msgs, "value", out="p", kinds=ALERT_KINDS, not_object_msg="alert is not a dict",
                               nullable=False, check_type_values=False)
     return c.select("seq", F.size("p").alias("n_problems"), F.concat_ws("; ", "p").alias("problems_text"))
+
+
+@register("M5_compare_gbt_scorecard")
+def q_m5g(spark, sf):
+    """PR-AUC / ROC-AUC of the trained trees and of the scorecard on the same
+    test split, through the same evaluation operators (rows-only check)."""
+    from fraudlake.operators import model as M
+    from fraudlake.session import checkpoint_root
+
+    model, n_trees, _ = _trained(spark, sf)
+    lab, _ = P.labelled(spark, sf)
+    test = lab.where(F.col("split") == "test")
+    scored = M.model_scorer(model)(test).withColumns({"score": F.col("fraud_probability"), "label": F.col("is_fraud")})
+    checkpoint_root(spark)
+    counts = ev.score_counts(scored).checkpoint(eager=True)
+    gbt = ev.summary_metrics(ev.curve_points(counts))
+    _, _, pts, _ = P.evaluation(spark, sf)
+    return ev.compare_models({f"gbt-t{n_trees}": gbt, "scorecard": ev.summary_metrics(pts)}).select("model", "pr_auc", "roc_auc")
