@@ -26,33 +26,29 @@ def account_id(num: Column) -> Column:
     return F.concat(F.lit("C"), F.lpad(num.cast("string"), 9, "0"))
 
 
-def _m(k: int) -> Column:
-    return F.col("event_id") % F.lit(k) == 0
+# The mapping as SQL expressions: one ``selectExpr`` call builds the whole
+# projection in the JVM (building it Column by Column costs hundreds of
+# Python-to-JVM round trips per query).
+_TXN_EXPRS = (
+    "event_id AS seq",
+    "(dayofmonth(ts) - 1) * 24 + hour(ts) + 1 AS step",
+    "CASE event_type WHEN 'purchase' THEN 'CASH_OUT' WHEN 'error' THEN 'TRANSFER' "
+    "WHEN 'view' THEN 'PAYMENT' WHEN 'click' THEN 'CASH_IN' ELSE 'DEBIT' END AS type",
+    "CASE WHEN event_id % 103 = 0 THEN CAST(NULL AS DOUBLE) WHEN event_id % 101 = 0 THEN -value ELSE value END AS amount",
+    "concat('C', lpad(CAST(event_id AS STRING), 9, '0')) AS nameOrig",
+    "CASE WHEN event_id % 3 = 0 THEN 0.0D ELSE value * (event_id % 7 + 1) END AS oldbalanceOrg",
+    "CASE WHEN event_id % 3 = 0 OR event_id % 13 = 0 THEN 0.0D ELSE value * (event_id % 7) END AS newbalanceOrig",
+    "CASE WHEN event_id % 107 = 0 THEN CAST(NULL AS STRING) ELSE concat('C', lpad(CAST(user_id AS STRING), 9, '0')) END AS nameDest",
+    "CASE WHEN event_id % 113 = 0 THEN CAST(NULL AS DOUBLE) ELSE value * (event_id % 5) END AS oldbalanceDest",
+    "CASE WHEN event_id % 109 = 0 THEN -1.0D WHEN event_id % 13 = 0 THEN 0.0D ELSE value * (event_id % 5 + 1) END AS newbalanceDest",
+    "CASE WHEN event_type IN ('purchase', 'error') AND event_id % 13 = 0 THEN 1 ELSE 0 END AS isFraud",
+    "CASE WHEN event_id % 997 = 0 THEN 1 ELSE 0 END AS isFlaggedFraud",
+    "ts AS ingested_at",
+)
 
 
 def transactions_from_events(events: DataFrame) -> DataFrame:
-    eid, v = F.col("event_id"), F.col("value")
-    ts = F.col("ts")
-    return events.select(
-        eid.alias("seq"),
-        ((F.dayofmonth(ts) - 1) * 24 + F.hour(ts) + 1).alias("step"),
-        F.when(F.col("event_type") == "purchase", "CASH_OUT")
-        .when(F.col("event_type") == "error", "TRANSFER")
-        .when(F.col("event_type") == "view", "PAYMENT")
-        .when(F.col("event_type") == "click", "CASH_IN")
-        .otherwise("DEBIT")
-        .alias("type"),
-        F.when(_m(103), F.lit(None).cast("double")).when(_m(101), -v).otherwise(v).alias("amount"),
-        account_id(eid).alias("nameOrig"),
-        F.when(_m(3), F.lit(0.0)).otherwise(v * (eid % 7 + 1)).alias("oldbalanceOrg"),
-        F.when(_m(3) | _m(13), F.lit(0.0)).otherwise(v * (eid % 7)).alias("newbalanceOrig"),
-        F.when(_m(107), F.lit(None).cast("string")).otherwise(account_id(F.col("user_id"))).alias("nameDest"),
-        F.when(_m(113), F.lit(None).cast("double")).otherwise(v * (eid % 5)).alias("oldbalanceDest"),
-        F.when(_m(109), F.lit(-1.0)).when(_m(13), F.lit(0.0)).otherwise(v * (eid % 5 + 1)).alias("newbalanceDest"),
-        F.when(F.col("event_type").isin("purchase", "error") & _m(13), 1).otherwise(0).alias("isFraud"),
-        F.when(_m(997), 1).otherwise(0).alias("isFlaggedFraud"),
-        ts.alias("ingested_at"),
-    )
+    return events.selectExpr(*_TXN_EXPRS)
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
