@@ -190,7 +190,8 @@ def erase_tables(
             continue
         parts = partition_cols.get(path, [])
         staging = f"{(staging_root or path.rstrip('/') + '.__staging__')}/{uuid.uuid4().hex}"
-        guard_output(staging, (path,)) if staging_root else None
+        if staging_root:
+            guard_output(staging, (path,))
         if parts:
             hit_ids = amap.select("account_id")
             hit_parts = (
