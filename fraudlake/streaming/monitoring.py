@@ -42,3 +42,31 @@ def windowed_rollup(points: DataFrame, period: str = "5 minutes", delay: str = "
         .agg(F.sum("value").alias("total"))
         .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "metric", "total")
     )
+
+
+def threshold_alarm_stream(points: DataFrame, period: str = "5 minutes", delay: str = "10 minutes") -> DataFrame:
+    """Streaming workload alarms: the windowed rollup joined to the alarm
+    rules (a literal table; stream-static join) by metric name; a finished
+    window is emitted once, with ``alarm`` = its Sum against the threshold."""
+    from fraudlake.operators.monitor import rules_frame
+    from fraudlake.schemas import ALARM_RULES
+
+    seconds = _period_seconds(period)
+    rules = [r for r in ALARM_RULES if r[3] == seconds and r[4] == 1 and not r[5]]
+    spark = points.sparkSession
+    rolled = windowed_rollup(points, period, delay)
+    r = F.broadcast(rules_frame(spark, rules))
+    breach = (
+        F.when(F.col("comparison") == ">", F.col("total") > F.col("threshold"))
+        .when(F.col("comparison") == "<", F.col("total") < F.col("threshold"))
+        .when(F.col("comparison") == ">=", F.col("total") >= F.col("threshold"))
+        .otherwise(F.col("total") <= F.col("threshold"))
+    )
+    return rolled.join(r, "metric", "inner").select(
+        "metric", "window_start", "window_end", "total", "threshold", breach.alias("alarm")
+    )
+
+
+def _period_seconds(period: str) -> int:
+    n, unit = period.split()
+    return int(n) * {"second": 1, "seconds": 1, "minute": 60, "minutes": 60, "hour": 3600, "hours": 3600}[unit]

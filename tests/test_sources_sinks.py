@@ -132,3 +132,22 @@ def test_heartbeats_from_progress_and_streaming_rollup(spark, workdir):
     hb = heartbeat_frame(spark, q)
     assert hb.count() == len(q.recentProgress) >= 1
     assert hb.where(F.col("metric") == "ConsumerHeartbeat").count() == hb.count()
+
+
+def test_streaming_threshold_alarm(spark, workdir):
+    from fraudlake.streaming.monitoring import threshold_alarm_stream
+
+    src = os.path.join(workdir, "alarm_pts")
+    errs = ["00:00:10", "00:01:00", "00:01:30", "00:02:00", "00:03:00", "00:04:00", "00:05:00"]
+    rows = [(f"2024-01-01 {t}", "ScorerErrorCount", 1) for t in errs]  # 6 in 00:00-00:05, 1 after
+    rows += [("2024-01-01 00:02:00", "FraudAlertCount", 1), ("2024-01-01 00:40:00", "ScorerErrorCount", 1)]
+    spark.createDataFrame(rows, "ts string, metric string, value long").withColumn("ts", F.to_timestamp("ts")) \
+        .coalesce(1).write.parquet(src)
+    stream = spark.readStream.schema("ts timestamp, metric string, value long").parquet(src)
+    q = (threshold_alarm_stream(stream, "5 minutes", "1 minute").writeStream.format("memory").queryName("alarm_q")
+         .outputMode("append").option("checkpointLocation", os.path.join(workdir, "ck")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    out = {(r.metric, str(r.window_start)): (r.total, r.alarm) for r in spark.table("alarm_q").collect()}
+    assert out[("ScorerErrorCount", "2024-01-01 00:00:00")] == (6, True)  # > 5 in 5 minutes
+    assert out[("ScorerErrorCount", "2024-01-01 00:05:00")] == (1, False)
+    assert out[("FraudAlertCount", "2024-01-01 00:00:00")] == (1, False)
