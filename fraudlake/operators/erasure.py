@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from fraudlake.functions.alias import account_alias
 from fraudlake.functions.quality import account_id_valid
-from fraudlake.paths import guard_output
+from fraudlake.paths import delete_path, guard_output, path_exists, rename_path
 from fraudlake.plans.strategies import sized_broadcast
 from fraudlake.schemas import REGISTRY, REQUEST_ID_HEX_CHARS, REQUEST_ID_PREFIX
 from fraudlake.session import checkpoint_root
@@ -72,9 +72,7 @@ def read_registry(spark: SparkSession, path: str) -> DataFrame | None:
     Any other read error propagates: an unreadable registry must not be
     mistaken for an empty one.
     """
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(jvm_path):
+    if not path_exists(spark, path):
         return None
     return spark.read.schema(REGISTRY).parquet(path)
 
@@ -147,11 +145,6 @@ def anonymize(table: DataFrame, amap: DataFrame, id_columns=ID_COLUMNS) -> DataF
     )
 
 
-def _fs(spark: SparkSession, path: str):
-    jp = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return jp.getFileSystem(spark._jsc.hadoopConfiguration()), jp
-
-
 def erase_tables(
     spark: SparkSession,
     table_paths: list[str],
@@ -173,8 +166,7 @@ def erase_tables(
     amap = _alias_map(requests, pepper)
     totals = None
     for path in table_paths:
-        fs, jp = _fs(spark, path)
-        if not fs.exists(jp):
+        if not path_exists(spark, path):
             continue
         df = spark.read.parquet(path)
         cols = [c for c in ID_COLUMNS if c in df.columns]
@@ -209,23 +201,22 @@ def erase_tables(
         staged = spark.read.parquet(staging)
         if staged.count() != expected:
             raise RuntimeError(f"staging row count mismatch for {path}; table left unchanged")
-        sfs, sjp = _fs(spark, staging)
         if parts:
             # Spark stages the new partitions and swaps them in at job commit
             staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path)
-            sfs.delete(sjp, True)
+            delete_path(spark, staging)
         else:
             # swap folders: at every moment one complete version exists (the old
             # table under ``.__old__`` or the verified copy in staging)
-            old = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}.__old__{uuid.uuid4().hex}")
-            if not fs.rename(jp, old):
+            old = f"{path.rstrip('/')}.__old__{uuid.uuid4().hex}"
+            if not rename_path(spark, path, old):
                 raise RuntimeError(f"could not move {path} aside; table left unchanged")
-            if not fs.rename(sjp, jp):
-                fs.rename(old, jp)
+            if not rename_path(spark, staging, path):
+                rename_path(spark, old, path)
                 raise RuntimeError(f"could not move the rewritten copy into {path}; old table restored")
-            fs.delete(old, True)
-            if not staging_root:
-                fs.delete(spark._jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + ".__staging__"), True)
+            delete_path(spark, old)
+        if not staging_root:
+            delete_path(spark, path.rstrip("/") + ".__staging__")
     if totals is None:
         return amap.select("account_id", "account_alias", F.lit(0).cast("long").alias("rows_anonymized"))
     summed = totals.groupBy("account_id").agg(F.sum("_c").alias("rows_anonymized"))

@@ -26,6 +26,7 @@ from fraudlake.schemas import (
     GBT_SEED,
     GBT_STEP_SIZE,
 )
+from fraudlake.paths import path_exists
 from fraudlake.session import checkpoint_root
 
 
@@ -158,10 +159,8 @@ def save_model(model: PipelineModel, metadata: dict, path: str) -> None:
 def load_model(path: str) -> tuple[PipelineModel, dict]:
     """Load both artifacts; fails loudly when either is absent."""
     spark = SparkSession.getActiveSession()
-    jp = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = jp.getFileSystem(spark._jsc.hadoopConfiguration())
     for part in ("model", "metadata"):
-        if not fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{part}")):
+        if not path_exists(spark, f"{path}/{part}"):
             raise FileNotFoundError(f"frozen model artifact {part!r} not found under {path}")
     model = PipelineModel.load(f"{path}/model")
     meta = json.loads(spark.read.text(f"{path}/metadata").first()[0])

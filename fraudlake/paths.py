@@ -84,3 +84,27 @@ class LakePaths:
             for b in (data + ckpt)[i + 1 :]:
                 if overlaps(a, b):
                     raise ValueError(f"{a!r} and {b!r} overlap")
+
+
+# --- file-system actions (exists / rename / delete) -----------------------------
+# PySpark has no public API for these; they go through the Hadoop FileSystem of
+# the session, so they work on any store the session can read (local, HDFS, S3A).
+
+def _fs(spark, path: str):
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
+
+
+def path_exists(spark, path: str) -> bool:
+    fs, jpath = _fs(spark, path)
+    return bool(fs.exists(jpath))
+
+
+def rename_path(spark, src: str, dst: str) -> bool:
+    fs, jsrc = _fs(spark, src)
+    return bool(fs.rename(jsrc, _fs(spark, dst)[1]))
+
+
+def delete_path(spark, path: str) -> None:
+    fs, jpath = _fs(spark, path)
+    fs.delete(jpath, True)

@@ -57,9 +57,9 @@ def read_txn_csv(spark: SparkSession, path: str) -> DataFrame:
 
 def read_through_cache(spark: SparkSession, path: str, build: Callable[[], DataFrame]) -> DataFrame:
     """Read the parquet cache if present, else build, write it, read it back."""
-    jp = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = jp.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(jp):
+    from fraudlake.paths import path_exists
+
+    if not path_exists(spark, path):
         build().write.mode("errorifexists").parquet(path)
     return spark.read.parquet(path)
 
