@@ -285,25 +285,29 @@ def duplicate_offenders(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def leak_audit(layers: dict[str, tuple[DataFrame, list[str]]], registry: DataFrame, allowed=("bronze",)) -> DataFrame:
-    """Rows per (layer, column) still holding a registered raw id."""
+    """Rows per (layer, column) still holding a registered raw id.
+
+    Each layer is read once: its id columns are unpivoted to (column, id)
+    pairs and matched against the registry in one semi join."""
+    spark = registry.sparkSession
     ids = sized_broadcast(registry.select("account_id").distinct())
-    parts = []
+    expected, found = [], None
     for layer, (df, cols) in layers.items():
-        for c in cols:
-            if c not in df.columns:
-                continue
-            n = df.select(F.col(c).alias("account_id")).join(ids, "account_id", "left_semi").agg(
-                F.count(F.lit(1)).cast("long").alias("leaked_rows")
-            )
-            parts.append(
-                n.select(
-                    F.lit(layer).alias("layer"),
-                    F.lit(c).alias("column_name"),
-                    "leaked_rows",
-                    F.lit(layer in allowed).alias("allowed"),
-                )
-            )
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        cols = [c for c in cols if c in df.columns]
+        if not cols:
+            continue
+        expected += [(layer, c, layer in allowed) for c in cols]
+        pairs = df.select(
+            F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("account_id")) for c in cols])).alias("p")
+        ).select("p.column_name", "p.account_id")
+        hits = pairs.join(ids, "account_id", "left_semi").groupBy("column_name").agg(
+            F.count(F.lit(1)).cast("long").alias("leaked_rows")
+        ).withColumn("layer", F.lit(layer))
+        found = hits if found is None else found.unionByName(hits)
+    frame = spark.createDataFrame(expected, "layer string, column_name string, allowed boolean")
+    if found is None:
+        return frame.select("layer", "column_name", F.lit(0).cast("long").alias("leaked_rows"), "allowed")
+    # one row per expected (layer, column): a literal table of a few rows
+    return frame.join(found, ["layer", "column_name"], "left").select(
+        "layer", "column_name", F.coalesce(F.col("leaked_rows"), F.lit(0)).cast("long").alias("leaked_rows"), "allowed"
+    )
