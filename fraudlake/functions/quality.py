@@ -187,7 +187,6 @@ def with_contract(
     kind_cols["_obj"] = _is_object(F.col(raw), F.col("_v"))
     if check_type_values:
         kind_cols["_ttext"] = F.try_variant_get(F.col("_v"), "$.type", "string")
-        kind_cols["_tjson"] = F.to_json(F.try_variant_get(F.col("_v"), "$.type", "variant"))
     staged = staged.withColumns(kind_cols)
     items = []
     for field, expected in kinds:
@@ -201,12 +200,15 @@ def with_contract(
         )
     if check_type_values:
         tkind, text = F.col("_k_type"), F.col("_ttext")
-        shown = F.when(tkind == "str", F.concat(F.lit("'"), text, F.lit("'"))).otherwise(F.col("_tjson"))
+        # JSON text of a non-string type value: only evaluated in that (rare) branch
+        shown = F.when(tkind == "str", F.concat(F.lit("'"), text, F.lit("'"))).otherwise(
+            F.to_json(F.try_variant_get(F.col("_v"), "$.type", "variant"))
+        )
         unknown = tkind.isNotNull() & (tkind != "NoneType") & ~((tkind == "str") & text.isin(*TXN_TYPES))
         items.append(F.when(unknown, F.concat(F.lit(MSG_UNKNOWN_TYPE.format(value="")), shown)))
     problems = compact(items)
     result = staged.withColumn(out, F.when(F.col("_obj"), problems).otherwise(F.array(F.lit(not_object_msg))))
-    return result.drop("_v", "_obj", "_ttext", "_tjson", *[f"_k_{f}" for f, _ in kinds], *[f"_s_{f}" for f, _ in kinds])
+    return result.drop("_v", "_obj", "_ttext", *[f"_k_{f}" for f, _ in kinds], *[f"_s_{f}" for f, _ in kinds])
 
 
 def txn_contract(raw: Column | str) -> Column:
