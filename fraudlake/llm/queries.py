@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from fraudlake.llm import bpe, token_files
+from fraudlake.llm import bpe, packing, token_files
 from fraudlake.llm.common import read_table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -29,3 +29,8 @@ def op3(spark, sf_dir):
 @register("op5_token_files")
 def op5(spark, sf_dir):
     return token_files.write_and_read(read_table(spark, sf_dir, "documents"), WORD_BPE, end_id=2)
+
+
+@register("op2_best_fit_packing")
+def op2(spark, sf_dir):
+    return packing.pack_documents(read_table(spark, sf_dir, "documents"), BYTE_BPE, end_id=2, capacity=1024)
