@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from fraudlake.llm import bpe, packing, token_files
+from fraudlake.llm import bpe, language, packing, resampling, token_files
 from fraudlake.llm.common import read_table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -34,3 +34,14 @@ def op5(spark, sf_dir):
 @register("op2_best_fit_packing")
 def op2(spark, sf_dir):
     return packing.pack_documents(read_table(spark, sf_dir, "documents"), BYTE_BPE, end_id=2, capacity=1024)
+
+
+@register("op1_importance_resampling")
+def op1(spark, sf_dir):
+    labels = read_table(spark, sf_dir, "labels").selectExpr("doc_id", "quality AS label")
+    return resampling.resample(read_table(spark, sf_dir, "documents"), labels)
+
+
+@register("op4_language_spans")
+def op4(spark, sf_dir):
+    return language.identify(read_table(spark, sf_dir, "documents"))
