@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from fraudlake.llm import bpe, language, packing, resampling, token_files
+from fraudlake.llm import bpe, language, packing, resampling, similar, token_files
 from fraudlake.llm.common import read_table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -45,3 +45,8 @@ def op1(spark, sf_dir):
 @register("op4_language_spans")
 def op4(spark, sf_dir):
     return language.identify(read_table(spark, sf_dir, "documents"))
+
+
+@register("op7_chosen_path_join")
+def op7(spark, sf_dir):
+    return similar.similar_documents(read_table(spark, sf_dir, "documents"))
