@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from fraudlake.llm import bpe, language, packing, resampling, similar, token_files
+from fraudlake.llm import bpe, fingerprints, language, packing, resampling, similar, sql, token_files, vector_search
 from fraudlake.llm.common import read_table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -50,3 +50,13 @@ def op4(spark, sf_dir):
 @register("op7_chosen_path_join")
 def op7(spark, sf_dir):
     return similar.similar_documents(read_table(spark, sf_dir, "documents"))
+
+
+@register("op8_bottom_k_fingerprints")
+def op8(spark, sf_dir):
+    return fingerprints.fingerprint_edits(read_table(spark, sf_dir, "documents"))
+
+
+@register("op10_branch_and_bound_top_k", sql.TOP_K)
+def op10(spark, sf_dir):
+    return vector_search.top_k(read_table(spark, sf_dir, "embeddings"))
