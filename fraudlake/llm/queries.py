@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
-from fraudlake.llm import bpe, fingerprints, language, packing, resampling, similar, sql, token_files, vector_search
+from fraudlake.llm import bpe, fingerprints, language, licences, packing, resampling, similar, sql, token_files, url_filter, vector_search
 from fraudlake.llm.common import read_table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -60,3 +61,25 @@ def op8(spark, sf_dir):
 @register("op10_branch_and_bound_top_k", sql.TOP_K)
 def op10(spark, sf_dir):
     return vector_search.top_k(read_table(spark, sf_dir, "embeddings"))
+
+
+# fixed values: the rules of the query
+URL_RULES = [
+    ("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"),
+]
+
+
+@register("op9_path_template_tree", sql.URL_VERDICTS)
+def op9(spark, sf_dir):
+    """A page is good when the document that its URL numbers is labelled of quality and not toxic."""
+    good = F.when((F.col("quality") == 1) & (F.col("toxic") == 0), 1).otherwise(0)
+    labels = read_table(spark, sf_dir, "labels").where("quality is not null and toxic is not null").select("doc_id", good.alias("label"))
+    labels = labels.where("doc_id is not null").groupBy("doc_id").agg(F.min("label").alias("label"))
+    number = F.expr("try_cast(regexp_extract(url, '://[^/?#]*/[^?#]*?([0-9]+)[^0-9/?#]*/?([?#]|$)', 1) AS bigint)")
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url", number.alias("doc_id"))
+    return url_filter.judge(pages.join(labels, "doc_id", "left"), URL_RULES)
+
+
+@register("op6_licence_scan", sql.LICENCE_SCAN)
+def op6(spark, sf_dir):
+    return licences.scan(read_table(spark, sf_dir, "documents"))

@@ -1,5 +1,7 @@
 """DuckDB SQL that checks the queries of this folder which SQL can express."""
 
+from fraudlake.llm.licences import TEMPLATES
+
 TOP_K = """
 WITH v AS (
   SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
@@ -15,3 +17,115 @@ WITH v AS (
 )
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 """
+
+
+def _url_verdicts(depth: int = 6) -> str:
+    """The template tree with its levels written out, one common table expression a step."""
+    ctes = ["""
+w AS (
+  SELECT doc_id, min(CASE WHEN quality = 1 AND toxic = 0 THEN 1 ELSE 0 END) AS label
+  FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL AND toxic IS NOT NULL GROUP BY doc_id
+)""", """
+u AS (
+  SELECT page_id, url, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest,
+         try_cast(regexp_extract(url, '://[^/?#]*/[^?#]*?([0-9]+)[^0-9/?#]*/?([?#]|$)', 1) AS BIGINT) AS doc_id
+  FROM pages
+)""", """
+h AS (
+  SELECT page_id, w.label, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM u LEFT JOIN w USING (doc_id)
+)""", f"""
+r0 AS (
+  SELECT *, '' AS node, CASE WHEN len(s) > {depth} THEN list_append(s[1:{depth - 1}], array_to_string(s[{depth}:], '/')) ELSE s END AS segs
+  FROM (SELECT *, list_filter(string_split(path, '/'), lambda x: x <> '') AS s FROM h)
+)"""]
+    for d in range(1, depth + 1):
+        p = d - 1
+        ctes.append(f"k{d} AS (SELECT host, node, segs[{d}] AS seg, count(*) AS n FROM r{p} WHERE len(segs) >= {d} GROUP BY ALL)")
+        ctes.append(f"""
+r{d} AS (
+  SELECT r.page_id, r.label, r.host, r.path, r.segs,
+         r.node || CASE WHEN k.seg IS NULL THEN '' WHEN (k.kinds > 16 AND k.total < 20 * k.kinds OR regexp_matches(k.seg, '[0-9]')) AND NOT (k.n >= 50 AND k.n >= 0.01 * k.total) THEN '/*' ELSE '/' || k.seg END AS node
+  FROM r{p} r LEFT JOIN (SELECT *, sum(n) OVER v AS total, count(*) OVER v AS kinds FROM k{d} WINDOW v AS (PARTITION BY host, node)) k
+    ON r.host = k.host AND r.node = k.node AND r.segs[{d}] = k.seg
+)""")
+    ctes.append(f"m{depth + 1} AS (SELECT host, node, node AS final, count(label) AS labelled, coalesce(sum(label), 0) AS good FROM r{depth} GROUP BY host, node)")
+    for d in range(depth, 0, -1):
+        ctes.append(f"""
+f{d} AS (
+  SELECT *, CASE WHEN len(string_split(final, '/')) > {d} THEN
+           array_to_string(list_concat(list_append(string_split(final, '/')[1:{d}], '*'), string_split(final, '/')[{d + 2}:]), '/') END AS family
+  FROM m{d + 1}
+)""")
+        ctes.append(f"""
+g{d} AS (
+  SELECT *, sum(l) OVER v AS al, sum(g) OVER v AS ag, count(*) OVER v AS nodes
+  FROM (SELECT host, family, final, sum(labelled) AS l, sum(good) AS g FROM f{d} WHERE family IS NOT NULL GROUP BY ALL)
+  WINDOW v AS (PARTITION BY host, family)
+)""")
+        ctes.append(f"""
+m{d} AS (
+  SELECT f.host, f.node, f.labelled, f.good,
+         CASE WHEN g.nodes > 1 AND (l = 0 OR al = l OR
+                power(g / greatest(l, 1) - (ag - g) / greatest(al - l, 1), 2)
+                <= 1.96 * 1.96 * (ag / greatest(al, 1)) * (1 - ag / greatest(al, 1)) * (1.0 / greatest(l, 1) + 1.0 / greatest(al - l, 1)))
+              THEN f.family ELSE f.final END AS final
+  FROM f{d} f LEFT JOIN g{d} g ON f.host = g.host AND f.final = g.final AND f.family = g.family
+)""")
+    ctes.append("""
+t AS (
+  SELECT host, node, final,
+         (sum(good) OVER v + 10.0 * coalesce((SELECT sum(good) / nullif(sum(labelled), 0) FROM m1), 1)) / (sum(labelled) OVER v + 10.0) AS purity
+  FROM m1 WINDOW v AS (PARTITION BY host, final)
+)""")
+    ctes.append(f"""
+x AS (
+  SELECT r.*, t.purity, t.final,
+         CASE WHEN (host = 'example.org' OR host LIKE '%.example.org') AND path LIKE '/en/1%' THEN 'example.org/en/1'
+              WHEN (host = 'example.org' OR host LIKE '%.example.org') AND path LIKE '/es/%' THEN 'example.org/es/'
+              WHEN (host = 'com' OR host LIKE '%.com') AND path LIKE '/fr/%' THEN 'com/fr/'
+              WHEN (host = 'com' OR host LIKE '%.com') AND path LIKE '/de/%' THEN 'com/de/'
+              WHEN (host = 'org' OR host LIKE '%.org') AND path LIKE '/%' THEN 'org/' END AS rule
+  FROM r{depth} r JOIN t USING (host, node)
+)""")
+    return "WITH " + ",".join(ctes) + """
+SELECT page_id, host, path, rule,
+       CASE WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block' WHEN purity >= 0.5 THEN 'allow' ELSE 'block' END AS verdict,
+       host || final AS template, CAST(round(purity, 9) AS DOUBLE) AS purity
+FROM x
+"""
+
+
+URL_VERDICTS = _url_verdicts()
+
+
+def _licence_scan() -> str:
+    grams = "list_distinct(list_transform(range(1, len({w})), lambda i: {w}[i] || ' ' || {w}[i + 1]))"
+    words = "list_transform(regexp_extract_all(lower({t}), '[a-z0-9]+'), lambda x: CASE WHEN regexp_full_match(x, '[0-9]+') THEN '#' ELSE x END)"
+    quoted = ", ".join("('{}', '{}')".format(k, t.replace("'", "''")) for k, t in TEMPLATES)
+    return f"""
+WITH lt AS (
+  SELECT k, {grams.format(w="w")} AS g FROM (SELECT k, {words.format(t="x")} AS w FROM (VALUES {quoted}) v(k, x))
+), seg AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS s, true AS is_line FROM documents
+  UNION ALL SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10) || chr(10))), false FROM documents
+  UNION ALL SELECT doc_id, coalesce(text, ''), false FROM documents
+), a AS (
+  SELECT doc_id, is_line, {grams.format(w="w")} AS g FROM (SELECT doc_id, is_line, {words.format(t="s")} AS w FROM seg)
+), m AS (
+  SELECT a.doc_id, a.is_line, lt.k, 2.0 * len(list_intersect(a.g, lt.g)) / (len(a.g) + len(lt.g)) AS dice
+  FROM a JOIN lt ON len(a.g) >= len(lt.g) * 0.8 / 1.2 AND len(a.g) <= len(lt.g) * 1.2 / 0.8
+), hit AS (SELECT * FROM m WHERE dice >= 0.8),
+best AS (
+  SELECT doc_id, k AS license_id, dice FROM (
+    SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY dice DESC, k) AS r FROM hit) WHERE r = 1
+), n AS (
+  SELECT doc_id, count(*) AS n FROM (SELECT doc_id, dice FROM hit WHERE is_line) GROUP BY doc_id
+)
+SELECT d.doc_id, best.license_id, CAST(coalesce(best.dice, 0) AS DOUBLE) AS dice, CAST(coalesce(n.n, 0) AS BIGINT) AS line_matches
+FROM documents d LEFT JOIN best USING (doc_id) LEFT JOIN n USING (doc_id)
+"""
+
+
+LICENCE_SCAN = _licence_scan()
