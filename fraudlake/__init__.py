@@ -10,3 +10,11 @@ sinks/      every writer
 """
 
 __version__ = "0.1.0"
+
+import sys as _sys
+
+from pyspark import cloudpickle as _cloudpickle
+
+# functions that run on executors travel with the job: executors need not have
+# the package on their path
+_cloudpickle.register_pickle_by_value(_sys.modules[__name__])

@@ -7,6 +7,7 @@ per account.
 
 from __future__ import annotations
 
+import logging
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +16,6 @@ from pyspark.sql import functions as F
 from fraudlake.functions.alias import account_alias
 from fraudlake.functions.quality import account_id_valid
 from fraudlake.paths import delete_path, guard_output, path_exists, rename_path
-from fraudlake.plans.strategies import sized_broadcast
 from fraudlake.schemas import REGISTRY, REQUEST_ID_HEX_CHARS, REQUEST_ID_PREFIX
 from fraudlake.session import checkpoint_root
 
@@ -59,13 +59,24 @@ def build_registry(
 
 
 def registry_new_rows(new_rows: DataFrame, existing: DataFrame | None) -> DataFrame:
-    """Rows to append: one per request id, and only ids not yet present."""
-    dedup = new_rows.dropDuplicates(["request_id"])
+    """Rows to append: one per request id (the earliest, then the smallest
+    account; :func:`registry_conflicts` has the others), only ids not yet present."""
+    cols = [c for c in REGISTRY.fieldNames() if c != "request_id"]
+    first = F.min(F.struct("requested_at", "account_id", *[c for c in cols if c not in ("requested_at", "account_id")]))
+    dedup = new_rows.groupBy("request_id").agg(first.alias("_r")).select("request_id", *[F.col(f"_r.{c}").alias(c) for c in cols])
+    dedup = dedup.select(*REGISTRY.fieldNames())
     if existing is None:
         return dedup
     return dedup.join(existing.select("request_id"), "request_id", "left_anti").select(*REGISTRY.fieldNames())
 
 
+def registry_conflicts(new_rows: DataFrame) -> DataFrame:
+    """Requests rejected because their request id already names another account."""
+    kept = registry_new_rows(new_rows, None).select("request_id", F.col("account_id").alias("_kept"))
+    other = new_rows.join(kept, "request_id").where(F.col("account_id") != F.col("_kept"))
+    return other.select("account_id", "request_id", F.lit("request_id names another account").alias("reason")).distinct()
+
+
 def read_registry(spark: SparkSession, path: str) -> DataFrame | None:
     """The registry table, or None when it has never been written.
 
@@ -101,14 +112,17 @@ def ordered_registry(registry: DataFrame) -> DataFrame:
     return registry.select("request_id", "account_alias", "requested_at").orderBy("requested_at", "request_id")
 
 
-def _alias_map(requests: DataFrame, pepper: str, max_rows: int | None = None) -> DataFrame:
-    m = requests.select("account_id").distinct().select(
-        "account_id", account_alias("account_id", pepper).alias("account_alias")
-    )
-    return sized_broadcast(m, max_rows)
+def _alias_map(requests: DataFrame, pepper: str | None) -> DataFrame:
+    """Account and alias of the valid requests; registry rows bring their alias, so no pepper is needed."""
+    valid = requests.where(account_id_valid("account_id"))
+    if "account_alias" in requests.columns:
+        return valid.groupBy("account_id").agg(F.min("account_alias").alias("account_alias"))
+    if pepper is None:
+        raise ValueError("requests without an alias need a pepper")
+    return valid.select("account_id").distinct().select("account_id", account_alias("account_id", pepper).alias("account_alias"))
 
 
-def erased_cells(table: DataFrame, requests: DataFrame, pepper: str, id_columns=ID_COLUMNS) -> DataFrame:
+def erased_cells(table: DataFrame, requests: DataFrame, pepper: str | None = None, id_columns=ID_COLUMNS) -> DataFrame:
     """Cells holding an erased raw id, counted per account.
 
     Each present id column is unpivoted to (account, 1) and matched against the
@@ -149,14 +163,16 @@ def erase_tables(
     spark: SparkSession,
     table_paths: list[str],
     requests: DataFrame,
-    pepper: str,
+    pepper: str | None = None,
     partition_cols: dict[str, list[str]] | None = None,
     staging_root: str | None = None,
 ) -> DataFrame:
     """Rewrite each table with erased ids replaced by their alias.
 
     Returns one row per requested account: ``account_id, account_alias,
-    rows_anonymized`` (cells replaced over all tables). Each table is written
+    rows_anonymized`` (cells replaced over all tables). Requests with an invalid
+    account id change nothing; registry rows may be passed as requests (their
+    alias is used). The staged copy must hold no requested id. Each table is written
     to a staging folder first (Spark cannot overwrite what it reads), row
     counts are verified, then the folders are swapped by rename. For
     partitioned tables only the partitions holding a hit are rewritten
@@ -192,7 +208,8 @@ def erase_tables(
                 .select(*parts)
                 .distinct()
             )
-            scope = df.join(F.broadcast(hit_parts), parts, "left_semi")
+            # null-safe: rows may lack a partition value
+            scope = df.join(hit_parts.select(*[F.col(c).alias(f"_hit_{c}") for c in parts]), [df[c].eqNullSafe(F.col(f"_hit_{c}")) for c in parts], "left_semi")
         else:
             scope = df
         rewritten = anonymize(scope, amap)
@@ -201,6 +218,8 @@ def erase_tables(
         staged = spark.read.parquet(staging)
         if staged.count() != expected:
             raise RuntimeError(f"staging row count mismatch for {path}; table left unchanged")
+        if erased_cells(staged, requests, pepper).agg(F.sum("cells")).first()[0] or erased_cells(scope, requests, pepper).agg(F.sum("cells")).first()[0] != n_cells:
+            raise RuntimeError(f"the staged copy for {path} does not replace every requested id; table left unchanged")
         if parts:
             # Spark stages the new partitions and swaps them in at job commit
             staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path)
@@ -259,6 +278,47 @@ def purge_messages(requests: DataFrame) -> DataFrame:
     )
 
 
+def submit_erasure(
+    spark: SparkSession,
+    requests: DataFrame,
+    pepper: str,
+    registry_path: str,
+    table_paths: list[str],
+    audit_path: str,
+    publish,
+    partition_cols: dict[str, list[str]] | None = None,
+) -> DataFrame:
+    """The cascade: registry, purge messages, table rewrite, audit.
+
+    ``publish(messages)`` sends the control-topic frame; if it raises, the cascade
+    goes on and the results say ``streaming_purge_published = false``, so the same
+    requests can be submitted again (each step is idempotent). Invalid requests and
+    request ids that name another account are reported as ``rejected``.
+    """
+    staged = requests.withColumn("requested_ts", F.coalesce(F.col("requested_ts"), F.current_timestamp())) if "requested_ts" in requests.columns else requests.withColumn("requested_ts", F.current_timestamp())
+    checkpoint_root(spark)
+    staged = staged.checkpoint(eager=True)
+    rows, _ = build_registry(staged, pepper)
+    append_registry(spark, rows, registry_path)
+    clash = registry_conflicts(rows).select("account_id", "request_id").withColumn("_clash", F.lit(True))
+    good = staged.join(clash, ["account_id", "request_id"], "left_anti")
+    try:
+        publish(purge_messages(good))
+        published = True
+    except Exception as e:  # the other steps must still run; the result tells
+        published = False
+        logging.getLogger("fraudlake").warning("purge messages not published: %s", e)
+    aliases = rows.join(clash, ["account_id", "request_id"], "left_anti").select("account_id", "account_alias")
+    done = erase_tables(spark, table_paths, aliases, None, partition_cols)
+    cells = done.select("account_id", "account_alias", F.col("rows_anonymized").alias("cells"))
+    results = erasure_results(staged, cells, published)
+    marked = results.join(clash.select("request_id", "_clash").distinct(), "request_id", "left")
+    results = marked.withColumn("status", F.when(F.col("_clash") & F.col("account_alias").isNull(), "rejected").otherwise(F.col("status"))).drop("_clash")
+    results = results.checkpoint(eager=True)
+    append_audit(audit_rows(results), audit_path)
+    return results
+
+
 def audit_rows(results: DataFrame) -> DataFrame:
     """Alias-only audit rows (never the raw id)."""
     return results.where(F.col("status") == "erasure_requested").select(
@@ -290,7 +350,7 @@ def leak_audit(layers: dict[str, tuple[DataFrame, list[str]]], registry: DataFra
     Each layer is read once: its id columns are unpivoted to (column, id)
     pairs and matched against the registry in one semi join."""
     spark = registry.sparkSession
-    ids = sized_broadcast(registry.select("account_id").distinct())
+    ids = registry.select("account_id").distinct()
     expected, found = [], None
     for layer, (df, cols) in layers.items():
         cols = [c for c in cols if c in df.columns]

@@ -17,10 +17,13 @@ from fraudlake.schemas import F1_EPSILON, FEATURES, OPERATING_THRESHOLDS
 
 
 def score_counts(scored: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
-    """One row per distinct score: positives ``tp`` and negatives ``fp``."""
+    """One row per distinct score: positives ``tp`` and negatives ``fp``.
+
+    Rows without a score have a row of their own (score NULL): no threshold ever
+    predicts them positive, so their positives are missed at every threshold.
+    """
     return (
-        scored.where(F.col(score).isNotNull())
-        .groupBy(F.col(score).alias("score"))
+        scored.groupBy(F.col(score).alias("score"))
         .agg(
             F.sum((F.col(label) == 1).cast("long")).alias("tp"),
             F.sum((F.col(label) != 1).cast("long")).alias("fp"),
@@ -28,31 +31,25 @@ def score_counts(scored: DataFrame, score: str = "score", label: str = "label")
     )
 
 
-SINGLE_TASK_ROWS_CONF = "fraudlake.prefix.singleTaskRows"
-
+def curve_points(counts: DataFrame, scale_form: bool = True, n_buckets: int | None = None) -> DataFrame:
+    """Running ``cum_tp``, ``cum_fp`` at each distinct score (descending), with
+    the class totals ``P`` and ``N`` (unscored rows included) and the unscored
+    rows of each class ``U_tp`` and ``U_fp`` as literal columns (driver scalars
+    from one aggregate).
 
-def curve_points(counts: DataFrame, scale_form: bool | str = "auto", n_buckets: int | None = None) -> DataFrame:
-    """Running ``cum_tp``, ``cum_fp`` at each distinct score (descending),
-    with the class totals ``P`` and ``N`` as literal columns (two driver
-    scalars from one aggregate).
-
-    ``scale_form``: True = range buckets with offsets, False = one ordered
-    window, "auto" = one window only when the per-score table is proven to hold
-    at most ``fraudlake.prefix.singleTaskRows`` rows (default 1,000,000;
-    ``counts`` should be checkpointed so the count is cheap), else buckets.
-    A one-row aggregate is fine here: it runs over the small per-score table.
+    ``scale_form``: range buckets with offsets; False: one ordered window (tests).
     """
-    # one aggregate gives the class totals and the table's row count
-    totals = counts.agg(F.sum("tp").alias("P"), F.sum("fp").alias("N"), F.count(F.lit(1)).alias("n")).first()
-    if scale_form == "auto":
-        bound = int(counts.sparkSession.conf.get(SINGLE_TASK_ROWS_CONF, "1000000"))
-        scale_form = totals["n"] > bound
+    none = F.col("score").isNull()
+    totals = counts.agg(
+        F.sum("tp").alias("P"), F.sum("fp").alias("N"), F.sum(F.when(none, F.col("tp"))).alias("U_tp"), F.sum(F.when(none, F.col("fp"))).alias("U_fp")
+    ).first()
+    scored = counts.where(~none)
     cum = (
-        cumulative_by_order(counts, "score", ["tp", "fp"], descending=True, n_buckets=n_buckets)
+        cumulative_by_order(scored, "score", ["tp", "fp"], descending=True, n_buckets=n_buckets)
         if scale_form
-        else cumulative_by_order_plain(counts, "score", ["tp", "fp"], descending=True)
+        else cumulative_by_order_plain(scored, "score", ["tp", "fp"], descending=True)
     )
-    return cum.withColumns({"P": F.lit(int(totals["P"] or 0)), "N": F.lit(int(totals["N"] or 0))})
+    return cum.withColumns({c: F.lit(int(totals[c] or 0)) for c in ("P", "N", "U_tp", "U_fp")})
 
 
 def pr_curve(points: DataFrame) -> DataFrame:
@@ -79,9 +76,14 @@ def average_precision(points: DataFrame) -> DataFrame:
     return points.agg(F.round(F.sum(term), 9).alias("average_precision"))
 
 
+def _twice_auc():
+    scored = F.sum(F.lit(2) * F.col("tp") * (F.col("N") - F.col("cum_fp")) + F.col("tp") * F.col("fp"))
+    return scored + F.first("U_tp") * F.first("U_fp")
+
+
 def roc_auc(points: DataFrame) -> DataFrame:
-    """Rank AUC with ties counted half, from exact integer sums."""
-    twice = F.sum(F.lit(2) * F.col("tp") * (F.col("N") - F.col("cum_fp")) + F.col("tp") * F.col("fp"))
+    """Rank AUC with ties counted half, from exact integer sums; unscored rows rank last, tied."""
+    twice = _twice_auc()
     return points.agg(
         F.round(twice.cast("double") / (F.lit(2.0) * F.first("P").cast("double") * F.first("N").cast("double")), 9).alias(
             "roc_auc"
@@ -94,7 +96,7 @@ def summary_metrics(points: DataFrame) -> DataFrame:
     ap = F.sum((F.col("tp").cast("double") / F.col("P").cast("double")) * (
         F.col("cum_tp").cast("double") / (F.col("cum_tp") + F.col("cum_fp")).cast("double")
     ))
-    twice = F.sum(F.lit(2) * F.col("tp") * (F.col("N") - F.col("cum_fp")) + F.col("tp") * F.col("fp"))
+    twice = _twice_auc()
     auc = twice.cast("double") / (F.lit(2.0) * F.first("P").cast("double") * F.first("N").cast("double"))
     return points.agg(F.round(ap, 9).alias("pr_auc"), F.round(auc, 9).alias("roc_auc"))
 
@@ -115,11 +117,10 @@ def best_threshold(pr: DataFrame) -> DataFrame:
 
 
 def confusion(scored: DataFrame, threshold: float, score: str = "score", label: str = "label") -> DataFrame:
-    """tn, fp, fn, tp at ``score >= threshold``, one pass."""
-    pred = F.col(score) >= F.lit(threshold)
+    """tn, fp, fn, tp at ``score >= threshold``, one pass; no score: predicted negative."""
+    pred = F.coalesce(F.col(score) >= F.lit(threshold), F.lit(False))
     pos = F.col(label) == 1
-    s = scored.where(F.col(score).isNotNull())
-    return s.agg(
+    return scored.agg(
         F.sum((~pred & ~pos).cast("long")).alias("tn"),
         F.sum((pred & ~pos).cast("long")).alias("fp"),
         F.sum((~pred & pos).cast("long")).alias("fn"),
@@ -202,8 +203,8 @@ def threshold_matrix(counts: DataFrame, best: float, extra=OPERATING_THRESHOLDS)
 
 
 def cohort(score: str = "score", label: str = "label", threshold: float = 0.5):
-    """FN / TP / FP / TN from label and prediction."""
-    pred = F.col(score) >= F.lit(threshold)
+    """FN / TP / FP / TN from label and prediction; no score: predicted negative."""
+    pred = F.coalesce(F.col(score) >= F.lit(threshold), F.lit(False))
     pos = F.col(label) == 1
     return (
         F.when(pos & ~pred, "FN").when(pos & pred, "TP").when(~pos & pred, "FP").otherwise("TN")
@@ -212,14 +213,14 @@ def cohort(score: str = "score", label: str = "label", threshold: float = 0.5):
 
 def cohort_means(scored: DataFrame, threshold: float, features=FEATURES, score="score", label="label") -> DataFrame:
     """Mean of each feature per FN / TP / FP cohort, as feature x cohort."""
-    tagged = scored.where(F.col(score).isNotNull()).withColumn("cohort", cohort(score, label, threshold))
+    tagged = scored.withColumn("cohort", cohort(score, label, threshold))
     tagged = tagged.where(F.col("cohort") != "TN")
     means = tagged.groupBy("cohort").agg(*[F.avg(F.col(f).cast("double")).alias(f) for f in features])
     long = means.unpivot("cohort", list(features), "feature", "mean")
     return (
         long.groupBy("feature")
         .pivot("cohort", ["FN", "TP", "FP"])
-        .agg(F.round(F.first("mean"), 6))
+        .agg(F.round(F.first("mean"), 6) + F.lit(0.0))  # no negative zero
         .withColumnsRenamed({"FN": "fn_mean", "TP": "tp_mean", "FP": "fp_mean"})
     )
 

@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from fraudlake.schemas import ALARM_RULES
 
-SERIES_SINGLE_TASK_CONF = "fraudlake.series.singleTaskPeriods"
-
 
 def stream_counters(chain: DataFrame, erasure_checks: DataFrame | None = None) -> DataFrame:
     """The live scorer's counters as one conditional aggregate over the chain.
@@ -123,22 +121,27 @@ def missing_data_alarm(
     threshold: float = 1.0,
     evaluation_periods: int = 3,
     ts: str = "ts",
+    as_of=None,
 ) -> DataFrame:
     """Dead-man's switch: Sum < threshold in N consecutive periods, where a
     period with no data point counts as 0 (breaching).
 
+    The series runs from the metric's first point to ``as_of`` (a datetime; by
+    default the last point of any metric), so a metric that falls silent alarms.
+
     The period spine is generated in parallel with ``spark.range`` over the
     observed time span, left-joined to the rollup.
     """
     spark = points.sparkSession
     mine = points.where(F.col("metric") == metric_name)
     rolled = rollup(mine, period_s, ts=ts)
-    bounds = mine.agg(F.min(ts).alias("lo"), F.max(ts).alias("hi")).first()
+    mine_is = F.col("metric") == metric_name
+    bounds = points.agg(F.min(F.when(mine_is, F.col(ts))).alias("lo"), F.max(ts).alias("hi")).first()
     if bounds["lo"] is None:
         return spark.createDataFrame([], "period_start timestamp_ntz, total double, breach boolean, alarm boolean")
     day0 = bounds["lo"].replace(hour=0, minute=0, second=0, microsecond=0)
     first_offset = int((bounds["lo"] - day0).total_seconds() // period_s) * period_s
-    n = int((bounds["hi"] - day0).total_seconds() // period_s) - first_offset // period_s + 1
+    n = int(((as_of or bounds["hi"]) - day0).total_seconds() // period_s) - first_offset // period_s + 1
     day0_lit = F.lit(day0.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
     spine = spark.range(0, n).select(
         (day0_lit + F.make_dt_interval(secs=(F.col("id") * period_s + first_offset).cast("decimal(18,6)"))).alias(
@@ -148,11 +151,6 @@ def missing_data_alarm(
     joined = spine.join(rolled.select(F.col("window_start").alias("period_start"), "total"), "period_start", "left")
     filled = joined.withColumn("total", F.coalesce(F.col("total"), F.lit(0)).cast("double"))
     flagged = filled.withColumn("breach", F.col("total") < F.lit(threshold))
-    # the series length is known here: one window while it is proven small
-    # (bounded by the time span, not by data volume), equi-joins beyond that
-    bound = int(spark.conf.get(SERIES_SINGLE_TASK_CONF, "5000000"))
-    if n <= bound:
-        return consecutive_breach(flagged, [], "period_start", "breach", evaluation_periods)
     return consecutive_breach_periods(flagged, [], "period_start", period_s, "breach", evaluation_periods)
 
 

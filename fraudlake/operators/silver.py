@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from fraudlake.functions.features import SILVER_RENAMES, balance_features
 from fraudlake.operators.fanin import fan_in, fan_in_plain
-from fraudlake.plans.strategies import sized_broadcast
 from fraudlake.schemas import SILVER_COLUMNS
 
 
@@ -35,7 +34,7 @@ def mask_accounts(
     """Replace registered raw ids by their alias in both id columns."""
     if registry is None:
         return txn.withColumnsRenamed({orig_col: out_orig, dest_col: out_dest})
-    reg = sized_broadcast(alias_per_account(registry), broadcast_max_rows)
+    reg = alias_per_account(registry)
     # the same registry frame joined twice under two aliases: one broadcast
     # exchange, reused for the second join
     o, d = reg.alias("_o"), reg.alias("_d")

@@ -374,7 +374,7 @@ def q_g1(spark, sf):
 )
 def q_j3(spark, sf):
     t = _raw_table(spark, sf)
-    ids = erasure.sized_broadcast(fixtures.erasure_requests(spark, sf).select("account_id").distinct())
+    ids = fixtures.erasure_requests(spark, sf).select("account_id").distinct()
     # one row per (row, matched account): both id columns unpivoted, de-duplicated per row
     cells = t.select("seq", F.explode(F.array_distinct(F.array("name_orig", "name_dest"))).alias("account_id"))
     hits = cells.join(ids, "account_id", "left_semi")
@@ -543,7 +543,7 @@ def q_x10(spark, sf):
         """SELECT period_start, total, breach,
               sum(CAST(breach AS INTEGER)) OVER (ORDER BY period_start ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) = 3 AS alarm
            FROM (SELECT s.period_start, CAST(coalesce(r.total, 0) AS DOUBLE) AS total, coalesce(r.total, 0) < 1 AS breach
-                 FROM (SELECT unnest(generate_series(time_bucket(INTERVAL 60 SECOND, min(ts)), time_bucket(INTERVAL 60 SECOND, max(ts)),
+                 FROM (SELECT unnest(generate_series(time_bucket(INTERVAL 60 SECOND, min(ts)), (SELECT time_bucket(INTERVAL 60 SECOND, max(ts)) FROM metric_points),
                          INTERVAL 60 SECOND)) AS period_start FROM metric_points WHERE metric = 'ConsumerHeartbeat') s
                  LEFT JOIN (SELECT time_bucket(INTERVAL 60 SECOND, ts) AS period_start, sum(value) AS total FROM metric_points
                             WHERE metric = 'ConsumerHeartbeat' GROUP BY 1) r ON r.period_start = s.period_start)""",
@@ -781,7 +781,7 @@ def q_a10(spark, sf):
 
 
 _AP_SQL = "round(sum((CAST(tp AS DOUBLE) / CAST(P AS DOUBLE)) * (CAST(cum_tp AS DOUBLE) / CAST(cum_tp + cum_fp AS DOUBLE))), 9)"
-_AUC_SQL = "round(CAST(sum(2 * tp * (N - cum_fp) + tp * fp) AS DOUBLE) / (CAST(2 AS DOUBLE) * CAST(max(P) AS DOUBLE) * CAST(max(N) AS DOUBLE)), 9)"
+_AUC_SQL = "round(CAST(sum(2 * tp * (N - cum_fp) + tp * fp) + max(U) AS DOUBLE) / (CAST(2 AS DOUBLE) * CAST(max(P) AS DOUBLE) * CAST(max(N) AS DOUBLE)), 9)"
 
 
 @register("A11_average_precision", with_views(f"SELECT {_AP_SQL} AS average_precision FROM curve", "curve"))
@@ -862,18 +862,18 @@ def _cohort_sql() -> str:
     rows = []
     for f in FEATURES:
         rows.append(
-            f"SELECT '{f}' AS feature, round(avg(CAST({f} AS DOUBLE)) FILTER (WHERE cohort = 'FN'), 6) AS fn_mean, "
-            f"round(avg(CAST({f} AS DOUBLE)) FILTER (WHERE cohort = 'TP'), 6) AS tp_mean, "
-            f"round(avg(CAST({f} AS DOUBLE)) FILTER (WHERE cohort = 'FP'), 6) AS fp_mean FROM cohorts"
+            f"SELECT '{f}' AS feature, round(avg(CAST({f} AS DOUBLE)) FILTER (WHERE cohort = 'FN'), 6) + CAST(0 AS DOUBLE) AS fn_mean, "
+            f"round(avg(CAST({f} AS DOUBLE)) FILTER (WHERE cohort = 'TP'), 6) + CAST(0 AS DOUBLE) AS tp_mean, "
+            f"round(avg(CAST({f} AS DOUBLE)) FILTER (WHERE cohort = 'FP'), 6) + CAST(0 AS DOUBLE) AS fp_mean FROM cohorts"
         )
     return " UNION ALL ".join(rows)
 
 
 add_view(
     "cohorts",
-    """SELECT s.*, CASE WHEN label = 1 AND score < b.threshold THEN 'FN' WHEN label = 1 THEN 'TP'
+    """SELECT s.*, CASE WHEN label = 1 AND NOT coalesce(score >= b.threshold, false) THEN 'FN' WHEN label = 1 THEN 'TP'
                         WHEN score >= b.threshold THEN 'FP' ELSE 'TN' END AS cohort
-       FROM test_scored s, best b WHERE s.score IS NOT NULL""",
+       FROM test_scored s, best b""",
     ["test_scored", "best"],
 )
 add_view("cohort_means", _cohort_sql(), ["cohorts"])
@@ -889,7 +889,7 @@ def q_a14(spark, sf):
 def q_f12(spark, sf):
     scored, _, _, best = P.evaluation(spark, sf)
     t = best.first()["threshold"]
-    return scored.where(F.col("score").isNotNull()).select("seq", ev.cohort("score", "label", t).alias("cohort"))
+    return scored.select("seq", ev.cohort("score", "label", t).alias("cohort"))
 
 
 @register(
@@ -928,12 +928,13 @@ add_view(
     "curve_base",
     """WITH sc AS (SELECT score, CAST(sum(CASE WHEN label = 1 THEN 1 ELSE 0 END) AS BIGINT) AS tp,
                           CAST(sum(CASE WHEN label = 1 THEN 0 ELSE 1 END) AS BIGINT) AS fp
-                   FROM test_scored_base WHERE score IS NOT NULL GROUP BY score)
+                   FROM test_scored_base GROUP BY score)
        SELECT score, tp, fp,
           CAST(sum(tp) OVER (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS cum_tp,
           CAST(sum(fp) OVER (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS cum_fp,
-          (SELECT CAST(sum(tp) AS BIGINT) FROM sc) AS P, (SELECT CAST(sum(fp) AS BIGINT) FROM sc) AS N
-       FROM sc""",
+          (SELECT CAST(sum(tp) AS BIGINT) FROM sc) AS P, (SELECT CAST(sum(fp) AS BIGINT) FROM sc) AS N,
+          (SELECT coalesce(sum(tp * fp), 0) FROM sc WHERE score IS NULL) AS U
+       FROM sc WHERE score IS NOT NULL""",
     ["test_scored_base"],
 )
 

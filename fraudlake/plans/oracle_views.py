@@ -91,7 +91,7 @@ add_view(
     "score_counts",
     """SELECT score, CAST(sum(CASE WHEN label = 1 THEN 1 ELSE 0 END) AS BIGINT) AS tp,
           CAST(sum(CASE WHEN label = 1 THEN 0 ELSE 1 END) AS BIGINT) AS fp
-       FROM test_scored WHERE score IS NOT NULL GROUP BY score""",
+       FROM test_scored GROUP BY score""",
     ["test_scored"],
 )
 add_view(
@@ -100,8 +100,9 @@ add_view(
           CAST(sum(tp) OVER (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS cum_tp,
           CAST(sum(fp) OVER (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS cum_fp,
           (SELECT CAST(sum(tp) AS BIGINT) FROM score_counts) AS P,
-          (SELECT CAST(sum(fp) AS BIGINT) FROM score_counts) AS N
-       FROM score_counts""",
+          (SELECT CAST(sum(fp) AS BIGINT) FROM score_counts) AS N,
+          (SELECT coalesce(sum(tp * fp), 0) FROM score_counts WHERE score IS NULL) AS U
+       FROM score_counts WHERE score IS NOT NULL""",
     ["score_counts"],
 )
 add_view(
@@ -121,11 +122,11 @@ add_view(
 )
 add_view(
     "cm",
-    """SELECT CAST(sum(CASE WHEN score < b.threshold AND label <> 1 THEN 1 ELSE 0 END) AS BIGINT) AS tn,
+    """SELECT CAST(sum(CASE WHEN NOT coalesce(score >= b.threshold, false) AND label <> 1 THEN 1 ELSE 0 END) AS BIGINT) AS tn,
           CAST(sum(CASE WHEN score >= b.threshold AND label <> 1 THEN 1 ELSE 0 END) AS BIGINT) AS fp,
-          CAST(sum(CASE WHEN score < b.threshold AND label = 1 THEN 1 ELSE 0 END) AS BIGINT) AS fn,
+          CAST(sum(CASE WHEN NOT coalesce(score >= b.threshold, false) AND label = 1 THEN 1 ELSE 0 END) AS BIGINT) AS fn,
           CAST(sum(CASE WHEN score >= b.threshold AND label = 1 THEN 1 ELSE 0 END) AS BIGINT) AS tp
-       FROM test_scored, best b WHERE score IS NOT NULL""",
+       FROM test_scored, best b""",
     ["test_scored", "best"],
 )
 add_view(

@@ -3,8 +3,6 @@
 Each helper is a composition of DataFrame operators chosen so that no single
 task, group or the driver ever holds a share of the data that grows with it:
 
-* ``sized_broadcast``: broadcast only behind a bounded row-count check, else
-  leave the join to the planner (sort-merge, AQE re-plan, skew splitting).
 * ``cumulative_by_order``: exact running totals over a global order without a
   single-partition window (range buckets + per-bucket offsets).
 * ``chunked_row_number``: exact arrival rank inside a group, with hot groups
@@ -18,8 +16,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-BROADCAST_MAX_ROWS_CONF = "fraudlake.broadcast.maxRows"
-DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
 CHUNK_ROWS_CONF = "fraudlake.chunk.rows"
 DEFAULT_CHUNK_ROWS = 1_000_000
 PREFIX_BUCKETS_CONF = "fraudlake.prefix.buckets"
@@ -29,19 +25,6 @@ def _conf_int(spark: SparkSession, key: str, default: int) -> int:
     return int(spark.conf.get(key, str(default)))
 
 
-def sized_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """Hint ``df`` for broadcast iff it has at most ``max_rows`` rows.
-
-    The check is ``limit(max_rows + 1).count()``: it stops as soon as the bound
-    is exceeded, so it costs at most ``max_rows + 1`` rows of work. Beyond the
-    bound the frame is returned unhinted and the join shuffles (AQE may still
-    convert it from runtime statistics).
-    """
-    bound = max_rows or _conf_int(df.sparkSession, BROADCAST_MAX_ROWS_CONF, DEFAULT_BROADCAST_MAX_ROWS)
-    n = df.limit(bound + 1).count()
-    return F.broadcast(df) if n <= bound else df
-
-
 def cumulative_by_order(
     df: DataFrame,
     order_col: str,

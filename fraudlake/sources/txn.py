@@ -56,11 +56,11 @@ def read_txn_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_through_cache(spark: SparkSession, path: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """Read the parquet cache if present, else build, write it, read it back."""
+    """Read the parquet cache if complete (it holds ``_SUCCESS``), else build it, read it back."""
     from fraudlake.paths import path_exists
 
-    if not path_exists(spark, path):
-        build().write.mode("errorifexists").parquet(path)
+    if not path_exists(spark, f"{path.rstrip('/')}/_SUCCESS"):
+        build().write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 

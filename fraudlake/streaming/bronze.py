@@ -80,7 +80,10 @@ def replay_table(spark: SparkSession, table: DataFrame, folder: str, seq_col: st
         return 0
     payload = table.select(
         (F.floor((F.col(seq_col) - F.lit(bounds["lo"])) / rows_per_file)).alias("_slice"),
-        F.to_json(F.struct(*[c for c in table.columns if c != seq_col])).alias("value"),
+        F.col(seq_col).alias("_seq"),
+        F.to_json(F.struct(*table.columns)).alias("value"),
     )
-    payload.repartition("_slice").write.mode("overwrite").partitionBy("_slice").text(folder)
+    # one file a slice, rows in order; ``seq`` stays in the message
+    dealt = payload.repartition("_slice").sortWithinPartitions("_slice", "_seq").drop("_seq")
+    dealt.write.mode("overwrite").partitionBy("_slice").text(folder)
     return int((bounds["hi"] - bounds["lo"]) // rows_per_file + 1)

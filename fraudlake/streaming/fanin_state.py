@@ -11,13 +11,16 @@ entries), so state size is bounded by the window, not the traffic:
   no-op; other keys are untouched.
 
 Eviction drops steps below ``max_step - window - lateness``; an event older
-than that is still counted against what is left and flagged ``late``. Keys
-time out by event time: the step is mapped to an event timestamp (1 step = 1
-hour), the stream carries a watermark, and a key whose window has certainly
-passed is removed.
-
-Rows of one key are sorted by ``seq`` inside the micro-batch before they are
-applied, so arrival order, not chunk order, decides same-step counts.
+than that is still counted against what is left and flagged ``late``. The stream
+carries no watermark, so no row is ever dropped: rows out equal rows in. With
+``idle`` (for queries with a processing-time trigger) a key that gets no row for
+so long is forgotten; without it keys stay, which suits runs over stored data
+(a query that processes what is available would never end with such a timeout).
+
+Rows of one key are sorted by ``order`` (arrival: by default ``seq``) inside the
+micro-batch before they are applied, so arrival order, not chunk order, decides
+same-step counts. Where transactions and erasures come from different topics,
+offsets do not compare: ``order`` then starts with the record's timestamp.
 """
 
 from __future__ import annotations
@@ -34,32 +37,32 @@ from fraudlake.schemas import FAN_IN_WINDOW_STEPS
 
 RESULT_FIELDS = "fan_in_dest_count_24h long, late boolean, purged boolean"
 STATE_SCHEMA = "steps array<int>, counts array<long>, max_step int"
-STEP_EPOCH = "2000-01-01 00:00:00"
 
 
-def step_time(step_col: str = "step"):
-    """Event timestamp of a step (1 step = 1 hour after a fixed epoch)."""
-    return F.lit(STEP_EPOCH).cast("timestamp") + F.make_dt_interval(hours=F.col(step_col).cast("int"))
+def _more(order) -> list[str]:
+    return [c for c in order if c != "seq"]
 
 
-def tag_transactions(txn: DataFrame, key: str = "nameDest", carry=()) -> DataFrame:
+def tag_transactions(txn: DataFrame, key: str = "nameDest", carry=(), order=("seq",)) -> DataFrame:
     """Transactions as control rows; ``carry`` columns ride along to the output."""
     return txn.select(
-        F.col(key).alias("key"), F.col("seq").cast("long"), F.lit("txn").alias("kind"), F.col("step").cast("int"), *carry
+        F.col(key).alias("key"), F.col("seq").cast("long"), F.lit("txn").alias("kind"), F.col("step").cast("int"),
+        *_more(order), *carry,
     )
 
 
-def tag_purges(purges: DataFrame, key: str = "account_id", seq: str = "seq", step: str | None = None) -> DataFrame:
-    """Erasure messages as control rows; ``step`` (optional) only feeds the
-    watermark."""
-    st = F.col(step).cast("int") if step else F.lit(None).cast("int")
-    return purges.select(F.col(key).alias("key"), F.col(seq).cast("long").alias("seq"), F.lit("purge").alias("kind"), st.alias("step"))
+def tag_purges(purges: DataFrame, key: str = "account_id", seq: str = "seq", order=("seq",)) -> DataFrame:
+    """Erasure messages as control rows."""
+    return purges.select(
+        F.col(key).alias("key"), F.col(seq).cast("long").alias("seq"), F.lit("purge").alias("kind"),
+        F.lit(None).cast("int").alias("step"), *_more(order),
+    )
 
 
-def control_stream(txn: DataFrame, purges: DataFrame | None = None, carry=()) -> DataFrame:
+def control_stream(txn: DataFrame, purges: DataFrame | None = None, carry=(), order=("seq",)) -> DataFrame:
     """One ordered control flow of transactions and purges."""
-    t = tag_transactions(txn, carry=carry)
-    return t if purges is None else t.unionByName(tag_purges(purges), allowMissingColumns=True)
+    t = tag_transactions(txn, carry=carry, order=order)
+    return t if purges is None else t.unionByName(tag_purges(purges, order=order), allowMissingColumns=True)
 
 
 def _in_order_run(seg, live, max_step, window, lateness, out_fan, offset):
@@ -100,12 +103,12 @@ def _row_by_row(seg, live, max_step, window, lateness, out_fan, out_late, offset
     return live, max_step
 
 
-def _make_fn(window: int, lateness: int):
+def _make_fn(window: int, lateness: int, order=("seq",), idle: str | None = None):
     def fan_in_fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             state.remove()
             return
-        batch = pd.concat(list(pdfs), ignore_index=True).sort_values("seq", kind="stable")
+        batch = pd.concat(list(pdfs), ignore_index=True).sort_values(list(order), kind="stable")
         if state.exists:
             steps, counts, max_step = state.get
             live = dict(zip([int(s) for s in steps], [int(c) for c in counts]))
@@ -139,12 +142,9 @@ def _make_fn(window: int, lateness: int):
         else:
             items = sorted(live.items())
             state.update(([s for s, _ in items], [c for _, c in items], max_step))
-            # the key can be dropped once the watermark passes its last window
-            # (+24 h margin: the step epoch is read in the session time zone)
-            horizon_ms = (max_step + window + lateness + 1 + 24) * 3600 * 1000
-            epoch_ms = int(pd.Timestamp(STEP_EPOCH, tz="UTC").timestamp() * 1000)
-            state.setTimeoutTimestamp(epoch_ms + horizon_ms)
-        out = batch.drop(columns=["_event_ts"]).reset_index(drop=True)
+            if idle:
+                state.setTimeoutDuration(int(pd.Timedelta(idle).total_seconds() * 1000))
+        out = batch.reset_index(drop=True)
         out["fan_in_dest_count_24h"] = pd.array(out_fan, dtype="Int64")
         out["late"] = out_late
         out["purged"] = out_purged
@@ -157,22 +157,21 @@ def fan_in_state(
     control: DataFrame,
     window: int = FAN_IN_WINDOW_STEPS,
     lateness: int = 0,
+    order=("seq",),
+    idle: str | None = None,
 ) -> DataFrame:
-    """Apply the keyed fan-in state to a tagged control stream (or batch).
+    """Apply the keyed fan-in state to a tagged control stream.
 
     Output: one row per input row (``txn`` rows carry ``fan_in_dest_count_24h``
     and ``late``; ``purge`` rows carry ``purged``).
     """
     if not control.isStreaming:
         raise ValueError("keyed fan-in state runs on streams; batch frames use operators.fanin.fan_in_arrival")
-    delay_h = window + lateness + 1
-    staged = control.withColumn("_event_ts", step_time("step"))
-    staged = staged.withWatermark("_event_ts", f"{delay_h} hours")
     out_schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in control.schema.fields)
-    return staged.groupBy("key").applyInPandasWithState(
-        _make_fn(window, lateness),
+    return control.groupBy("key").applyInPandasWithState(
+        _make_fn(window, lateness, tuple(order), idle),
         outputStructType=f"{out_schema}, {RESULT_FIELDS}",
         stateStructType=STATE_SCHEMA,
         outputMode="append",
-        timeoutConf=GroupStateTimeout.EventTimeTimeout,
+        timeoutConf=GroupStateTimeout.ProcessingTimeTimeout if idle else GroupStateTimeout.NoTimeout,
     )

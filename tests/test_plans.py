@@ -15,7 +15,6 @@ from fraudlake.plans.strategies import (
     chunked_row_number,
     cumulative_by_order,
     cumulative_by_order_plain,
-    sized_broadcast,
 )
 from fraudlake.sources.txn import page
 
@@ -55,17 +54,6 @@ def test_fan_in_scale_forms_equal_plain(spark):
     assert x == y
 
 
-def test_registry_join_is_broadcast_and_bounded(spark):
-    plan = _plan(P.silver(spark, SF_SMOKE))
-    assert "BroadcastHashJoin" in plan
-    def hinted(df):
-        return "broadcast" in df._jdf.queryExecution().analyzed().toString().lower()
-
-    assert hinted(sized_broadcast(spark.range(10), 100))
-    big = spark.range(1000)
-    assert sized_broadcast(big, 10) is big and not hinted(big)
-
-
 def test_page_scan_pushes_range_filter(spark):
     t = spark.read.parquet(f"{SF_SMOKE}/events.parquet").withColumnRenamed("event_id", "seq")
     plan = _plan(page(t, 100, 50, dense=True))
