@@ -21,14 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from fraudlake.llm.common import text_slices
-from fraudlake.llm.pieces import SpacedPieces
-
-
-def byte_symbols() -> dict[int, str]:
-    """The public byte-level alphabet: printable bytes stand for themselves, the rest for code points from 256 on."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    rest = [b for b in range(256) if b not in plain]
-    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
+from fraudlake.llm.pieces import SpacedPieces, byte_symbols
 
 
 class PairIndexBpe:

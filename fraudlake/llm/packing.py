@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fraudlake.llm.common import saved, shuffle_width, text_slices
-from fraudlake.llm.pieces import SpacedPieces, library_pieces
+from fraudlake.llm.pieces import library_bytes
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 SWEPT = "uid long, size int, sequence_id long, room int, slot int, part int, idx long"
@@ -45,7 +45,7 @@ def cut_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, with
         encoder = None
         tail = int(end_id).to_bytes(4, "little")
         for batch in batches:
-            encoder = encoder or SpacedPieces(library_pieces(tokenizer))
+            encoder = encoder or library_bytes(tokenizer)
             for part in text_slices(batch):
                 rows = []
                 for doc_id, ids in zip(part.column("doc_id").to_pylist(), encoder.encode(part.column("text").to_pylist()), strict=True):

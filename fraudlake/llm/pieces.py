@@ -8,7 +8,10 @@ a text may be cut there, each distinct piece encoded once, and the ids joined.
 
 from __future__ import annotations
 
+import json
 import re
+import sys
+import types
 from array import array
 
 #: Cut before a space that has a non-space character behind it.
@@ -17,54 +20,65 @@ CUT = re.compile(r" (?=\S)")
 SEPARATORS = re.compile("[\x1c-\x1f]")
 
 
-class PieceEncoder:
-    """ids of whole texts as little-endian unsigned 32-bit bytes; null counts as empty.
+class PieceTable:
+    """Known pieces and their ids in two generations of at most ``keep`` pieces each.
 
-    ``encode_pieces(list of str) -> list of bytes`` gives the ids of pieces. The
-    table of known pieces is emptied when it holds ``keep`` pieces (a memory
-    bound only: pieces are then encoded again).
+    When the young generation is full it becomes the old one, and pieces still in
+    use move on from there: a bound on memory that keeps the common pieces.
     """
 
-    def __init__(self, encode_pieces, keep: int = 400_000):
-        self.encode_pieces, self.keep = encode_pieces, keep
+    def __init__(self, keep: int):
+        self.keep, self.now, self.old = keep, {}, {}
 
-    def _learn(self, table: dict[str, bytes], parts: set[str], lead: str) -> None:
-        new = list(parts - table.keys())
-        if len(table) + len(new) > self.keep:
-            table.clear()
-            new = list(parts)
-        table.update(zip(new, self.encode_pieces([lead + p for p in new]), strict=True))
+    def learn(self, parts: set[str], lead: str, encode_pieces) -> None:
+        """Afterwards ``now`` holds all ``parts``; ``lead`` goes in front of a piece to encode it."""
+        need = parts - self.now.keys()
+        if len(self.now) + len(need) > self.keep:
+            self.now, self.old, need = {}, self.now, parts
+        moved = need & self.old.keys()
+        self.now.update({p: self.old[p] for p in moved})
+        new = list(need - moved)
+        self.now.update(zip(new, encode_pieces([lead + p for p in new]), strict=True))
 
 
-class SpacedPieces(PieceEncoder):
-    """For a tokenizer that keeps the space in front of a word."""
+def worker_table(name: str, keep: int) -> PieceTable:
+    """A table that a Python worker keeps from task to task."""
+    place = sys.modules.setdefault("_worker_piece_tables", types.ModuleType("_worker_piece_tables"))
+    return place.__dict__.setdefault(f"{name} {keep}", PieceTable(keep))
 
-    def __init__(self, encode_pieces, keep: int = 400_000):
-        super().__init__(encode_pieces, keep)
-        self.first: dict[str, bytes] = {}
-        self.later: dict[str, bytes] = {}
+
+class SpacedPieces:
+    """For a tokenizer that keeps the space in front of a word.
+
+    ids of whole texts as little-endian unsigned 32-bit bytes; null counts as empty.
+    ``encode_pieces(list of str) -> list of bytes`` gives the ids of pieces.
+    """
+
+    def __init__(self, encode_pieces, keep: int = 250_000):
+        self.encode_pieces = encode_pieces
+        self.first, self.later = PieceTable(keep), PieceTable(keep)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         cut = [t.split(" ") if t else [""] for t in texts]
         heads = [c.pop(0) for c in cut]
         parts = set().union(*cut)
         # a run of white space may not be cut: those texts are cut with more care
-        if odd := {p for p in parts - self.later.keys() if not p or p[0].isspace()}:
+        if odd := {p for p in parts - self.later.now.keys() if not p or p[0].isspace()}:
             for i, c in enumerate(cut):
                 if not odd.isdisjoint(c):
                     heads[i], *cut[i] = CUT.split(texts[i])
             parts = set().union(*cut)
-        self._learn(self.first, set(heads), "")
-        self._learn(self.later, parts, " ")
-        return [self.first[h] + b"".join(map(self.later.__getitem__, c)) for h, c in zip(heads, cut, strict=True)]
+        self.first.learn(set(heads), "", self.encode_pieces)
+        self.later.learn(parts, " ", self.encode_pieces)
+        first, later = self.first.now, self.later.now
+        return [first[h] + b"".join(map(later.__getitem__, c)) for h, c in zip(heads, cut, strict=True)]
 
 
-class WordPieces(PieceEncoder):
-    """For a tokenizer that lower-cases and drops white space."""
+class WordPieces:
+    """For a tokenizer that lower-cases and drops white space; ids as above."""
 
-    def __init__(self, encode_pieces, keep: int = 400_000):
-        super().__init__(encode_pieces, keep)
-        self.known: dict[str, bytes] = {}
+    def __init__(self, encode_pieces, table: PieceTable):
+        self.encode_pieces, self.known = encode_pieces, table
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         cut = []
@@ -72,12 +86,12 @@ class WordPieces(PieceEncoder):
             t = t or ""
             t = t.lower() if t.isascii() else t
             cut.append(t.split(" ") if SEPARATORS.search(t) else t.split())
-        self._learn(self.known, set().union(*cut), "")
-        return [b"".join(map(self.known.__getitem__, c)) for c in cut]
+        self.known.learn(set().union(*cut), "", self.encode_pieces)
+        return [b"".join(map(self.known.now.__getitem__, c)) for c in cut]
 
 
-def library_pieces(path: str):
-    """Pieces encoded by the tokenizers library with the file ``path``."""
+def library_words(path: str) -> WordPieces:
+    """Texts encoded by the tokenizers library with the lower-casing word tokenizer ``path``."""
     import os
 
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -86,4 +100,34 @@ def library_pieces(path: str):
     tok = Tokenizer.from_file(path)
     tok.no_truncation()
     tok.no_padding()
-    return lambda parts: [array("I", e.ids).tobytes() for e in tok.encode_batch_fast(parts, add_special_tokens=False)]
+    return WordPieces(lambda parts: [array("I", e.ids).tobytes() for e in tok.encode_batch_fast(parts, add_special_tokens=False)], worker_table(path, 250_000))
+
+
+def byte_symbols() -> dict[int, str]:
+    """The public byte-level alphabet: printable bytes stand for themselves, the rest for code points from 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
+def library_bytes(path: str) -> SpacedPieces:
+    """Texts encoded as the tokenizers library does with the byte-level tokenizer ``path``.
+
+    The file's vocabulary is in the order of its merges, so its ids are ranks; pieces
+    are merged by tiktoken with them, which takes a third of the time.
+    """
+    import public_tokenizers
+    import tiktoken
+
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    code = {c: b for b, c in byte_symbols().items()}
+    ranks = {bytes(code[c] for c in token): i for token, i in spec["model"]["vocab"].items()}
+    special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+    tok = tiktoken.Encoding("vocabulary", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
+    mark = re.compile("|".join(map(re.escape, special)) or "(?!)")
+
+    def one(piece: str) -> list[int]:
+        return tok.encode(piece, allowed_special="all") if mark.search(piece) else tok.encode_ordinary(piece)
+
+    return SpacedPieces(lambda parts: [array("I", one(p)).tobytes() for p in parts])

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fraudlake.llm.common import fresh_path, offsets_of, shuffle_width, text_slices
-from fraudlake.llm.pieces import WordPieces, library_pieces
+from fraudlake.llm.pieces import library_words
 
 MAGIC = b"TOKFILE1"
 HEAD = len(MAGIC) + 32
@@ -67,7 +67,7 @@ def train_dictionary(docs: DataFrame, tokenizer: str, path: str, sample_docs: in
     ids = docs.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs).distinct()
     texts = docs.select("doc_id", F.substring("text", 1, sample_bytes).alias("text")).join(F.broadcast(ids), "doc_id", "left_semi")
     rows = texts.limit(2 * sample_docs).collect()
-    encoder = WordPieces(library_pieces(tokenizer))
+    encoder = library_words(tokenizer)
     samples = [x[:sample_bytes] for x in encoder.encode([r.text for r in rows]) if x]
     try:
         data = zstandard.train_dictionary(dictionary_bytes, samples).as_bytes()
@@ -100,7 +100,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int, path: str, shards
             if encoder is None:
                 shared = _dictionary(path, digest)
                 pack = zstandard.ZstdCompressor(level=3, dict_data=shared, write_content_size=True)
-                encoder = WordPieces(library_pieces(tokenizer))
+                encoder = library_words(tokenizer)
                 shard = f"shard-{uuid.uuid4().hex}.tok"
                 store, place = _file_system(f"{path}/{shard}")
                 out = store.open_output_stream(place, compression=None)
