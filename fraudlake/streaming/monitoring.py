@@ -33,6 +33,35 @@ def heartbeat_frame(spark: SparkSession, query: StreamingQuery) -> DataFrame:
     return df.select(F.to_timestamp("ts_text").alias("ts"), "metric", "value", "input_rows")
 
 
+PROGRESS = "run_id string, batch_id long, ts_text string, input_rows long"
+
+
+def append_progress(spark: SparkSession, query: StreamingQuery, path: str) -> int:
+    """Append the query's progress reports that the table at ``path`` lacks; returns how many.
+
+    Spark keeps only the last reports of a query, so this must be called more often
+    than those pass; :func:`progress_gaps` tells when it was not.
+    """
+    from fraudlake.paths import path_exists
+
+    rows = [(str(p.runId), int(p.batchId), p.timestamp, int(p.numInputRows)) for p in query.recentProgress]
+    fresh = spark.createDataFrame(rows, PROGRESS)
+    if path_exists(spark, path):
+        fresh = fresh.join(spark.read.schema(PROGRESS).parquet(path), ["run_id", "batch_id", "ts_text"], "left_anti")
+    fresh = fresh.select("run_id", "batch_id", "ts_text", "input_rows").persist()
+    n = fresh.count()
+    if n:
+        fresh.write.mode("append").parquet(path)
+    fresh.unpersist()
+    return n
+
+
+def progress_gaps(progress: DataFrame) -> DataFrame:
+    """Per run the batches between its first and last report, and how many have no report."""
+    per = progress.groupBy("run_id").agg(F.min("batch_id").alias("lo"), F.max("batch_id").alias("hi"), F.countDistinct("batch_id").alias("seen"))
+    return per.select("run_id", (F.col("hi") - F.col("lo") + 1).alias("batches"), (F.col("hi") - F.col("lo") + 1 - F.col("seen")).alias("missing"))
+
+
 def windowed_rollup(points: DataFrame, period: str = "5 minutes", delay: str = "10 minutes", ts: str = "ts") -> DataFrame:
     """Streaming Sum per period per metric; the watermark bounds the state
     and lets finished windows be emitted in append mode."""

@@ -165,3 +165,41 @@ def test_erase_leaves_no_staging_or_old_copies(spark, workdir):
     erasure.erase_tables(spark, [path], erasure_requests_frame(spark, [("C0000000001", "r1")]), "p")
     assert sorted(os.listdir(workdir)) == ["u"]
     assert spark.read.parquet(path).first().name_orig == account_alias_py("C0000000001", "p")
+
+
+def test_cascade_masks_null_partitions_and_rejects_what_is_invalid(spark, workdir):
+    from fraudlake.operators.erasure import read_registry, submit_erasure
+
+    path = os.path.join(workdir, "facts")
+    rows = [(None, "C100000001", "C100000002"), ("a", "C100000003", "C100000001"), ("b", "X", "C100000002")]
+    spark.createDataFrame(rows, "type string, name_orig string, name_dest string").write.partitionBy("type").parquet(path)
+    requests = spark.createDataFrame(
+        [("C100000001", "r1"), ("X", "r2"), ("C100000003", "r1")], "account_id string, request_id string"
+    ).withColumn("requested_ts", F.lit("2024-05-01 10:00:00").cast("timestamp"))
+    sent = []
+
+    def publish(messages):
+        sent.extend(r.key for r in messages.collect())
+        raise ConnectionError("broker away")
+
+    reg, audit = os.path.join(workdir, "registry"), os.path.join(workdir, "audit")
+    out = submit_erasure(spark, requests, "unit-pepper", reg, [path], audit, publish, {path: ["type"]}).collect()
+    assert sorted((r.request_id, r.status, r.rows_anonymized, r.streaming_purge_published) for r in out) == [
+        ("r1", "erasure_requested", 2, False), ("r1", "rejected", 0, False), ("r2", "rejected", 0, False),
+    ]
+    assert [r.account_id for r in read_registry(spark, reg).collect()] == ["C100000001"] and sent == ["C100000001"]
+    left = [(r.name_orig, r.name_dest) for r in spark.read.parquet(path).collect()]
+    ids = [x for pair in left for x in pair]
+    assert "C100000001" not in ids and ids.count("C100000003") == 1 and ids.count("X") == 1 and len(left) == 3
+    assert spark.read.parquet(audit).count() == 1
+
+
+def test_request_id_of_two_accounts_keeps_the_first_and_reports_the_other(spark):
+    from fraudlake.operators.erasure import registry_conflicts, registry_new_rows
+
+    rows = spark.createDataFrame(
+        [("C2", "a2", "r", "2024-01-02"), ("C1", "a1", "r", "2024-01-03"), ("C3", "a3", "q", "2024-01-01")],
+        "account_id string, account_alias string, request_id string, requested_at string",
+    )
+    assert sorted(r.account_id for r in registry_new_rows(rows, None).collect()) == ["C2", "C3"]
+    assert [(r.account_id, r.request_id) for r in registry_conflicts(rows).collect()] == [("C1", "r")]
