@@ -1005,25 +1005,35 @@ GBT_QUERY_ITER_CONF = "fraudlake.gbt.maxIter"
 
 
 def _trained(spark, sf):
-    """Train once per input folder: early stopping on a validation slice cut
-    from the end of the training period (never on the test window)."""
+    """(model, trees, losses, threshold, test rows), trained once per input folder.
+
+    Training and scoring use one fan-in, the live one (arrivals of scorable rows).
+    Early stopping and the threshold use a validation slice cut from the end of
+    the training period, never the test window.
+    """
+    from fraudlake.functions.features import scoring_features
     from fraudlake.operators import model as M
+    from fraudlake.session import checkpoint_root
 
-    key = (sf, spark.sparkContext.applicationId)
+    iters = int(spark.conf.get(GBT_QUERY_ITER_CONF, "20"))
+    key = (sf, spark.sparkContext.applicationId, iters)
     if key not in _MODEL_CACHE:
-        lab, cut = P.labelled(spark, sf)
-        train = lab.where(F.col("split") == "train")
-        inner_cut = split.split_cut(train)  # the last 20 % of training steps validate
-        fit, valid = train.where(F.col("step") <= inner_cut), train.where(F.col("step") > inner_cut)
-        iters = int(spark.conf.get(GBT_QUERY_ITER_CONF, "20"))
+        checkpoint_root(spark)
+        s = P.bronze(spark, sf).where(F.col("type").isin("CASH_OUT", "TRANSFER"))
+        rows = scoring_features(fanin.fan_in_arrival(s)).withColumn("is_fraud", F.col("isFraud"))
+        rows = rows.select(*FEATURES, "is_fraud", "step", "seq").checkpoint(eager=True)
+        train, test = split.temporal_split(rows, split.split_cut(rows))
+        fit, valid = split.temporal_split(train, split.split_cut(train))  # the last 20 % of training steps validate
         model, n_trees, losses = M.early_stop_freeze(fit, valid, max_iter=iters)
-        _MODEL_CACHE[key] = (model, n_trees, losses)
+        judged = M.model_scorer(model)(valid).withColumns({"score": F.col("fraud_probability"), "label": F.col("is_fraud")})
+        best = ev.best_threshold(ev.pr_curve(ev.curve_points(ev.score_counts(judged).checkpoint(eager=True)))).first()
+        _MODEL_CACHE[key] = (model, n_trees, losses, float(best["threshold"]) if best else 0.5, test)
     return _MODEL_CACHE[key]
 
 
 @register("M1_M2_train_early_stop")
 def q_m2(spark, sf):
-    _, n_trees, losses = _trained(spark, sf)
+    _, n_trees, losses, _, _ = _trained(spark, sf)
     rows = [(i, float(l), i + 1 == n_trees) for i, l in enumerate(losses)]
     return spark.createDataFrame(rows, "round int, validation_logloss double, frozen_at boolean")
 
@@ -1032,7 +1042,7 @@ def q_m2(spark, sf):
 def q_a19(spark, sf):
     from fraudlake.operators import model as M
 
-    model, _, _ = _trained(spark, sf)
+    model, _, _, _, _ = _trained(spark, sf)
     return M.feature_importance(model)
 
 
@@ -1040,10 +1050,13 @@ def q_a19(spark, sf):
 def q_m3(spark, sf):
     from fraudlake.operators import model as M
 
-    model, n_trees, _ = _trained(spark, sf)
-    meta = {"phase": "gbt", "num_trees": n_trees, "decision_threshold": 0.5, "features": list(FEATURES)}
+    from fraudlake.functions.features import feature_map
+
+    model, n_trees, _, threshold, _ = _trained(spark, sf)
+    meta = {"phase": "gbt", "num_trees": n_trees, "decision_threshold": threshold, "features": list(FEATURES)}
     chain = score.score_chain(P.transactions(spark, sf), scorer=M.model_scorer(model), metadata=meta)
-    return chain.select("seq", "status", "fraud_probability", "is_alert", "model_version")
+    used = F.when(F.col("status") == "scored", F.to_json(feature_map())).alias("features")
+    return chain.select("seq", "status", "fraud_probability", "threshold", "is_alert", "model_version", used)
 
 
 # --- message encoding and the alert contract --------------------------------------------
@@ -1105,9 +1118,7 @@ def q_m5g(spark, sf):
     from fraudlake.operators import model as M
     from fraudlake.session import checkpoint_root
 
-    model, n_trees, _ = _trained(spark, sf)
-    lab, _ = P.labelled(spark, sf)
-    test = lab.where(F.col("split") == "test")
+    model, n_trees, _, _, test = _trained(spark, sf)
     scored = M.model_scorer(model)(test).withColumns({"score": F.col("fraud_probability"), "label": F.col("is_fraud")})
     checkpoint_root(spark)
     counts = ev.score_counts(scored).checkpoint(eager=True)

@@ -81,13 +81,27 @@ def test_train_freeze_save_load_score(spark, workdir):
 def test_distributed_breach_equals_window(spark):
     import __spark_entry__ as E
 
-    base = E.queries()["X11_W5_dead_mans_switch"](spark, SF_SMOKE)
-    spark.conf.set("fraudlake.series.singleTaskPeriods", "10")
-    try:
-        joined = E.queries()["X11_W5_dead_mans_switch"](spark, SF_SMOKE)
-        a = {(r.period_start, r.alarm) for r in base.collect()}
-        b = {(r.period_start, r.alarm) for r in joined.collect()}
-        assert a == b and len(a) > 10
-        assert "Window" not in joined._jdf.queryExecution().optimizedPlan().toString()
-    finally:
-        spark.conf.unset("fraudlake.series.singleTaskPeriods")
+    got = E.queries()["X11_W5_dead_mans_switch"](spark, SF_SMOKE)
+    plain = monitor.consecutive_breach(got.drop("alarm"), [], "period_start", "breach", 3)
+    a = {(r.period_start, r.alarm) for r in got.collect()}
+    assert a == {(r.period_start, r.alarm) for r in plain.collect()} and len(a) > 10
+    assert "Window" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_metric_that_falls_silent_alarms(spark):
+    rows = [(f"2024-01-01 00:{m:02d}:00", "ConsumerHeartbeat", 1) for m in range(3)] + [("2024-01-01 00:30:00", "ScoredTransactions", 1)]
+    pts = spark.createDataFrame(rows, "ts string, metric string, value long").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    out = monitor.missing_data_alarm(pts, "ConsumerHeartbeat", 60, 1.0, 3).orderBy("period_start").collect()
+    assert len(out) == 31 and [i for i, r in enumerate(out) if r.alarm] == list(range(5, 31))
+
+
+def test_rows_without_a_score_are_missed_positives(spark):
+    from fraudlake.operators import evaluate as ev
+
+    scored = spark.createDataFrame([(0.9, 1), (0.8, 0), (None, 1), (0.1, 0), (None, 0)], "score double, label int")
+    cm = ev.confusion(scored, 0.5).first()
+    assert (cm.tn, cm.fp, cm.fn, cm.tp) == (2, 1, 1, 1)
+    pts = ev.curve_points(ev.score_counts(scored), n_buckets=2)
+    assert {r.recall for r in ev.pr_curve(pts).collect()} == {0.5}
+    # pairs: 0.9 beats 0.8, 0.1, none; the unscored positive ties with the unscored negative only
+    assert abs(ev.roc_auc(pts).first()[0] - 3.5 / 6) < 1e-9
