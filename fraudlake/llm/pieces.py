@@ -90,17 +90,37 @@ class WordPieces:
         return [b"".join(map(self.known.now.__getitem__, c)) for c in cut]
 
 
-def library_words(path: str) -> WordPieces:
-    """Texts encoded by the tokenizers library with the lower-casing word tokenizer ``path``."""
+def library_words(path: str, keep: int = 600_000, block: int = 256) -> WordPieces:
+    """Texts encoded by the tokenizers library with the lower-casing word tokenizer ``path``.
+
+    Pieces are encoded ``block`` at a time in one string, between marks that are a
+    word, and a token, of their own.
+    """
     import os
 
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+    import numpy as np
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(path)
     tok.no_truncation()
     tok.no_padding()
-    return WordPieces(lambda parts: [array("I", e.ids).tobytes() for e in tok.encode_batch_fast(parts, add_special_tokens=False)], worker_table(path, 250_000))
+    mark = "\x01"
+    (mark_id,) = tok.encode(mark, add_special_tokens=False).ids
+
+    def encode_pieces(parts):
+        if any(mark in p for p in parts):
+            return [array("I", e.ids).tobytes() for e in tok.encode_batch_fast(parts, add_special_tokens=False)]
+        blocks = [parts[i : i + block] for i in range(0, len(parts), block)]
+        out = []
+        for e in tok.encode_batch_fast([f" {mark} ".join(b) for b in blocks], add_special_tokens=False):
+            ids = np.array(e.ids, dtype="<u4")
+            cut = np.flatnonzero(ids == mark_id)
+            data, ends = ids.tobytes(), [*cut.tolist(), len(ids)]
+            out += [data[4 * lo : 4 * hi] for lo, hi in zip([0, *(cut + 1).tolist()], ends, strict=True)]
+        return out
+
+    return WordPieces(encode_pieces, worker_table(path, keep))
 
 
 def byte_symbols() -> dict[int, str]:
