@@ -43,7 +43,7 @@ def runs_of(sizes, limit: int):
         yield lo, len(sizes)
 
 
-def text_slices(batch: pa.RecordBatch, column: str = "text", limit: int = 4_000_000):
+def text_slices(batch: pa.RecordBatch, column: str = "text", limit: int = 2_000_000):
     """Slices of an Arrow batch holding at most ``limit`` bytes of text each (one row at least)."""
     col = batch.column(batch.schema.get_field_index(column))
     sizes = pa.compute.binary_length(col).fill_null(0).to_pylist() if len(col) else []
@@ -56,3 +56,11 @@ def offsets_of(lengths: np.ndarray) -> np.ndarray:
     out = np.zeros(len(lengths) + 1, dtype=np.int64)
     np.cumsum(lengths, out=out[1:])
     return out
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or with underscores in front where ``df`` has such a column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name

@@ -26,8 +26,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from fraudlake.llm.common import text_slices
+from fraudlake.llm.common import free_name, text_slices
 from fraudlake.llm.words import BASE, letter_table, mix, word_hashes, words_of
 
 # fixed values: first code points of Unicode script ranges, in order, and the script from there on
@@ -205,16 +206,30 @@ def _result(part: pa.RecordBatch, model: Model, letters: np.ndarray):
     return pa.array(lang, pa.string()), pa.array(score)
 
 
-def predict(docs: DataFrame, model: Model, penalty: float = 12.0) -> DataFrame:
-    """(doc_id, lang_pred, score) of every whole text."""
+def _predicted(docs: DataFrame, columns: list[str], model: Model, penalty: float, names: tuple[str, str]) -> DataFrame:
+    """``columns`` of the rows, with language and score under ``names``."""
+    added = [StructField(names[0], StringType()), StructField(names[1], DoubleType())]
 
     def task(batches):
         for batch in batches:
-            for part in text_slices(batch, limit=16_000_000):
+            for part in text_slices(batch, limit=4_000_000):
                 _, _, letters = _judge(part, model, penalty)
-                yield pa.record_batch([part.column("doc_id"), *_result(part, model, letters)], names=["doc_id", "lang_pred", "score"])
+                yield pa.record_batch([part.column(c) for c in columns] + [*_result(part, model, letters)], names=[*columns, *names])
+
+    rows = docs.select(*dict.fromkeys([*columns, "text"]))
+    return rows.mapInArrow(task, StructType([docs.schema[c] for c in columns] + added))
+
+
+def predict(docs: DataFrame, model: Model, penalty: float = 12.0) -> DataFrame:
+    """(doc_id, lang_pred, score) of every whole text."""
+    return _predicted(docs, ["doc_id"], model, penalty, ("lang_pred", "score"))
+
 
-    return docs.select("doc_id", "text").mapInArrow(task, "doc_id long, lang_pred string, score double")
+def accepted(docs: DataFrame, min_score: float = 0.5) -> DataFrame:
+    """The rows of ``docs``, all columns, with a language that scores ``min_score`` at least."""
+    names = (free_name(docs, "lang_pred"), free_name(docs, "score"))
+    judged = _predicted(docs, docs.columns, train(docs.where(~held_out("doc_id"))), 12.0, names)
+    return judged.where((F.col(names[0]) != "und") & (F.col(names[1]) >= min_score)).drop(*names)
 
 
 def spans(docs: DataFrame, model: Model, penalty: float = 12.0) -> DataFrame:

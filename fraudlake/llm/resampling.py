@@ -28,12 +28,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
-from fraudlake.llm.common import saved, text_slices
+from fraudlake.llm.common import free_name, saved, text_slices
 from fraudlake.llm.words import BASE, letter_table, mix, word_hashes, words_of
 
 REPEAT = mix(np.array([1], dtype=np.uint64))
-SCORES = "doc_id long, label int, n_grams long, log_weight double"
 
 
 def _features(texts: pa.Array, table: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -49,14 +49,14 @@ def _features(texts: pa.Array, table: np.ndarray, bits: int) -> tuple[np.ndarray
     return (np.concatenate([h, pair]) >> shift).astype(np.int64), np.concatenate([row, row[:-1][inside]])
 
 
-def labelled(docs: DataFrame, labels: DataFrame, max_labels: int) -> DataFrame:
-    """``docs`` with ``label`` from a bounded sample of ``labels`` (doc_id, label): the ``max_labels`` smallest hashes."""
-    one = labels.where("label is not null and doc_id is not null").groupBy("doc_id").agg(F.min("label").cast("int").alias("label"))
+def labelled(docs: DataFrame, labels: DataFrame, max_labels: int, name: str) -> DataFrame:
+    """``docs`` with column ``name`` from a bounded sample of ``labels`` (doc_id, label): the ``max_labels`` smallest hashes."""
+    one = labels.where("label is not null and doc_id is not null").groupBy("doc_id").agg(F.min("label").cast("int").alias(name))
     sample = one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labels)
-    return docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id", "left")
+    return docs.join(F.broadcast(sample), "doc_id", "left").select(*docs.columns, name)
 
 
-def count_models(rows: DataFrame, bits: int) -> tuple[np.ndarray, np.ndarray]:
+def count_models(rows: DataFrame, label: str, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Counts of each bucket over all documents and over those labelled 1 (two arrays of 2**bits)."""
 
     def task(batches):
@@ -65,13 +65,13 @@ def count_models(rows: DataFrame, bits: int) -> tuple[np.ndarray, np.ndarray]:
         for batch in batches:
             for part in text_slices(batch):
                 bucket, row = _features(part.column("text"), table, bits)
-                label = part.column("label").fill_null(0).to_numpy(zero_copy_only=False)
+                known = part.column(label).fill_null(0).to_numpy(zero_copy_only=False)
                 raw += np.bincount(bucket, minlength=size)
-                good += np.bincount(bucket[label[row] == 1], minlength=size)
+                good += np.bincount(bucket[known[row] == 1], minlength=size)
         at = np.flatnonzero(raw)
         yield pa.record_batch([pa.array(at, pa.int32()), pa.array(raw[at]), pa.array(good[at])], names=["bucket", "raw", "good"])
 
-    parts = rows.select("text", "label").mapInArrow(task, "bucket int, raw long, good long")
+    parts = rows.select("text", label).mapInArrow(task, "bucket int, raw long, good long")
     raw, good = np.zeros(1 << bits), np.zeros(1 << bits)
     for r in parts.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("good").alias("good")).collect():  # 2**bits rows at most
         raw[r.bucket], good[r.bucket] = r.raw, r.good
@@ -84,8 +84,9 @@ def log_ratio(raw: np.ndarray, good: np.ndarray, smooth: float = 1.0) -> np.ndar
     return np.log(p) - np.log(q)
 
 
-def weigh(rows: DataFrame, ratio: np.ndarray, bits: int) -> DataFrame:
-    """(doc_id, label, n_grams, log_weight) of every document."""
+def weigh(rows: DataFrame, columns: list[str], ratio: np.ndarray, bits: int, names: tuple[str, str]) -> DataFrame:
+    """``columns`` of every row, with the number of n-grams and the log weight under ``names``."""
+    added = [StructField(names[0], LongType()), StructField(names[1], DoubleType())]
 
     def task(batches):
         table = letter_table(digits=True, marks=True)
@@ -94,12 +95,9 @@ def weigh(rows: DataFrame, ratio: np.ndarray, bits: int) -> DataFrame:
                 bucket, row = _features(part.column("text"), table, bits)
                 n = np.bincount(row, minlength=part.num_rows)
                 weight = np.bincount(row, weights=ratio[bucket], minlength=part.num_rows)
-                yield pa.record_batch(
-                    [part.column("doc_id"), part.column("label"), pa.array(n), pa.array(weight)],
-                    names=["doc_id", "label", "n_grams", "log_weight"],
-                )
+                yield pa.record_batch([part.column(c) for c in columns] + [pa.array(n), pa.array(weight.astype(np.float64))], names=[*columns, *names])
 
-    return rows.select("doc_id", "text", "label").mapInArrow(task, SCORES)
+    return rows.select(*dict.fromkeys([*columns, "text"])).mapInArrow(task, StructType([rows.schema[c] for c in columns] + added))
 
 
 def best_cut(values: np.ndarray, good: np.ndarray) -> float | None:
@@ -143,22 +141,35 @@ def gumbel(seed: int):
     return -F.log(-F.log(u))
 
 
+def _drawn(docs: DataFrame, columns: list[str], labels: DataFrame, share: float | None, bits: int, seed: int, max_labels: int) -> tuple[DataFrame, list[str]]:
+    """``columns`` of the rows with the working columns (label, n_grams, log_weight, gumbel_key, kept), and their names."""
+    label, n_grams, weight, key, kept = names = [free_name(docs, c) for c in ("label", "n_grams", "log_weight", "gumbel_key", "kept")]
+    rows = labelled(docs, labels, max_labels, label)
+    raw, good = count_models(rows, label, bits)
+    scored = weigh(rows, [*columns, label], log_ratio(raw, good), bits, (n_grams, weight))
+    scored = saved(scored.withColumn(key, F.when(F.col(n_grams) > 0, F.col(weight) + gumbel(seed))), "resample")
+    able = scored.where(F.col(key).isNotNull())
+    total = able.count()
+    if share is not None:
+        k = math.ceil(share * total)
+    else:
+        known = able.where(F.col(label).isNotNull()).select(weight, label).toPandas()  # max_labels rows at most
+        cut = best_cut(known[weight].to_numpy(), known[label].to_numpy() == 1)
+        k = total if cut is None else able.where(F.col(weight) >= cut).count()
+    stays = F.lit(False) if k <= 0 or not total else F.coalesce(F.col(key) >= kth_largest(able, key, min(k, total)), F.lit(False))
+    return scored.withColumn(kept, stays), names
+
+
 def resample(docs: DataFrame, labels: DataFrame, share: float | None = None, bits: int = 14, seed: int = 1, max_labels: int = 50_000) -> DataFrame:
     """(doc_id, n_grams, log_weight, gumbel_key, kept) of every document.
 
     ``labels``: doc_id and label (1 good, 0 bad); at most ``max_labels`` of them are read.
     """
-    rows = labelled(docs, labels, max_labels)
-    raw, good = count_models(rows, bits)
-    scored = weigh(rows, log_ratio(raw, good), bits)
-    scored = saved(scored.withColumn("gumbel_key", F.when(F.col("n_grams") > 0, F.col("log_weight") + gumbel(seed))), "resample")
-    able = scored.where("gumbel_key is not null")
-    total = able.count()
-    if share is not None:
-        k = math.ceil(share * total)
-    else:
-        known = able.where("label is not null").select("log_weight", "label").toPandas()  # max_labels rows at most
-        cut = best_cut(known["log_weight"].to_numpy(), known["label"].to_numpy() == 1)
-        k = total if cut is None else able.where(F.col("log_weight") >= cut).count()
-    kept = F.lit(False) if k <= 0 or not total else F.coalesce(F.col("gumbel_key") >= kth_largest(able, "gumbel_key", min(k, total)), F.lit(False))
-    return scored.select("doc_id", "n_grams", "log_weight", "gumbel_key", kept.alias("kept"))
+    rows, _ = _drawn(docs.select("doc_id", "text"), ["doc_id"], labels, share, bits, seed, max_labels)
+    return rows.drop("label")
+
+
+def accepted(docs: DataFrame, labels: DataFrame, share: float | None = None, bits: int = 14, seed: int = 1, max_labels: int = 50_000) -> DataFrame:
+    """The drawn rows of ``docs``, all columns."""
+    rows, names = _drawn(docs, docs.columns, labels, share, bits, seed, max_labels)
+    return rows.where(names[-1]).drop(*names)

@@ -17,7 +17,7 @@ from fraudlake.llm.common import offsets_of
 
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
-BLOCK = 1 << 22
+BLOCK = 1 << 19
 
 
 class Words(NamedTuple):
