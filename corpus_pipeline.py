@@ -8,35 +8,25 @@ the columns of ``documents`` for the documents they keep.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from fraudlake.llm import language, packing, resampling, similar
 from fraudlake.llm.common import read_table, saved
 from fraudlake.llm.queries import BYTE_BPE
 
-MIN_LANGUAGE_SCORE = 0.5
-
-
-def keep(docs: DataFrame, decided: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is in ``decided``; rows without a doc_id go."""
-    return docs.join(decided.select("doc_id").distinct(), "doc_id", "left_semi").select(*docs.columns)
-
-
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without letters, or in which no language holds half of the letters, go."""
-    judged = language.identify(docs)
-    return keep(docs, judged.where((F.col("lang_pred") != "und") & (F.col("score") >= MIN_LANGUAGE_SCORE)))
+    return language.accepted(docs, min_score=0.5)
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the importance resampling does not draw go."""
-    labels = read_table(spark, sf_dir, "labels").selectExpr("doc_id", "quality AS label")
-    return keep(docs, resampling.resample(docs, labels).where("kept"))
+    return resampling.accepted(docs, read_table(spark, sf_dir, "labels").selectExpr("doc_id", "quality AS label"))
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest doc_id of each group of similar documents stays."""
-    return keep(docs, similar.similar_documents(docs).where("doc_id = class_id"))
+    firsts = similar.similar_documents(docs).where("doc_id = class_id").select("doc_id").distinct()
+    return docs.join(firsts, "doc_id", "left_semi").select(*docs.columns)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
