@@ -69,7 +69,7 @@ def _set_keys(values: np.ndarray, at: np.ndarray) -> list[bytes | None]:
 def _sketches(batches):
     odd = mix(np.arange(1, COORDS + 1, dtype=np.uint64)) | np.uint64(1)
     for batch in batches:
-        for part in text_slices(batch, limit=2_000_000):
+        for part in text_slices(batch):
             values, at = _sets(part.column("text"))
             full = np.flatnonzero(np.diff(at))
             sketch = np.zeros((part.num_rows, COORDS), dtype="<u4")
@@ -336,7 +336,7 @@ def _verified(similarity: float, slots: int):
 
 def _whole_sets(batches):
     for batch in batches:
-        for part in text_slices(batch, limit=2_000_000):
+        for part in text_slices(batch):
             values, at = _sets(part.column("text"))
             keys = _set_keys(values, at)
             col = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(values.view(np.int64)))
@@ -385,7 +385,8 @@ def similar_documents(docs: DataFrame, similarity: float = 0.8, recall: float =
     slim = slim.select("key", "i", "j", "slot", "block", "sid", "n", "copies", "sketch", "leaves")
     likely = saved(_dealt(slim).mapInArrow(_candidates(similarity, slots), schema), "similar-likely")
     wanted = saved(likely.select("sid").distinct().join(classes.select("sid", "rep"), "sid"), "similar-wanted")
-    texts = docs.select(F.col("doc_id").alias("rep"), "text").join(wanted, "rep").select("sid", "text")
+    # one plan at every size: the few documents to compare are never broadcast
+    texts = docs.select(F.col("doc_id").alias("rep"), "text").join(wanted.hint("merge"), "rep").select("sid", "text")
     whole = texts.mapInArrow(_whole_sets, "sid binary, values array<bigint>").dropDuplicates(["sid"])
     found = saved(
         _dealt(likely.join(saved(whole, "similar-sets"), "sid"), "family").mapInArrow(_verified(similarity, slots), "sid binary, root binary, links long"),
