@@ -33,8 +33,9 @@ def sketch(text: Column, k: int = K) -> Column:
     """array<long>: the bottom-k sketch of a text."""
 
     def hashes(words: Column) -> Column:
-        runs = F.sequence(F.lit(1), F.greatest(F.size(words) - (WORDS - 1), F.lit(1)))
-        shingle = lambda i: F.shiftrightunsigned(F.xxhash64(F.slice(words, i, WORDS)), 24)
+        runs = F.sequence(F.lit(0), F.greatest(F.size(words) - WORDS, F.lit(0)))
+        # words behind the end are null, which a hash passes over
+        shingle = lambda i: F.shiftrightunsigned(F.xxhash64(*[F.get(words, i + j) for j in range(WORDS)]), 24)
         return F.when(F.size(words) > 0, smallest(F.transform(runs, shingle), k)).otherwise(F.expr("array()").cast("array<bigint>"))
 
     words = F.array_remove(F.split(F.coalesce(text, F.lit("")), r"\s+"), "")
