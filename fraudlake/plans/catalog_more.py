@@ -1000,12 +1000,8 @@ def q_k10(spark, sf):
 
 # --- model (rows-only checks: boosted trees are not SQL-expressible) -----------------------
 
-_MODEL_CACHE: dict = {}
-GBT_QUERY_ITER_CONF = "fraudlake.gbt.maxIter"
-
-
 def _trained(spark, sf):
-    """(model, trees, losses, threshold, test rows), trained once per input folder.
+    """(model, trees, losses, threshold, test rows), trained anew by each query.
 
     Training and scoring use one fan-in, the live one (arrivals of scorable rows).
     Early stopping and the threshold use a validation slice cut from the end of
@@ -1015,20 +1011,16 @@ def _trained(spark, sf):
     from fraudlake.operators import model as M
     from fraudlake.session import checkpoint_root
 
-    iters = int(spark.conf.get(GBT_QUERY_ITER_CONF, "20"))
-    key = (sf, spark.sparkContext.applicationId, iters)
-    if key not in _MODEL_CACHE:
-        checkpoint_root(spark)
-        s = P.bronze(spark, sf).where(F.col("type").isin("CASH_OUT", "TRANSFER"))
-        rows = scoring_features(fanin.fan_in_arrival(s)).withColumn("is_fraud", F.col("isFraud"))
-        rows = rows.select(*FEATURES, "is_fraud", "step", "seq").checkpoint(eager=True)
-        train, test = split.temporal_split(rows, split.split_cut(rows))
-        fit, valid = split.temporal_split(train, split.split_cut(train))  # the last 20 % of training steps validate
-        model, n_trees, losses = M.early_stop_freeze(fit, valid, max_iter=iters)
-        judged = M.model_scorer(model)(valid).withColumns({"score": F.col("fraud_probability"), "label": F.col("is_fraud")})
-        best = ev.best_threshold(ev.pr_curve(ev.curve_points(ev.score_counts(judged).checkpoint(eager=True)))).first()
-        _MODEL_CACHE[key] = (model, n_trees, losses, float(best["threshold"]) if best else 0.5, test)
-    return _MODEL_CACHE[key]
+    checkpoint_root(spark)
+    s = P.bronze(spark, sf).where(F.col("type").isin("CASH_OUT", "TRANSFER"))
+    rows = scoring_features(fanin.fan_in_arrival(s)).withColumn("is_fraud", F.col("isFraud"))
+    rows = rows.select(*FEATURES, "is_fraud", "step", "seq").checkpoint(eager=True)
+    train, test = split.temporal_split(rows, split.split_cut(rows))
+    fit, valid = split.temporal_split(train, split.split_cut(train))  # the last 20 % of training steps validate
+    model, n_trees, losses = M.early_stop_freeze(fit, valid)
+    judged = M.model_scorer(model)(valid).withColumns({"score": F.col("fraud_probability"), "label": F.col("is_fraud")})
+    best = ev.best_threshold(ev.pr_curve(ev.curve_points(ev.score_counts(judged).checkpoint(eager=True)))).first()
+    return model, n_trees, losses, float(best["threshold"]) if best else 0.5, test
 
 
 @register("M1_M2_train_early_stop")

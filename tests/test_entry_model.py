@@ -105,3 +105,16 @@ def test_rows_without_a_score_are_missed_positives(spark):
     assert {r.recall for r in ev.pr_curve(pts).collect()} == {0.5}
     # pairs: 0.9 beats 0.8, 0.1, none; the unscored positive ties with the unscored negative only
     assert abs(ev.roc_auc(pts).first()[0] - 3.5 / 6) < 1e-9
+
+
+def test_model_queries_train_the_whole_job_each(spark, monkeypatch):
+    whole, asked = M.early_stop_freeze, []
+
+    def short(train, valid, max_iter=M.GBT_MAX_ITER, **more):
+        asked.append((max_iter, more.get("patience", M.GBT_PATIENCE)))
+        return whole(train, valid, max_iter=2, **more)
+
+    monkeypatch.setattr(M, "early_stop_freeze", short)
+    for key in ("M1_M2_train_early_stop", "A19_O3_feature_importance"):
+        assert E.queries()[key](spark, SF_SMOKE).count() > 0
+    assert asked == [(300, 15), (300, 15)]
