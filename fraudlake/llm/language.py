@@ -2,9 +2,9 @@
 
 The model is learned from labelled documents: for each language the counts of
 hashed byte n-grams of words (1 to 4 bytes, with word ends), and for each script
-the share of its words in each language. A word's script (the range of its first
-letter) narrows the candidates to languages that hold at least ``min_share`` of
-the script's learned words. A word's score for a candidate is the mean log
+the share of each language's words in it. A word's script (the range of its first
+letter) narrows the candidates to languages with at least ``min_share`` of their own
+learned words in it, however small their part of the corpus is. A word's score for a candidate is the mean log
 probability of its n-grams times ``WORD_WEIGHT``; a script without candidates
 gives no evidence. Over the words of a text, Viterbi finds the labelling with the
 best sum of scores where each change of language costs ``penalty``. Runs of equal
@@ -131,7 +131,7 @@ def train(docs: DataFrame, bits: int = 15, min_share: float = 0.001, smooth: flo
             total[r.bucket] = r[1:]
     grams, scripts = total[: 1 << bits], total[1 << bits :]
     log_p = np.log((grams + smooth) / (grams.sum(axis=0) + smooth * (1 << bits)))
-    share = scripts / np.maximum(scripts.sum(axis=1, keepdims=True), 1)
+    share = scripts / np.maximum(scripts.sum(axis=0), 1)
     return Model(langs, log_p, share >= max(min_share, 1e-12), bits)
 
 

@@ -38,6 +38,16 @@ def test_spans_of_a_mixed_text_and_scripts(spark):
     assert [(r.doc_id, r.lang, r.n_words) for r in spans] == [(1, "en", 42), (1, "de", 42), (2, "el", 1)]
 
 
+def test_language_with_one_word_in_5000_stays_a_candidate(spark):
+    english = "the thing of and other with hand from this water people there which would about"
+    finnish = "kahdeksan yksitoista hyvää päivää kiitos näkemiin"
+    rows = [(i, " ".join([english] * 50), "en", None, None) for i in range(43)]  # 30,100 words against 6
+    model = language.train(frame(spark, [*rows, (1000, finnish, "fi", None, None)]))
+    assert model.langs == ["en", "fi"] and model.allowed[language.NAMES.index("latin")].all()
+    asked = frame(spark, [(1, f"{finnish} {finnish}", None, None, None), (2, f"{english} {english}", None, None, None)])
+    assert {r.doc_id: r.lang_pred for r in language.predict(asked, model).collect()} == {1: "fi", 2: "en"}
+
+
 def test_language_of_odd_rows(spark):
     docs = frame(spark, odd_rows())
     got = {r.doc_id: r for r in language.identify(docs).collect()}
