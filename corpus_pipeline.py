@@ -8,9 +8,10 @@ the columns of ``documents`` for the documents they keep.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from fraudlake.llm import language, packing, resampling, similar
-from fraudlake.llm.common import read_table, saved
+from fraudlake.llm.common import free_name, read_table, saved
 from fraudlake.llm.queries import BYTE_BPE
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,9 +25,11 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each group of similar documents stays."""
-    firsts = similar.similar_documents(docs).where("doc_id = class_id").select("doc_id").distinct()
-    return docs.join(firsts, "doc_id", "left_semi").select(*docs.columns)
+    """One row of each group of similar documents stays: the smallest doc_id's, any one of them
+    where rows repeat it; a row without a doc_id only where no row of the group has one."""
+    key = free_name(docs, "row_key")
+    rows = saved(docs.withColumn(key, F.monotonically_increasing_id()), "pipeline-rows")
+    return rows.join(similar.first_of_each_class(rows, key), key, "left_semi").select(*docs.columns)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -18,7 +18,8 @@ the threshold meets at least once reaches the target recall.
 
 Cases: null texts and texts without a word have no shingles, link to nothing and are
 classes of their own; a text of one to four words has one shingle; repeated rows are
-copies; other columns are not read; an empty table gives no rows.
+copies; a null doc_id comes after all others, so a class is named null only if it has
+no other; other columns are not read; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -79,10 +80,10 @@ def _sketches(batches):
             keys = _set_keys(values, at)
             yield pa.record_batch(
                 [
-                    part.column("doc_id"), pa.array(keys, pa.binary()), pa.array(np.diff(at)),
+                    part.column("doc_id"), part.column("row"), pa.array(keys, pa.binary()), pa.array(np.diff(at)),
                     pa.array([s.tobytes() if k else None for s, k in zip(sketch, keys, strict=True)], pa.binary()),
                 ],
-                names=["doc_id", "sid", "n", "sketch"],
+                names=["doc_id", "row", "sid", "n", "sketch"],
             )
 
 
@@ -95,8 +96,13 @@ def mix_fast(values: np.ndarray, odd: np.uint64) -> np.ndarray:
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """(doc_id, sid, n, sketch): key and size of each text's set, and its smallest tokens."""
-    return docs.select("doc_id", "text").mapInArrow(_sketches, "doc_id long, sid binary, n long, sketch binary")
+    """(doc_id, row, sid, n, sketch): key and size of each text's set, and its smallest tokens."""
+    return docs.select("doc_id", "row", "text").mapInArrow(_sketches, "doc_id long, row long, sid binary, n long, sketch binary")
+
+
+def _place(doc_id: str = "doc_id", row: str = "row"):
+    """A row's place among those of its class: by doc_id, null last, then by row."""
+    return F.struct(F.col(doc_id).isNull().alias("none"), F.col(doc_id).alias("doc_id"), F.col(row).alias("row"))
 
 
 def _token(c):
@@ -365,12 +371,28 @@ def similar_documents(docs: DataFrame, similarity: float = 0.8, recall: float =
     ``class_id``: the smallest doc_id of the connected group of similar documents;
     ``links``: how many other documents are similar to this one, copies included.
     """
+    # rows of one doc_id and text hash are told apart by their sets' keys where texts are fetched
+    rows = docs.select("doc_id", F.xxhash64("text").alias("row"), "text")
+    return _similar(rows, similarity, recall).select("doc_id", "class_id", "links")
+
+
+def first_of_each_class(docs: DataFrame, key: str) -> DataFrame:
+    """(key) of one row of each class: the smallest (doc_id, key), null doc_ids last.
+
+    ``key`` is a long column of ``docs``, different in every row, the same at each read.
+    """
+    rows = docs.select("doc_id", F.col(key).alias("row"), "text")
+    return _similar(rows, 0.8, 0.999).where("first").select(F.col("row").alias(key))
+
+
+def _similar(docs: DataFrame, similarity: float, recall: float) -> DataFrame:
+    """(doc_id, row, class_id, first, links) of rows (doc_id, row, text)."""
     runs = runs_for(recall, similarity)
     slots = 2 * runs << DEPTH
     every = saved(sketches(docs), "similar-sketches")
     classes = saved(
         every.where("sid is not null").groupBy("sid").agg(
-            F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("sketch").alias("sketch")
+            F.min(_place()).alias("rep"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("sketch").alias("sketch")
         ),
         "similar-classes",
     )
@@ -384,9 +406,9 @@ def similar_documents(docs: DataFrame, similarity: float = 0.8, recall: float =
     slim = units.withColumn("leaves", F.expr("transform(leaves, x -> struct(x.slot, x.key))"))
     slim = slim.select("key", "i", "j", "slot", "block", "sid", "n", "copies", "sketch", "leaves")
     likely = saved(_dealt(slim).mapInArrow(_candidates(similarity, slots), schema), "similar-likely")
-    wanted = saved(likely.select("sid").distinct().join(classes.select("sid", "rep"), "sid"), "similar-wanted")
+    wanted = saved(likely.select("sid").distinct().join(classes.select("sid", "rep.doc_id", "rep.row"), "sid").toDF("sid", "rep_id", "rep_row"), "similar-wanted")
     # one plan at every size: the few documents to compare are never broadcast
-    texts = docs.select(F.col("doc_id").alias("rep"), "text").join(wanted.hint("merge"), "rep").select("sid", "text")
+    texts = docs.select(_place().alias("rep"), "text").join(wanted.hint("merge"), F.expr("rep.row = rep_row and rep.doc_id <=> rep_id")).select("sid", "text")
     whole = texts.mapInArrow(_whole_sets, "sid binary, values array<bigint>").dropDuplicates(["sid"])
     found = saved(
         _dealt(likely.join(saved(whole, "similar-sets"), "sid"), "family").mapInArrow(_verified(similarity, slots), "sid binary, root binary, links long"),
@@ -395,9 +417,10 @@ def similar_documents(docs: DataFrame, similarity: float = 0.8, recall: float =
     labels = groups(found)
     links = found.groupBy("sid").agg(F.sum("links").alias("links"))
     label = labels.join(classes.select("sid", "rep"), "sid")
-    least = label.groupBy("label").agg(F.min("rep").alias("class_id"))
-    known = label.join(least, "label").select("sid", "class_id").join(links, "sid")
+    least = label.groupBy("label").agg(F.min("rep").alias("least"))
+    known = label.join(least, "label").select("sid", "least").join(links, "sid")
     table = saved(classes.select("sid", "rep", "copies").join(known, "sid", "left"), "similar-result")
-    own = F.coalesce("class_id", "rep", "doc_id").alias("class_id")
+    least = F.coalesce(F.col("least"), F.col("rep"), _place())
     total = (F.coalesce("copies", F.lit(1)) - 1 + F.coalesce("links", F.lit(0))).alias("links")
-    return every.select("doc_id", "sid").join(table, "sid", "left").select("doc_id", own, total)
+    own = every.select("doc_id", "row", "sid").join(table, "sid", "left")
+    return own.select("doc_id", "row", least["doc_id"].alias("class_id"), (least == _place()).alias("first"), total)

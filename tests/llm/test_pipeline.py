@@ -43,3 +43,19 @@ def test_stages_on_odd_rows(spark):
         kept = stage(spark, docs, SF_SMOKE)
         assert kept.columns == docs.columns and kept.count() <= len(odd_rows()), name
         assert stage(spark, docs.limit(0), SF_SMOKE).collect() == []
+
+
+def test_one_row_of_each_class_stays(spark):
+    near = " ".join(f"near{i}" for i in range(400))
+    rows = [
+        *odd_rows(), (900, "twice under one id", None, None, None), (900, "twice under one id", None, None, None),
+        (901, "twice under one id", None, None, None), (900, "another text of the same id", None, None, None),
+        (None, near, None, None, None), (None, f"{near} end", None, None, None), (None, "twice under one id", None, None, None),
+    ]
+    kept = [(r.doc_id, r.text) for r in dict(corpus_pipeline.STAGES)["near duplicates"](spark, frame(spark, rows), SF_SMOKE).collect()]
+    texts = [t for _, t in kept]
+    assert kept.count((900, "twice under one id")) == 1 and (901, "twice under one id") not in kept
+    assert kept.count((900, "another text of the same id")) == 1 and (None, "twice under one id") not in kept
+    assert sum(t in (near, f"{near} end") for t in texts) == 1
+    assert (None, "row without an id") in kept
+    assert kept.count((60, "Hello world, it's 5 o'clock")) == 1 and 70 not in [d for d, _ in kept]
