@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from fraudlake.llm import bpe, fingerprints, language, licences, packing, resampling, similar, sql, token_files, url_filter, vector_search
+from fraudlake.llm import bpe, fingerprints, hard_negatives, language, licences, packing, resampling, secret_scan, similar, sql, target_resampling, token_files, url_filter, vector_search
 from fraudlake.llm.common import read_table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -83,3 +83,20 @@ def op9(spark, sf_dir):
 @register("op6_licence_scan", sql.LICENCE_SCAN)
 def op6(spark, sf_dir):
     return licences.scan(read_table(spark, sf_dir, "documents"))
+
+
+@register("op11_secret_scan", sql.SECRET_SCAN)
+def op11(spark, sf_dir):
+    return secret_scan.digest(read_table(spark, sf_dir, "documents"))
+
+
+@register("op12_hard_negatives", sql.HARD_NEGATIVES)
+def op12(spark, sf_dir):
+    """Every seventh row stands under the next label."""
+    label = F.expr("CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END")
+    return hard_negatives.mine(read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding", label.alias("label")))
+
+
+@register("op13_target_resampling", sql.TARGET_RESAMPLING)
+def op13(spark, sf_dir):
+    return target_resampling.resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))

@@ -1,6 +1,7 @@
 """DuckDB SQL that checks the queries of this folder which SQL can express."""
 
 from fraudlake.llm.licences import TEMPLATES
+from fraudlake.llm.secret_scan import BASE_RULES, RULES
 
 TOP_K = """
 WITH v AS (
@@ -129,3 +130,103 @@ FROM documents d LEFT JOIN best USING (doc_id) LEFT JOIN n USING (doc_id)
 
 
 LICENCE_SCAN = _licence_scan()
+
+
+def either_case(pattern: str) -> str:
+    """``pattern`` with each ASCII letter outside classes and escapes as a class of both cases."""
+    out, depth, at = [], 0, 0
+    while at < len(pattern):
+        c = pattern[at]
+        if c == "\\":
+            n = 4 if pattern[at + 1] == "x" else 2
+            out.append(pattern[at : at + n])
+            at += n
+            continue
+        depth += (c == "[") - (c == "]")
+        out.append(f"[{c.upper()}{c.lower()}]" if not depth and c.isascii() and c.isalpha() else c)
+        at += 1
+    return "".join(out)
+
+
+def _secret_scan() -> str:
+    """Matches by extraction, their places from the lengths of the matches and of what lies between."""
+    found = []
+    for n, r in enumerate(RULES):
+        p = (either_case(r.pattern) if r.any_case else r.pattern).replace("'", "''")
+        found.append(f"""
+SELECT r, {n} AS k, '{r.kind}' AS kind, i, len(m[i]) AS n, len(g[i]) AS own, len(s[i]) AS gap, {r.least} AS least FROM (
+  SELECT r, m, g, s, unnest(range(1, len(m) + 1)) AS i FROM (
+    SELECT r, regexp_extract_all(t, '{p}') AS m, regexp_extract_all(t, '{p}', {r.group}) AS g, regexp_split_to_array(t, '{p}') AS s FROM d))""")
+    base = ", ".join(f"'{r.kind}'" for r in BASE_RULES)
+    counts = ", ".join(f"CAST(count(*) FILTER (kind = '{r.kind}') AS BIGINT) AS n_{r.kind}" for r in BASE_RULES)
+    listed = "string_agg(kind || ':' || b || ':' || (b + n), ',' ORDER BY b, k)"
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+f AS ({" UNION ALL ".join(found)}),
+p AS (SELECT *, CAST(sum(gap + n) OVER (PARTITION BY r, k ORDER BY i) - n AS BIGINT) AS b FROM f),
+a AS (SELECT r, {counts}, {listed} FILTER (kind IN ({base})) AS own, {listed} AS spans FROM p WHERE own >= least GROUP BY r)
+SELECT d.doc_id, {", ".join(f"coalesce(n_{r.kind}, 0) AS n_{r.kind}" for r in BASE_RULES)},
+       sha256(coalesce(a.own, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN a USING (r)
+"""
+
+
+SECRET_SCAN = _secret_scan()
+
+HARD_NEGATIVES = """
+WITH v AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+         CAST(coalesce(list_sum(list_transform(list_zip(a.e, c.e), lambda p: coalesce(p[1], 0) * coalesce(p[2], 0))), 0) AS BIGINT) AS score
+  FROM v a JOIN v c ON a.vec_id % 100 = 0 AND c.vec_id <> a.vec_id
+), p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score
+  FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+), n AS (
+  SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score,
+         CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank
+  FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same
+   AND 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10
+"""
+
+
+def _crc_table() -> list[int]:
+    """The 256 steps of the common CRC-32 (reversed polynomial 0xEDB88320)."""
+    out = []
+    for n in range(256):
+        for _ in range(8):
+            n = n >> 1 ^ (0xEDB88320 if n & 1 else 0)
+        out.append(n)
+    return out
+
+
+TARGET_RESAMPLING = f"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, text FROM documents),
+w AS (
+  SELECT r, raw, regexp_extract_all(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+  FROM (SELECT r, true AS raw, coalesce(text, '') AS t FROM docs UNION ALL SELECT NULL, false, coalesce(text, '') FROM benchmark)
+), f AS (
+  SELECT r, raw, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS f FROM w
+), h AS (SELECT f, hex(encode(f)) AS x FROM f GROUP BY f),
+b AS (
+  SELECT f, xor(list_reduce(list_transform(range(0, len(x) // 2), lambda i: CAST('0x' || substr(x, 2 * i + 1, 2) AS BIGINT)),
+           lambda c, y: xor({_crc_table()}[1 + (xor(c, y) & 255)], c >> 8), 4294967295), 4294967295) % 10000 AS b
+  FROM h
+), n AS (SELECT b, count(*) FILTER (raw) AS s, count(*) FILTER (NOT raw) AS t FROM f JOIN b USING (f) GROUP BY b),
+a AS (SELECT coalesce(sum(s), 0) AS s, coalesce(sum(t), 0) AS t FROM n),
+g AS (SELECT n.b, CAST(floor(1000 * ln((n.t + 1) * (a.s + 10000) / ((n.s + 1) * (a.t + 10000)))) AS BIGINT) AS g FROM n, a),
+d AS (SELECT r, count(*) AS n, CAST(floor(sum(g) / count(*)) AS BIGINT) AS weight FROM f JOIN b USING (f) JOIN g USING (b) WHERE raw GROUP BY r),
+e AS (
+  SELECT docs.r, doc_id, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), sha256(coalesce(text, '')))), 1, 8) AS BIGINT) + 0.5) / 4294967296))) AS BIGINT) AS score
+  FROM docs LEFT JOIN d USING (r)
+), o AS (SELECT *, row_number() OVER (PARTITION BY n_features >= 39 ORDER BY score DESC, doc_id NULLS FIRST, r) AS o, count(*) OVER (PARTITION BY n_features >= 39) AS m FROM e)
+SELECT doc_id, n_features, weight, score, CAST(CASE WHEN n_features >= 39 AND o <= 25 * m // 100 THEN o END AS BIGINT) AS rank FROM o
+"""
