@@ -7,20 +7,25 @@ per account.
 
 from __future__ import annotations
 
+import json
 import logging
 import uuid
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from fraudlake.functions.alias import account_alias
 from fraudlake.functions.quality import account_id_valid
-from fraudlake.paths import delete_path, guard_output, path_exists, rename_path
-from fraudlake.schemas import REGISTRY, REQUEST_ID_HEX_CHARS, REQUEST_ID_PREFIX
+from fraudlake.paths import create_if_absent, delete_path, fingerprint, list_names, path_exists, read_text, rename_path
+from fraudlake.schemas import AUDIT, REGISTRY, REQUEST_ID_HEX_CHARS, REQUEST_ID_PREFIX
 from fraudlake.session import checkpoint_root
+from fraudlake.sinks import append_log
 
 ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 ID_COLUMNS = ("name_orig", "name_dest")
+_COUNTS = "account_id string, _c long"
 
 
 def iso_utc(ts_col) -> F.Column:
@@ -70,10 +75,12 @@ def registry_new_rows(new_rows: DataFrame, existing: DataFrame | None) -> DataFr
     return dedup.join(existing.select("request_id"), "request_id", "left_anti").select(*REGISTRY.fieldNames())
 
 
-def registry_conflicts(new_rows: DataFrame) -> DataFrame:
-    """Requests rejected because their request id already names another account."""
-    kept = registry_new_rows(new_rows, None).select("request_id", F.col("account_id").alias("_kept"))
-    other = new_rows.join(kept, "request_id").where(F.col("account_id") != F.col("_kept"))
+def registry_conflicts(new_rows: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+    """Requests rejected because their request id already names another account,
+    in the batch or in the stored registry."""
+    kept = registry_new_rows(new_rows, existing)
+    holders = (kept if existing is None else kept.unionByName(existing.select(*REGISTRY.fieldNames()))).select("request_id", "account_id")
+    other = new_rows.join(holders, ["request_id", "account_id"], "left_anti")
     return other.select("account_id", "request_id", F.lit("request_id names another account").alias("reason")).distinct()
 
 
@@ -83,22 +90,22 @@ def read_registry(spark: SparkSession, path: str) -> DataFrame | None:
     Any other read error propagates: an unreadable registry must not be
     mistaken for an empty one.
     """
-    if not path_exists(spark, path):
-        return None
-    return spark.read.schema(REGISTRY).parquet(path)
+    return append_log.read(spark, path, REGISTRY)
 
 
-def append_registry(spark: SparkSession, rows: DataFrame, path: str) -> int:
-    """Append-only write of the new registry rows; returns rows appended.
+def register_requests(spark: SparkSession, rows: DataFrame, path: str, on_step=lambda step: None) -> tuple[int, DataFrame]:
+    """Append the new registry rows; returns (rows appended, rejected requests).
+
+    Several writers may append at once: each request id is stored once, and the
+    requests that lost their id to another account are rejected by the registry they
+    were checked against."""
+    n, before = append_log.append(spark, path, REGISTRY, lambda table: registry_new_rows(rows, table), on_step=on_step)
+    return n, registry_conflicts(rows, before)
 
-    Single writer: plain parquet does not exclude concurrent appenders.
-    """
-    fresh = registry_new_rows(rows, read_registry(spark, path)).persist()
-    n = fresh.count()
-    if n:
-        fresh.write.mode("append").parquet(path)
-    fresh.unpersist()
-    return n
+
+def append_registry(spark: SparkSession, rows: DataFrame, path: str) -> int:
+    """Append-only write of the new registry rows; returns rows appended."""
+    return register_requests(spark, rows, path)[0]
 
 
 def register_external(spark: SparkSession, name: str, path: str, partitioned: bool = False) -> None:
@@ -159,89 +166,168 @@ def anonymize(table: DataFrame, amap: DataFrame, id_columns=ID_COLUMNS) -> DataF
     )
 
 
+# --- crash-safe rewrite ----------------------------------------------------------------
+# Beside a table that is being rewritten lies ``<table>.__erase__`` with
+#   copy          the rewritten rows (all, or those of the partitions with hits)
+#   counts-<id>   cells replaced per account
+#   intent        written in one step when copy and counts are complete and verified
+#   old           the table, once moved aside (tables without partitions)
+#   done-<id>     the counts of finished rewrites, kept until the caller has used them
+# Without an intent nothing has been touched; with one a rerun completes the swap.
+
+
+def _job(path: str) -> str:
+    return f"{path.rstrip('/')}.__erase__"
+
+
+def _staged_rewrite(spark: SparkSession, path: str, requests: DataFrame, amap: DataFrame, pepper, parts: list[str], on_step) -> bool:
+    """Write and verify the rewritten copy and its intent; False where the table holds no requested id."""
+    job, run = _job(path), uuid.uuid4().hex
+    state = fingerprint(spark, path)
+    df = spark.read.parquet(path)
+    cols = [c for c in ID_COLUMNS if c in df.columns]
+    if not cols:
+        return False
+    counts_path = f"{job}/counts-{run}"
+    erased_cells(df, requests, pepper).select("account_id", F.col("cells").alias("_c")).where("_c > 0").write.parquet(counts_path)
+    n_cells = spark.read.schema(_COUNTS).parquet(counts_path).agg(F.sum("_c")).first()[0] or 0
+    if n_cells == 0:
+        delete_path(spark, counts_path)
+        return False
+    scope = df
+    if parts:
+        hit_parts = (
+            df.select(*parts, F.explode(F.array(*[F.col(c) for c in cols])).alias("account_id"))
+            .join(amap.select("account_id"), "account_id", "left_semi")
+            .select(*parts)
+            .distinct()
+        )
+        # null-safe: rows may lack a partition value
+        on = [df[c].eqNullSafe(F.col(f"_hit_{c}")) for c in parts]
+        scope = df.join(hit_parts.select(*[F.col(c).alias(f"_hit_{c}") for c in parts]), on, "left_semi")
+    expected = scope.count()
+    anonymize(scope, amap).write.mode("overwrite").parquet(f"{job}/copy")
+    staged = spark.read.schema(df.schema).parquet(f"{job}/copy")
+    if staged.count() != expected:
+        raise RuntimeError(f"staging row count mismatch for {path}; table left unchanged")
+    if erased_cells(staged, requests, pepper).agg(F.sum("cells")).first()[0] or erased_cells(scope, requests, pepper).agg(F.sum("cells")).first()[0] != n_cells:
+        raise RuntimeError(f"the staged copy for {path} does not replace every requested id; table left unchanged")
+    if fingerprint(spark, path) != state:
+        raise RuntimeError(f"{path} was written to during its rewrite; table left unchanged")
+    intent = {"run": run, "parts": parts, "state": state, "schema": df.schema.json()}
+    if not create_if_absent(spark, f"{job}/intent", json.dumps(intent)):
+        raise RuntimeError(f"another rewrite of {path} is under way")
+    on_step("staged")
+    return True
+
+
+def _complete_rewrite(spark: SparkSession, path: str, on_step=lambda step: None) -> None:
+    """Carry out an intent from wherever it stopped."""
+    job = _job(path)
+    intent = json.loads(read_text(spark, f"{job}/intent"))
+    copy, old = f"{job}/copy", f"{job}/old"
+    if intent["parts"]:
+        # Spark swaps the partitions in at job commit; doing it again gives the same table
+        schema = StructType.fromJson(json.loads(intent["schema"]))
+        staged = spark.read.schema(schema).parquet(copy)
+        staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*intent["parts"]).parquet(path)
+        on_step("moved in")
+    else:
+        if path_exists(spark, copy):
+            if not path_exists(spark, old):
+                if not rename_path(spark, path, old):
+                    raise RuntimeError(f"could not move {path} aside; table left unchanged")
+                on_step("moved aside")
+            if path_exists(spark, path):
+                raise RuntimeError(f"{path} was written anew while its rewrite was under way: {old} and {copy} are left for inspection")
+            if not rename_path(spark, copy, path):
+                raise RuntimeError(f"could not move the rewritten copy into {path}; run again to complete it")
+        on_step("moved in")
+    run = intent["run"]
+    if path_exists(spark, f"{job}/counts-{run}") and not rename_path(spark, f"{job}/counts-{run}", f"{job}/done-{run}"):
+        raise RuntimeError(f"could not keep the counts of {path}")
+    delete_path(spark, f"{job}/intent")
+    delete_path(spark, copy)
+    delete_path(spark, old)
+    on_step("done")
+
+
+def recover_table(spark: SparkSession, path: str) -> str:
+    """Bring a table whose rewrite was interrupted back to one whole state.
+
+    Returns "clean" (nothing to do), "dropped" (an unfinished copy was deleted, the table
+    is as it was) or "completed" (the rewritten table is in place). Call it with no other
+    rewrite of the table running.
+    """
+    job = _job(path)
+    names = list_names(spark, job)
+    if "intent" in names:
+        intent = json.loads(read_text(spark, f"{job}/intent"))
+        untouched = "old" not in names and not intent["parts"] and path_exists(spark, path) and "copy" in names
+        if not untouched or fingerprint(spark, path) == intent["state"]:
+            _complete_rewrite(spark, path)
+            return "completed"
+        delete_path(spark, f"{job}/intent")  # the table has grown since: rewrite it anew
+    left = [n for n in list_names(spark, job) if not n.startswith("done-")]
+    for n in left:
+        delete_path(spark, f"{job}/{n}")
+    return "dropped" if left else "clean"
+
+
+def forget_rewrites(spark: SparkSession, table_paths: list[str]) -> None:
+    """Drop the kept counts of finished rewrites."""
+    for path in table_paths:
+        delete_path(spark, _job(path))
+
+
 def erase_tables(
     spark: SparkSession,
     table_paths: list[str],
     requests: DataFrame,
     pepper: str | None = None,
     partition_cols: dict[str, list[str]] | None = None,
-    staging_root: str | None = None,
+    keep_counts: bool = False,
+    on_step=lambda path, step: None,
 ) -> DataFrame:
     """Rewrite each table with erased ids replaced by their alias.
 
     Returns one row per requested account: ``account_id, account_alias,
     rows_anonymized`` (cells replaced over all tables). Requests with an invalid
     account id change nothing; registry rows may be passed as requests (their
-    alias is used). The staged copy must hold no requested id. Each table is written
-    to a staging folder first (Spark cannot overwrite what it reads), row
-    counts are verified, then the folders are swapped by rename. For
-    partitioned tables only the partitions holding a hit are rewritten
-    (dynamic partition overwrite from the staging copy).
+    alias is used). A listed table that does not exist raises.
+
+    Each table is first written to a copy beside it (Spark cannot overwrite what it
+    reads), which must have as many rows and hold no requested id; an intent then makes
+    the swap certain. A run that dies anywhere is completed by calling again with the
+    same requests: unfinished copies are dropped, intents carried out, and the cells
+    that the dead run has replaced are counted. While the two folders of a table
+    without partitions change places, readers find none at its path for a moment; in a
+    partitioned table only the partitions with a hit are replaced. One rewrite of a
+    table at a time, and no appends to it meanwhile. ``keep_counts`` keeps what a rerun
+    must count until :func:`forget_rewrites`. ``on_step(path, step)`` is called behind
+    "staged", "moved aside", "moved in" and "done".
     """
     partition_cols = partition_cols or {}
     amap = _alias_map(requests, pepper)
-    totals = None
+    checkpoint_root(spark)
+    amap = amap.checkpoint(eager=True)  # the requests may be read from a table that is rewritten
+    done = []
     for path in table_paths:
+        recover_table(spark, path)
         if not path_exists(spark, path):
-            continue
-        df = spark.read.parquet(path)
-        cols = [c for c in ID_COLUMNS if c in df.columns]
-        if not cols:
-            continue
-        # the counts must survive the rewrite of their source: cut the lineage
-        # with a reliable checkpoint in the shared checkpoint folder
-        checkpoint_root(spark)
-        counts = erased_cells(df, requests, pepper).select("account_id", F.col("cells").alias("_c")).checkpoint(eager=True)
-        n_cells = counts.agg(F.sum("_c")).first()[0] or 0
-        totals = counts if totals is None else totals.unionByName(counts)
-        if n_cells == 0:
-            continue
-        parts = partition_cols.get(path, [])
-        staging = f"{(staging_root or path.rstrip('/') + '.__staging__')}/{uuid.uuid4().hex}"
-        if staging_root:
-            guard_output(staging, (path,))
-        if parts:
-            hit_ids = amap.select("account_id")
-            hit_parts = (
-                df.select(*parts, F.explode(F.array(*[F.col(c) for c in cols])).alias("account_id"))
-                .join(hit_ids, "account_id", "left_semi")
-                .select(*parts)
-                .distinct()
-            )
-            # null-safe: rows may lack a partition value
-            scope = df.join(hit_parts.select(*[F.col(c).alias(f"_hit_{c}") for c in parts]), [df[c].eqNullSafe(F.col(f"_hit_{c}")) for c in parts], "left_semi")
-        else:
-            scope = df
-        rewritten = anonymize(scope, amap)
-        expected = scope.count()
-        rewritten.write.mode("overwrite").parquet(staging)
-        staged = spark.read.parquet(staging)
-        if staged.count() != expected:
-            raise RuntimeError(f"staging row count mismatch for {path}; table left unchanged")
-        if erased_cells(staged, requests, pepper).agg(F.sum("cells")).first()[0] or erased_cells(scope, requests, pepper).agg(F.sum("cells")).first()[0] != n_cells:
-            raise RuntimeError(f"the staged copy for {path} does not replace every requested id; table left unchanged")
-        if parts:
-            # Spark stages the new partitions and swaps them in at job commit
-            staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path)
-            delete_path(spark, staging)
-        else:
-            # swap folders: at every moment one complete version exists (the old
-            # table under ``.__old__`` or the verified copy in staging)
-            old = f"{path.rstrip('/')}.__old__{uuid.uuid4().hex}"
-            if not rename_path(spark, path, old):
-                raise RuntimeError(f"could not move {path} aside; table left unchanged")
-            if not rename_path(spark, staging, path):
-                rename_path(spark, old, path)
-                raise RuntimeError(f"could not move the rewritten copy into {path}; old table restored")
-            delete_path(spark, old)
-        if not staging_root:
-            delete_path(spark, path.rstrip("/") + ".__staging__")
-    if totals is None:
-        return amap.select("account_id", "account_alias", F.lit(0).cast("long").alias("rows_anonymized"))
-    summed = totals.groupBy("account_id").agg(F.sum("_c").alias("rows_anonymized"))
-    return amap.join(summed, "account_id", "left").select(
-        "account_id", "account_alias", F.coalesce(F.col("rows_anonymized"), F.lit(0)).cast("long").alias("rows_anonymized")
-    )
+            raise FileNotFoundError(f"table {path} does not exist")
+        step = partial(on_step, path)
+        if _staged_rewrite(spark, path, amap, amap, pepper, partition_cols.get(path, []), step):
+            _complete_rewrite(spark, path, step)
+        done += [f"{_job(path)}/{n}" for n in list_names(spark, _job(path)) if n.startswith("done-")]
+    out = amap.select("account_id", "account_alias", F.lit(0).cast("long").alias("rows_anonymized"))
+    if done:
+        summed = spark.read.schema(_COUNTS).parquet(*done).groupBy("account_id").agg(F.sum("_c").alias("_n"))
+        out = amap.join(summed, "account_id", "left").select("account_id", "account_alias", F.coalesce("_n", F.lit(0)).cast("long").alias("rows_anonymized"))
+    if not keep_counts:
+        out = out.checkpoint(eager=True)  # its source is dropped here
+        forget_rewrites(spark, table_paths)
+    return out
 
 
 def erasure_results(
@@ -287,35 +373,44 @@ def submit_erasure(
     audit_path: str,
     publish,
     partition_cols: dict[str, list[str]] | None = None,
+    on_step=lambda path, step: None,
 ) -> DataFrame:
     """The cascade: registry, purge messages, table rewrite, audit.
 
     ``publish(messages)`` sends the control-topic frame; if it raises, the cascade
     goes on and the results say ``streaming_purge_published = false``, so the same
     requests can be submitted again (each step is idempotent). Invalid requests and
-    request ids that name another account are reported as ``rejected``.
+    requests whose id names another account, in the batch or in the stored registry, are
+    ``rejected``: the registry decides before anything is published or rewritten. A
+    cascade that dies is completed by submitting again; cells replaced by the dead run
+    are counted in the audit.
     """
-    staged = requests.withColumn("requested_ts", F.coalesce(F.col("requested_ts"), F.current_timestamp())) if "requested_ts" in requests.columns else requests.withColumn("requested_ts", F.current_timestamp())
+    ts = F.coalesce(F.col("requested_ts"), F.current_timestamp()) if "requested_ts" in requests.columns else F.current_timestamp()
+    staged = requests.withColumn("requested_ts", ts).withColumn("_iso", iso_utc("requested_ts"))
+    staged = staged.withColumn("request_id", F.coalesce("request_id", default_request_id("account_id", "_iso"))).drop("_iso")
     checkpoint_root(spark)
     staged = staged.checkpoint(eager=True)
     rows, _ = build_registry(staged, pepper)
-    append_registry(spark, rows, registry_path)
-    clash = registry_conflicts(rows).select("account_id", "request_id").withColumn("_clash", F.lit(True))
-    good = staged.join(clash, ["account_id", "request_id"], "left_anti")
+    _, clash = register_requests(spark, rows, registry_path)
+    clash = clash.select("account_id", "request_id").checkpoint(eager=True)
     try:
-        publish(purge_messages(good))
+        publish(purge_messages(staged.join(clash, ["account_id", "request_id"], "left_anti")))
         published = True
     except Exception as e:  # the other steps must still run; the result tells
         published = False
         logging.getLogger("fraudlake").warning("purge messages not published: %s", e)
     aliases = rows.join(clash, ["account_id", "request_id"], "left_anti").select("account_id", "account_alias")
-    done = erase_tables(spark, table_paths, aliases, None, partition_cols)
+    done = erase_tables(spark, table_paths, aliases, None, partition_cols, keep_counts=True, on_step=on_step)
     cells = done.select("account_id", "account_alias", F.col("rows_anonymized").alias("cells"))
-    results = erasure_results(staged, cells, published)
-    marked = results.join(clash.select("request_id", "_clash").distinct(), "request_id", "left")
-    results = marked.withColumn("status", F.when(F.col("_clash") & F.col("account_alias").isNull(), "rejected").otherwise(F.col("status"))).drop("_clash")
-    results = results.checkpoint(eager=True)
+    marked = staged.join(clash.withColumn("_clash", F.lit(True)), ["account_id", "request_id"], "left")
+    # an account may have a good request and a rejected one: the request decides
+    good = erasure_results(marked.where("_clash IS NULL").drop("_clash"), cells, published)
+    bad = erasure_results(marked.where("_clash").drop("_clash"), cells, published).withColumns(
+        {"status": F.lit("rejected"), "account_alias": F.lit(None).cast("string"), "streaming_purge_published": F.lit(False), "rows_anonymized": F.lit(0).cast("long")}
+    )
+    results = good.unionByName(bad).checkpoint(eager=True)
     append_audit(audit_rows(results), audit_path)
+    forget_rewrites(spark, table_paths)
     return results
 
 
@@ -327,7 +422,12 @@ def audit_rows(results: DataFrame) -> DataFrame:
 
 
 def append_audit(rows: DataFrame, path: str) -> None:
-    rows.write.mode("append").parquet(path)
+    """Append the rows of one execution; several writers may append at once."""
+    append_log.append(rows.sparkSession, path, AUDIT, lambda table: rows)
+
+
+def read_audit(spark: SparkSession, path: str) -> DataFrame | None:
+    return append_log.read(spark, path, AUDIT)
 
 
 def duplicate_audit(df: DataFrame, keys: list[str]) -> DataFrame:

@@ -12,16 +12,17 @@ def gold(silver_df: DataFrame) -> DataFrame:
     return silver_df.select(*GOLD_COLUMNS)
 
 
-def write_gold(gold_df: DataFrame, path: str, sources: tuple[str, ...] = (), mode: str = "overwrite") -> None:
+def write_gold(gold_df: DataFrame, path: str, sources: tuple[str, ...] = (), mode: str = "overwrite", keep_other_types: bool = False) -> None:
     """Rebuild the mart partitioned by ``type``.
 
-    Dynamic partition overwrite replaces only the ``type`` partitions present in
-    the new data (incremental rebuild keeps the others).
+    The whole mart is replaced: a type that is gone from the new data is gone from the
+    mart. With ``keep_other_types`` only the partitions present in the new data are
+    replaced (a rebuild of some types).
     """
     guard_output(path, sources)
     (
         gold_df.write.mode(mode)
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "dynamic" if keep_other_types else "static")
         .partitionBy("type")
         .parquet(path)
     )

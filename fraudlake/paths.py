@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
+import os
+import uuid
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
+
 
 def _norm(p: str) -> str:
     return p.rstrip("/") + "/"
@@ -108,3 +113,73 @@ def rename_path(spark, src: str, dst: str) -> bool:
 def delete_path(spark, path: str) -> None:
     fs, jpath = _fs(spark, path)
     fs.delete(jpath, True)
+
+
+def list_names(spark, path: str) -> list[str]:
+    """Names in a folder (none where it does not exist)."""
+    fs, jpath = _fs(spark, path)
+    try:
+        return sorted(s.getPath().getName() for s in fs.listStatus(jpath))
+    except Py4JJavaError as e:
+        if "FileNotFoundException" in str(e.java_exception.getClass().getName()):
+            return []
+        raise
+
+
+def read_text(spark, path: str) -> str:
+    """A small file (a log entry) as text."""
+    fs, jpath = _fs(spark, path)
+    stream = fs.open(jpath)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def create_if_absent(spark, path: str, text: str) -> bool:
+    """Write a small file in one step; False when there is one of that name already.
+
+    The text goes to a hidden file first. On a local file system a hard link gives it
+    its name (which fails where the name is taken); elsewhere a rename without overwrite,
+    which HDFS does in one step. Stores without such a rename need one writer at a time.
+    """
+    folder, name = path.rsplit("/", 1)
+    hidden = f"{folder}/._{name}_{uuid.uuid4().hex}"
+    fs, jhidden = _fs(spark, hidden)
+    fs.mkdirs(_fs(spark, folder)[1])
+    stream = fs.create(jhidden, False)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    real = fs.resolvePath(jhidden).toUri()
+    try:
+        if real.getScheme() == "file":
+            local = real.getPath()
+            try:
+                os.link(local, os.path.join(os.path.dirname(local), name))
+            except FileExistsError:
+                return False
+            return True
+        jvm, target = spark._jvm, _fs(spark, path)[1]
+        if fs.exists(target):
+            return False
+        rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration())
+        try:
+            context.rename(jhidden, target, spark.sparkContext._gateway.new_array(rename, 0))
+        except Py4JJavaError as e:
+            if "FileAlreadyExistsException" in str(e.java_exception.getClass().getName()):
+                return False
+            raise
+        return True
+    finally:
+        fs.delete(jhidden, False)
+
+
+def fingerprint(spark, path: str) -> str:
+    """A hash of the names, sizes and times of a folder's files: it changes when the folder is written to."""
+    fs, jpath = _fs(spark, path)
+    files, found = fs.listFiles(jpath, True), []
+    while files.hasNext():
+        f = files.next()
+        found.append(f"{f.getPath()} {f.getLen()} {f.getModificationTime()}")
+    return hashlib.sha256("\n".join(sorted(found)).encode()).hexdigest()

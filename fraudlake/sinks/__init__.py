@@ -1,25 +1 @@
-"""Every writer of the library in one place.
-
-Each writer refuses a target that overlaps one of its sources (layer
-isolation) where sources are given; streaming sinks keep their own
-checkpoint folder.
-"""
-
-from fraudlake.operators.erasure import append_audit, append_registry, erase_tables, register_external
-from fraudlake.operators.gold import write_gold
-from fraudlake.operators.model import save_model
-from fraudlake.operators.split import write_splits
-from fraudlake.streaming.bronze import start_bronze
-from fraudlake.streaming.scoring import start_alert_sink
-
-__all__ = [
-    "append_audit",
-    "append_registry",
-    "erase_tables",
-    "register_external",
-    "save_model",
-    "start_alert_sink",
-    "start_bronze",
-    "write_gold",
-    "write_splits",
-]
+"""Writers that must stay whole when several of them, or a crash, meet one table."""
