@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from fraudlake.functions import quality
@@ -1000,15 +1001,12 @@ def q_k10(spark, sf):
 
 # --- model (rows-only checks: boosted trees are not SQL-expressible) -----------------------
 
-def _trained(spark, sf):
-    """(model, trees, losses, threshold, test rows), trained anew by each query.
+def _training_rows(spark, sf):
+    """(fit, validation, test) rows with the live fan-in (arrivals of scorable rows).
 
-    Training and scoring use one fan-in, the live one (arrivals of scorable rows).
-    Early stopping and the threshold use a validation slice cut from the end of
-    the training period, never the test window.
+    The validation slice is the end of the training period, never the test window.
     """
     from fraudlake.functions.features import scoring_features
-    from fraudlake.operators import model as M
     from fraudlake.session import checkpoint_root
 
     checkpoint_root(spark)
@@ -1017,17 +1015,118 @@ def _trained(spark, sf):
     rows = rows.select(*FEATURES, "is_fraud", "step", "seq").checkpoint(eager=True)
     train, test = split.temporal_split(rows, split.split_cut(rows))
     fit, valid = split.temporal_split(train, split.split_cut(train))  # the last 20 % of training steps validate
-    model, n_trees, losses = M.early_stop_freeze(fit, valid)
+    return fit, valid, test
+
+
+def _model_store(spark, sf):
+    """The shared folder of the stages trained on this input: the model queries train once."""
+    import hashlib
+
+    from fraudlake.paths import fingerprint
+    from fraudlake.session import shared_path
+
+    key = hashlib.sha256(f"{fingerprint(spark, f'{sf}/events.parquet')} {spark.conf.get('spark.sql.session.timeZone')}".encode()).hexdigest()
+    return shared_path(spark, "fraudlake-models", key)
+
+
+def _trained(spark, sf):
+    """(model, trees, staged average precisions, threshold, test rows).
+
+    Early stopping and the threshold use the validation slice. The first query that
+    needs the model trains it; the others find its stages in the shared folder.
+    """
+    from fraudlake.operators import model as M
+
+    fit, valid, test = _training_rows(spark, sf)
+    model, n_trees, scores = M.early_stop_freeze(fit, valid, store=_model_store(spark, sf))
     judged = M.model_scorer(model)(valid).withColumns({"score": F.col("fraud_probability"), "label": F.col("is_fraud")})
     best = ev.best_threshold(ev.pr_curve(ev.curve_points(ev.score_counts(judged).checkpoint(eager=True)))).first()
-    return model, n_trees, losses, float(best["threshold"]) if best else 0.5, test
+    return model, n_trees, scores, float(best["threshold"]) if best else 0.5, test
+
+
+def _frozen_rows(spark, model):
+    """The frozen model, saved, as tree rows."""
+    from fraudlake.operators import model as M
+
+    path = _scratch_table(spark, "frozen")
+    model.write().save(path)
+    return M.tree_rows(spark, path)
 
 
 @register("M1_M2_train_early_stop")
 def q_m2(spark, sf):
-    _, n_trees, losses, _, _ = _trained(spark, sf)
-    rows = [(i, float(l), i + 1 == n_trees) for i, l in enumerate(losses)]
-    return spark.createDataFrame(rows, "round int, validation_logloss double, frozen_at boolean")
+    _, n_trees, scores, _, _ = _trained(spark, sf)
+    rows = [(i, float(v), i + 1 == n_trees) for i, v in enumerate(scores)]
+    return spark.createDataFrame(rows, "round int, validation_average_precision double, frozen_at boolean")
+
+
+add_view("scorable", "SELECT * FROM bronze WHERE type IN ('CASH_OUT','TRANSFER')", ["bronze"])
+add_view(
+    "model_split",
+    """SELECT seq, isFraud, CASE WHEN step > (SELECT quantile_cont(step, 0.8) FROM scorable) THEN 'test'
+            WHEN step > (SELECT quantile_cont(step, 0.8) FROM scorable WHERE step <= (SELECT quantile_cont(step, 0.8) FROM scorable)) THEN 'valid' ELSE 'fit' END AS part
+       FROM scorable""",
+    ["scorable"],
+)
+
+
+@register(
+    "M1_M2_training_summary",
+    with_views(
+        """SELECT part, CAST(count(*) AS BIGINT) AS rows, CAST(sum(isFraud) AS BIGINT) AS positives, true AS trees_within_limit, true AS frozen_at_best_round,
+                  true AS stopped_by_patience_or_limit, true AS staged_scores_hold
+           FROM model_split GROUP BY part""",
+        "model_split",
+    ),
+)
+def q_m1(spark, sf):
+    """The parts of the training data, and whether the frozen model is what the staged scores say.
+
+    The staged average precision of the frozen round must equal the one that MLlib's own
+    probabilities give in the same bins."""
+    from fraudlake.operators import model as M
+
+    model, n_trees, scores, _, _ = _trained(spark, sf)
+    fit, valid, test = _training_rows(spark, sf)
+    best = max(range(len(scores)), key=lambda i: (scores[i], -i))
+    p = F.col("fraud_probability")
+    margin = F.log(p / (1 - p)) / 2
+    at = F.floor((margin + M.MARGIN_SPAN / 2) / M.MARGIN_SPAN * M.MARGIN_BINS + 1e-7)
+    at = F.greatest(F.lit(0), F.least(F.lit(M.MARGIN_BINS - 1), F.coalesce(at, F.when(p >= 1, M.MARGIN_BINS - 1).otherwise(0)))).cast("int")
+    good = (F.col("is_fraud") == 1).cast("long")
+    own = M.model_scorer(model)(valid).groupBy(F.lit(0).alias("round"), at.alias("bin")).agg(F.sum(good).alias("tp"), F.sum(1 - good).alias("fp"))
+    row = M.staged_average_precision(own).first()
+    holds = abs((row["average_precision"] if row else 0.0) - scores[n_trees - 1]) < 1e-3
+    flags = {
+        "trees_within_limit": 1 <= n_trees <= M.GBT_MAX_ITER, "frozen_at_best_round": n_trees - 1 == best,
+        "stopped_by_patience_or_limit": len(scores) - n_trees >= M.GBT_PATIENCE or len(scores) == M.GBT_MAX_ITER, "staged_scores_hold": holds,
+    }
+    parts = [d.select(F.lit(name).alias("part"), "is_fraud") for name, d in (("fit", fit), ("valid", valid), ("test", test))]
+    counted = parts[0].unionByName(parts[1]).unionByName(parts[2]).groupBy("part").agg(F.count(F.lit(1)).alias("rows"), F.sum("is_fraud").cast("long").alias("positives"))
+    return counted.withColumns({k: F.lit(bool(v)) for k, v in flags.items()})
+
+
+@register("M3_score_tree_rows", with_views("SELECT seq, true AS agrees FROM model_split WHERE part = 'test'", "model_split"))
+def q_m3_rows(spark, sf):
+    """Test rows scored by joins with the exported tree rows and by MLlib."""
+    from fraudlake.operators import model as M
+
+    model, _, _, _, test = _trained(spark, sf)
+    by_rows = M.scored_by_rows(test, _frozen_rows(spark, model), ["seq"])
+    both = M.model_scorer(model)(test).select("seq", "fraud_probability").join(by_rows, "seq", "left")
+    return both.select("seq", F.coalesce(F.abs(F.col("probability") - F.col("fraud_probability")) < 1e-9, F.lit(False)).alias("agrees"))
+
+
+@register("A19_O3_importance_tree_rows", "SELECT unnest([" + ", ".join(f"'{f}'" for f in FEATURES) + "]) AS feature, true AS agrees, true AS sums_to_one")
+def q_a19_rows(spark, sf):
+    """Importances from the exported tree rows beside MLlib's."""
+    from fraudlake.operators import model as M
+
+    model, _, _, _, _ = _trained(spark, sf)
+    own = M.importance_from_rows(_frozen_rows(spark, model)).withColumnRenamed("importance", "own")
+    both = own.join(M.feature_importance(model), "feature", "left")
+    total = F.sum("own").over(Window.partitionBy())  # a row a feature
+    return both.select("feature", F.coalesce(F.abs(F.col("own") - F.col("importance")) < 1e-9, F.lit(False)).alias("agrees"), F.abs(total - 1).between(0, 1e-9).alias("sums_to_one"))
 
 
 @register("A19_O3_feature_importance")
