@@ -60,6 +60,18 @@ def rules_frame(spark: SparkSession, rules=ALARM_RULES) -> DataFrame:
     )
 
 
+def breaches(rolled: DataFrame, rules, on=("metric",)) -> DataFrame:
+    """The rolled windows that a rule names, with its threshold and whether it is passed."""
+    r = F.broadcast(rules_frame(rolled.sparkSession, rules))  # a row a rule
+    breach = (
+        F.when(F.col("comparison") == ">", F.col("total") > F.col("threshold"))
+        .when(F.col("comparison") == "<", F.col("total") < F.col("threshold"))
+        .when(F.col("comparison") == ">=", F.col("total") >= F.col("threshold"))
+        .otherwise(F.col("total") <= F.col("threshold"))
+    )
+    return rolled.join(r, list(on), "inner").select("metric", "window_start", "window_end", "total", "threshold", breach.alias("alarm"))
+
+
 def threshold_alarm(spark: SparkSession, points: DataFrame, rules=ALARM_RULES) -> DataFrame:
     """Workload alarms: Sum over the rule's period compared with its threshold.
 
@@ -73,15 +85,7 @@ def threshold_alarm(spark: SparkSession, points: DataFrame, rules=ALARM_RULES) -
     rolled = frames[0]
     for f in frames[1:]:
         rolled = rolled.unionByName(f)
-    r = F.broadcast(rules_frame(spark, single))
-    j = rolled.join(r, ["metric", "period_s"], "inner")
-    breach = (
-        F.when(F.col("comparison") == ">", F.col("total") > F.col("threshold"))
-        .when(F.col("comparison") == "<", F.col("total") < F.col("threshold"))
-        .when(F.col("comparison") == ">=", F.col("total") >= F.col("threshold"))
-        .otherwise(F.col("total") <= F.col("threshold"))
-    )
-    return j.select("metric", "window_start", "window_end", "total", "threshold", breach.alias("alarm"))
+    return breaches(rolled, single, ("metric", "period_s"))
 
 
 def consecutive_breach(df: DataFrame, partition_cols, order_col: str, breach_col: str, n: int, out: str = "alarm") -> DataFrame:

@@ -1060,7 +1060,6 @@ def q_m2(spark, sf):
     return spark.createDataFrame(rows, "round int, validation_average_precision double, frozen_at boolean")
 
 
-add_view("scorable", "SELECT * FROM bronze WHERE type IN ('CASH_OUT','TRANSFER')", ["bronze"])
 add_view(
     "model_split",
     """SELECT seq, isFraud, CASE WHEN step > (SELECT quantile_cont(step, 0.8) FROM scorable) THEN 'test'

@@ -18,26 +18,20 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fraudlake.operators.fanin import fan_in_any_order
-from fraudlake.paths import list_names, path_exists
 from fraudlake.schemas import FAN_IN_WINDOW_STEPS
+from fraudlake.streaming.batch_tables import complete_batches, read_batches, write_batch
 
 CHANGES = "key string, step int, n long, fresh boolean"
 
 
-def _numbers(spark: SparkSession, folder: str) -> list[int]:
-    """Batches whose folder is complete."""
-    names = [n.split("=", 1)[1] for n in list_names(spark, folder) if n.startswith("batch=")]
-    return sorted(int(n) for n in names if path_exists(spark, f"{folder}/batch={n}/_SUCCESS"))
-
-
 def state_before(spark: SparkSession, root: str, batch_id: int, span: int) -> DataFrame | None:
     """(key, step, n): the live counts that the batches before ``batch_id`` left, or None.
 
     A batch in which a key was purged makes the counts of earlier batches void."""
-    merged = [b for b in _numbers(spark, f"{root}/merged") if b < batch_id]
+    merged = [b for b in complete_batches(spark, f"{root}/merged") if b < batch_id]
     since = merged[-1] if merged else -1
     parts = [f"{root}/merged/batch={since}"] if merged else []
-    parts += [f"{root}/changes/batch={b}" for b in _numbers(spark, f"{root}/changes") if since < b < batch_id]
+    parts += [f"{root}/changes/batch={b}" for b in complete_batches(spark, f"{root}/changes") if since < b < batch_id]
     if not parts:
         return None
     number = F.regexp_extract(F.input_file_name(), r"/batch=(\d+)/", 1).cast("long")
@@ -52,24 +46,23 @@ def state_before(spark: SparkSession, root: str, batch_id: int, span: int) -> Da
 def apply_batch(batch: DataFrame, batch_id: int, root: str, window: int = FAN_IN_WINDOW_STEPS, lateness: int = 0, chunk_rows: int | None = None, merge_every: int = 20) -> None:
     """One micro-batch of control rows (key, seq, kind, step, ...)."""
     spark, span = batch.sparkSession, window + lateness
-    staged = f"{root}/control/batch={batch_id}"
-    batch.write.mode("overwrite").parquet(staged)  # read more than once below
-    rows = spark.read.schema(batch.schema).parquet(staged)
+    write_batch(batch, f"{root}/control", batch_id)  # read more than once below
+    rows = read_batches(spark, f"{root}/control", batch.schema, only=batch_id)
     before = state_before(spark, root, batch_id, span)
     if before is not None:  # keys that the batch does not hold keep their state
         met = rows.select(F.col("key").alias("_met")).distinct()
         before = before.join(met, F.col("key").eqNullSafe(F.col("_met")), "left_semi")
     result, after = fan_in_any_order(rows, window, lateness, chunk_rows, before)
-    result.write.mode("overwrite").parquet(f"{root}/results/batch={batch_id}")
+    write_batch(result, f"{root}/results", batch_id)
     if before is not None:
         # only what the batch adds: a key without a purge keeps the counts of earlier batches
         old = before.select(F.col("key").alias("_k"), F.col("step").alias("_s"), F.col("n").alias("_old"))
         same = F.col("key").eqNullSafe(F.col("_k")) & (F.col("step") == F.col("_s")) & ~F.col("fresh")
         after = after.join(old, same, "left").select("key", "step", (F.col("n") - F.coalesce("_old", F.lit(0))).alias("n"), "fresh").where(F.col("fresh") | (F.col("n") > 0))
-    after.write.mode("overwrite").parquet(f"{root}/changes/batch={batch_id}")
+    write_batch(after, f"{root}/changes", batch_id)
     if batch_id % merge_every == merge_every - 1:
         whole = state_before(spark, root, batch_id + 1, span)
-        whole.withColumn("fresh", F.lit(False)).write.mode("overwrite").parquet(f"{root}/merged/batch={batch_id}")
+        write_batch(whole.withColumn("fresh", F.lit(False)), f"{root}/merged", batch_id)
 
 
 def start_fan_in(control: DataFrame, root: str, checkpoint: str, trigger: str = "30 seconds", **options):
@@ -79,4 +72,5 @@ def start_fan_in(control: DataFrame, root: str, checkpoint: str, trigger: str =
 
 
 def results(spark: SparkSession, root: str, schema) -> DataFrame:
-    return spark.read.schema(schema).parquet(*[f"{root}/results/batch={b}" for b in _numbers(spark, f"{root}/results")])
+    found = read_batches(spark, f"{root}/results", schema)
+    return spark.createDataFrame([], schema) if found is None else found
