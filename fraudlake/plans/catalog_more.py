@@ -980,6 +980,24 @@ def q_k5(spark, sf):
     return spark.read.parquet(path).where(F.col("type").isin("CASH_OUT", "TRANSFER"))
 
 
+@register("K5_refresh_gold", with_views("SELECT * FROM gold", "gold"))
+def q_k5_refresh(spark, sf):
+    """A mart built before some rows came and while others were there, brought up to date
+    from the changed steps and their halo; equal to a mart built from all rows."""
+    from fraudlake.operators.gold import refresh_gold, write_gold
+
+    bronze_path, path = _scratch_table(spark, "bronze"), _scratch_table(spark, "gold-by-step")
+    P.bronze(spark, sf).sortWithinPartitions("step").write.partitionBy("type").parquet(bronze_path)
+    bronze = spark.read.schema(P.bronze(spark, sf).schema).parquet(bronze_path)
+    late = F.col("step").between(100, 103) & (F.col("seq") % 3 == 0) | (F.col("step") == 300)
+    stale = bronze.where(F.col("step").between(500, 501)).withColumn("amount", F.col("amount") + 1)
+    write_gold(P.gold_of(bronze.where(~F.coalesce(late, F.lit(False))).unionByName(stale), P.registry(spark, sf)), path, by_step=True)
+    changed = bronze.where(late).select("step").unionByName(stale.select("step"))
+    refresh_gold(bronze, P.registry(spark, sf), changed, path, sources=(bronze_path,), keep=("seq",))
+    schema = P.gold(spark, sf).schema
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
+
+
 @register(
     "K10_write_splits",
     with_views(

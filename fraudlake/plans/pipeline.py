@@ -50,6 +50,11 @@ def gold(spark: SparkSession, sf_dir: str, scale_form: bool = True) -> DataFrame
     return silver(spark, sf_dir, scale_form).select(*GOLD_COLUMNS, "seq")
 
 
+def gold_of(bronze_rows: DataFrame, registry_rows: DataFrame) -> DataFrame:
+    """Gold (+ seq) of any Bronze rows."""
+    return silver_layer(bronze_rows, registry_rows, keep=("seq",)).select(*GOLD_COLUMNS, "seq")
+
+
 def gold_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold_projection(silver(spark, sf_dir))
 
