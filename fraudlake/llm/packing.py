@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fraudlake.llm.common import saved, shuffle_width, text_slices
-from fraudlake.llm.pieces import library_bytes
+from fraudlake.llm.pieces import kept_in_worker, library_bytes
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 SWEPT = "uid long, size int, sequence_id long, room int, slot int, part int, idx long"
@@ -42,24 +42,28 @@ def cut_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, with
     """
 
     def task(batches):
-        encoder = None
+        encoder = kept_in_worker(f"bytes {tokenizer}", lambda: library_bytes(tokenizer))
         tail = int(end_id).to_bytes(4, "little")
         for batch in batches:
-            encoder = encoder or library_bytes(tokenizer)
             for part in text_slices(batch):
-                rows = []
-                for doc_id, ids in zip(part.column("doc_id").to_pylist(), encoder.encode(part.column("text").to_pylist()), strict=True):
-                    ids += tail
-                    n = len(ids) // 4
-                    first = (n - 1) % capacity + 1
-                    cuts = [0, *range(first, n + 1, capacity)]
-                    for k, (lo, hi) in enumerate(zip(cuts, cuts[1:], strict=False)):
-                        one = ids[4 * lo : 4 * hi]
-                        rows.append((doc_id, k, lo, hi - lo, zlib.crc32(one), *([np.frombuffer(one, "<i4")] * with_ids)))
-                types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32())]
-                names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"]
-                cols = list(zip(*rows, strict=True))
-                yield pa.record_batch([pa.array(list(c), t) for c, t in zip(cols, types, strict=False)], names=names[: len(cols)])
+                ids = [x + tail for x in encoder.encode(part.column("text").to_pylist())]
+                n = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+                count = -(-n // capacity)
+                doc = np.repeat(np.arange(len(ids)), count)
+                piece = np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count)
+                first = (n - 1) % capacity + 1
+                start = np.where(piece > 0, first[doc] + (piece - 1) * capacity, 0)
+                length = np.where(piece > 0, capacity, first[doc])
+                if len(doc) == len(ids):
+                    cut = ids
+                else:
+                    cut = [ids[d][4 * lo : 4 * (lo + size)] for d, lo, size in zip(doc.tolist(), start.tolist(), length.tolist(), strict=True)]
+                cols = [part.column("doc_id").take(pa.array(doc)), pa.array(piece, pa.int32()), pa.array(start), pa.array(length), pa.array(list(map(zlib.crc32, cut)), pa.int64())]
+                names = ["doc_id", "piece", "start", "length", "ids_crc32"]
+                if with_ids:
+                    cols.append(pa.array([np.frombuffer(x, "<i4") for x in cut], pa.list_(pa.int32())))
+                    names.append("ids")
+                yield pa.record_batch(cols, names=names)
 
     return docs.select("doc_id", "text").mapInArrow(task, PIECES + ", ids array<int>" * with_ids)
 

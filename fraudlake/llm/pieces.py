@@ -41,10 +41,17 @@ class PieceTable:
         self.now.update(zip(new, encode_pieces([lead + p for p in new]), strict=True))
 
 
+def kept_in_worker(name: str, make):
+    """What ``make()`` gives, kept by a Python worker from task to task under ``name``."""
+    place = sys.modules.setdefault("_worker_piece_tables", types.ModuleType("_worker_piece_tables")).__dict__
+    if name not in place:
+        place[name] = make()
+    return place[name]
+
+
 def worker_table(name: str, keep: int) -> PieceTable:
     """A table that a Python worker keeps from task to task."""
-    place = sys.modules.setdefault("_worker_piece_tables", types.ModuleType("_worker_piece_tables"))
-    return place.__dict__.setdefault(f"{name} {keep}", PieceTable(keep))
+    return kept_in_worker(f"{name} {keep}", lambda: PieceTable(keep))
 
 
 class SpacedPieces:
@@ -142,7 +149,12 @@ def library_bytes(path: str) -> SpacedPieces:
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
     code = {c: b for b, c in byte_symbols().items()}
-    ranks = {bytes(code[c] for c in token): i for token, i in spec["model"]["vocab"].items()}
+    vocab = spec["model"]["vocab"]
+    ranks = {bytes(code[c] for c in token): i for token, i in vocab.items()}
+    merges = [m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"]]
+    made = [vocab[a + b] for a, b in merges]
+    if made != sorted(made):
+        raise ValueError(f"the vocabulary of {path} is not in the order of its merges")
     special = {t["content"]: t["id"] for t in spec["added_tokens"]}
     tok = tiktoken.Encoding("vocabulary", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
     mark = re.compile("|".join(map(re.escape, special)) or "(?!)")
