@@ -7,14 +7,17 @@ document's log importance weight is the log ratio of the two models over its
 n-grams; a token that follows itself counts as the one pair "repeat", whatever the
 token. Documents are drawn without replacement in proportion to their weights
 by Gumbel top-k: the ``k`` largest sums of log weight and Gumbel noise stay. The
-noise is a hash of doc_id and a seed, so a repeated run draws the same.
+noise is a hash of doc_id, text, the row's number in the scan and a seed: rows that share
+an id, or have none, draw for themselves, and a repeated run over the same files draws
+the same.
 
 ``k`` is either given as a share of the documents or estimated: the number of
 documents whose weight passes the cut that separates good from bad labelled
 documents best. The k-th largest key is found by counting keys in bins,
 finer in each pass; keys equal to it all stay.
 
-Cases: null and empty texts have no n-grams and weight 0, and never stay; labels
+Cases: null and empty texts have no n-grams and weight 0, and never stay; very long
+texts count whole; rows without doc_id have no label and are drawn like others; labels
 may lack documents and may repeat (the lowest one counts); null labels are left
 out; without both kinds of labels all documents that have n-grams stay; an empty
 table gives no rows; other columns are not read.
@@ -135,25 +138,27 @@ def kth_largest(rows: DataFrame, column: str, k: int, bins: int = 4096) -> float
     return lo
 
 
-def gumbel(seed: int):
-    """Standard Gumbel noise by doc_id."""
-    u = (F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(seed)), 11).cast("double") + 0.5) / float(1 << 53)
+def gumbel(drawn: str):
+    """Standard Gumbel noise from a 64-bit hash."""
+    u = (F.shiftrightunsigned(F.col(drawn), 11).cast("double") + 0.5) / float(1 << 53)
     return -F.log(-F.log(u))
 
 
 def _drawn(docs: DataFrame, columns: list[str], labels: DataFrame, share: float | None, bits: int, seed: int, max_labels: int) -> tuple[DataFrame, list[str]]:
     """``columns`` of the rows with the working columns (label, n_grams, log_weight, gumbel_key, kept), and their names."""
     label, n_grams, weight, key, kept = names = [free_name(docs, c) for c in ("label", "n_grams", "log_weight", "gumbel_key", "kept")]
-    rows = labelled(docs, labels, max_labels, label)
+    drawn = free_name(docs, "drawn")
+    rows = labelled(docs.withColumn(drawn, F.xxhash64("doc_id", "text", F.monotonically_increasing_id(), F.lit(seed))), labels, max_labels, label)
     raw, good = count_models(rows, label, bits)
-    scored = weigh(rows, [*columns, label], log_ratio(raw, good), bits, (n_grams, weight))
-    scored = saved(scored.withColumn(key, F.when(F.col(n_grams) > 0, F.col(weight) + gumbel(seed))), "resample")
+    scored = weigh(rows, [*columns, label, drawn], log_ratio(raw, good), bits, (n_grams, weight))
+    scored = saved(scored.withColumn(key, F.when(F.col(n_grams) > 0, F.col(weight) + gumbel(drawn))).drop(drawn), "resample")
     able = scored.where(F.col(key).isNotNull())
     total = able.count()
     if share is not None:
         k = math.ceil(share * total)
     else:
-        known = able.where(F.col(label).isNotNull()).select(weight, label).toPandas()  # max_labels rows at most
+        one = able.where(F.col(label).isNotNull()).groupBy("doc_id").agg(F.min(weight).alias(weight), F.min(label).alias(label))
+        known = one.select(weight, label).toPandas()  # a row a labelled doc_id: max_labels at most
         cut = best_cut(known[weight].to_numpy(), known[label].to_numpy() == 1)
         k = total if cut is None else able.where(F.col(weight) >= cut).count()
     stays = F.lit(False) if k <= 0 or not total else F.coalesce(F.col(key) >= kth_largest(able, key, min(k, total)), F.lit(False))

@@ -25,6 +25,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -33,7 +34,7 @@ from fraudlake.llm.pieces import library_words
 
 MAGIC = b"TOKFILE1"
 HEAD = len(MAGIC) + 32
-MANIFEST = "shard string, first_id long, n_docs long, n_tokens long, n_bytes long, dictionary string"
+MANIFEST = "part int, shard string, first_id long, n_docs long, n_tokens long, n_bytes long, dictionary string"
 
 
 def _file_system(path: str):
@@ -58,15 +59,17 @@ def _read_file(path: str) -> bytes:
 def train_dictionary(docs: DataFrame, tokenizer: str, path: str, sample_docs: int = 1024, dictionary_bytes: int = 65536, sample_bytes: int = 16384) -> str:
     """Train the shared dictionary and write it below ``path``; returns its sha256.
 
-    The sample is bounded: the ``sample_docs`` documents with the smallest hash of
-    doc_id, the first ``sample_bytes`` of the serialized ids of each. Where the
-    sample is too small to train on, the dictionary is empty.
+    The sample is bounded: of the ``sample_docs`` documents with the smallest hash of
+    doc_id a window of ``sample_bytes`` characters each, at a hashed place of its text
+    (whole texts where they are shorter). Where the sample is too small to train on, the
+    dictionary is empty. Only the ratio depends on the sample, never the ids.
     """
     import zstandard
 
     ids = docs.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs).distinct()
-    texts = docs.select("doc_id", F.substring("text", 1, sample_bytes).alias("text")).join(F.broadcast(ids), "doc_id", "left_semi")
-    rows = texts.limit(2 * sample_docs).collect()
+    place = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.greatest(F.length("text") - sample_bytes + 1, F.lit(1))) + 1
+    texts = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id", "left_semi")
+    rows = texts.select(F.substr("text", place.cast("int"), F.lit(sample_bytes)).alias("text")).limit(2 * sample_docs).collect()
     encoder = library_words(tokenizer)
     samples = [x[:sample_bytes] for x in encoder.encode([r.text for r in rows]) if x]
     try:
@@ -126,7 +129,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int, path: str, shards
         out.write(index + len(index).to_bytes(8, "little") + MAGIC)
         out.close()
         first = next((x for x in doc_ids if x is not None), None) if valid[0] else None
-        row = [shard, first, len(doc_ids), sum(counts), at, digest]
+        row = [TaskContext.get().partitionId(), shard, first, len(doc_ids), sum(counts), at, digest]
         yield pa.record_batch([pa.array([x], t) for x, t in zip(row, _MANIFEST_TYPES, strict=True)], names=_MANIFEST_NAMES)
 
     keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
@@ -137,7 +140,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int, path: str, shards
 
 
 _MANIFEST_NAMES = [x.split()[0] for x in MANIFEST.split(", ")]
-_MANIFEST_TYPES = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string()]
+_MANIFEST_TYPES = [pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string()]
 
 
 def _index(data: memoryview):
@@ -155,9 +158,12 @@ def _index(data: memoryview):
 
 
 def manifest(spark: SparkSession, path: str) -> DataFrame:
-    """Shards in ascending doc_id order, each with ``start``: the ids before it (one row per shard)."""
+    """Shards in ascending doc_id order, each with ``start``: the ids before it (one row per shard).
+
+    The order is that of the range partitions the shards were written from: a doc_id
+    (or null) that fills several shards keeps their order."""
     rows = spark.read.schema(MANIFEST).parquet(f"{path}/manifest")
-    order = Window.orderBy(F.col("first_id").asc_nulls_first(), "n_docs", "shard")
+    order = Window.orderBy("part")
     return rows.withColumn("start", F.sum("n_tokens").over(order.rowsBetween(Window.unboundedPreceding, -1))).fillna(0, ["start"])
 
 

@@ -104,6 +104,18 @@ def test_weights_equal_brute_force(spark):
     assert not got[3].kept and not got[4].kept and got[0].kept
 
 
+def test_rows_that_share_an_id_or_have_none_draw_for_themselves(spark):
+    rows = [(None, "same words here", None, None, None)] * 20 + [(7, "same words here", None, None, None)] * 20 + [(i, f"text {i % 5} of many", None, None, None) for i in range(100, 160)]
+    labels = spark.createDataFrame([(7, 1), (100, 0)], "doc_id long, label int")
+    got = resampling.resample(frame(spark, rows), labels, share=0.2).collect()
+    keys = sorted((r.gumbel_key for r in got), reverse=True)
+    assert len(set(keys)) == 100 and sum(r.kept for r in got) == 20
+    assert all(r.kept == (r.gumbel_key >= keys[19]) for r in got)
+    for doc_id in (None, 7):
+        noise = {round(r.gumbel_key - r.log_weight, 9) for r in got if r.doc_id == doc_id}
+        assert len(noise) == 20 and 0 < sum(r.kept for r in got if r.doc_id == doc_id) < 20
+
+
 def test_kth_largest(spark):
     rng = np.random.default_rng(1)
     values = [*rng.normal(size=300).tolist(), *[1.5] * 100, -1e9, 1e12]

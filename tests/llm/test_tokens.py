@@ -146,3 +146,15 @@ def test_pack_documents(spark, byte_tok):
         assert [i for r in got for i in r.ids] == want and [r.start for r in got] == list(np.cumsum([0, *(r.length for r in got)])[:-1])
     assert len(by_doc[60]) == 2
     assert packing.pack_documents(docs.limit(0), BYTE_BPE).collect() == []
+
+
+def test_shards_of_one_id_keep_their_order(spark, word_tok, workdir):
+    rows = [(5, f"five {i} {'x ' * (i % 50)}", None, None, None) for i in range(900)] + [(None, f"none {i} y", None, None, None) for i in range(500)]
+    rows += [(i, f"other {i}", None, None, None) for i in range(6, 300)] + [(-3, "first of all", None, None, None)]
+    path = token_files.write_tokens(frame(spark, rows), WORD_BPE, 2, f"file://{workdir}/tokens", shards=7)
+    got = token_files.read_tokens(spark, path).orderBy("start").collect()
+    assert token_files.manifest(spark, path).count() > 3
+    keys = [(r.doc_id is not None, r.doc_id or 0) for r in got]
+    assert keys == sorted(keys) and len(got) == len(rows)
+    starts = [r.start for r in got]
+    assert starts == [0, *np.cumsum([r.n_tokens for r in got])[:-1].tolist()]
