@@ -457,7 +457,10 @@ def q_w1(spark, sf):
 
 @register("W1_fan_in_plain", _W1_SQL)
 def q_w1p(spark, sf):
-    return P.silver(spark, sf, scale_form=False).select("seq", "name_dest", "step", "fan_in_dest_count_24h")
+    """The same result with the fan-in counted before masking, on raw destinations."""
+    rows = fanin.fan_in(P.bronze(spark, sf), key="nameDest").select("seq", "fan_in_dest_count_24h")
+    masked = P.silver(spark, sf).select("seq", "name_dest", "step")
+    return masked.join(rows, "seq").select("seq", "name_dest", "step", "fan_in_dest_count_24h")
 
 
 _W2_SQL = with_views("SELECT seq, nameDest, step, fan_in_dest_count_24h FROM fan_arrival", "fan_arrival")
@@ -479,7 +482,7 @@ def q_w2c(spark, sf):
 @register("W2_fan_in_arrival_plain", _W2_SQL)
 def q_w2p(spark, sf):
     s = P.bronze(spark, sf).where(F.col("type").isin("CASH_OUT", "TRANSFER"))
-    return fanin.fan_in_arrival_plain(s).select("seq", "nameDest", "step", "fan_in_dest_count_24h")
+    return fanin.fan_in_arrival(s, chunk_rows=5_000).select("seq", "nameDest", "step", "fan_in_dest_count_24h")
 
 
 @register(
@@ -768,8 +771,9 @@ def q_a9b(spark, sf):
 
 @register("A9_pr_curve_plain", _PR_SQL)
 def q_a9p(spark, sf):
-    _, _, pts, _ = P.evaluation(spark, sf, scale_form=False)
-    return ev.pr_curve(pts).select("threshold", "precision", "recall")
+    """The same curve in 8 buckets."""
+    _, counts, _, _ = P.evaluation(spark, sf)
+    return ev.pr_curve(ev.curve_points(counts, n_buckets=8)).select("threshold", "precision", "recall")
 
 
 @register(
