@@ -37,4 +37,4 @@ def q_silver(spark, sf_dir):
     return P.silver(spark, sf_dir)
 
 
-from fraudlake.plans import catalog_more, catalog_erasure, catalog_monitor, catalog_stream  # noqa: E402,F401  (register the rest)
+from fraudlake.plans import catalog_more, catalog_erasure, catalog_io, catalog_monitor, catalog_stream  # noqa: E402,F401  (register the rest)
