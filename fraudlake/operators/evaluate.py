@@ -116,6 +116,12 @@ def best_threshold(pr: DataFrame) -> DataFrame:
     )
 
 
+def threshold_of(best: DataFrame, default: float = 0.5) -> float:
+    """The threshold of :func:`best_threshold`'s row, or ``default`` where no row was scored."""
+    row = best.first()
+    return default if row is None else row["threshold"]
+
+
 def confusion(scored: DataFrame, threshold: float, score: str = "score", label: str = "label") -> DataFrame:
     """tn, fp, fn, tp at ``score >= threshold``, one pass; no score: predicted negative."""
     pred = F.coalesce(F.col(score) >= F.lit(threshold), F.lit(False))

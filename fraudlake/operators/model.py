@@ -285,7 +285,7 @@ def feature_importance(model: PipelineModel, features=FEATURES) -> DataFrame:
 
 def freeze_metadata_frame(scored: DataFrame, points: DataFrame, best: DataFrame, version: str, features=FEATURES) -> DataFrame:
     """One metadata row: threshold from the best-F1 point, PR-AUC, confusion."""
-    t = best.first()["threshold"]
+    t = ev.threshold_of(best)
     cm = ev.confusion(scored, t)
     ap = ev.average_precision(points).first()["average_precision"]
     return cm.select(

@@ -34,8 +34,9 @@ def step_quantile(df: DataFrame, q: float = SPLIT_QUANTILE, step: str = "step")
 
 
 def split_cut(df: DataFrame, q: float = SPLIT_QUANTILE) -> float:
-    """The cut as a driver scalar (one number)."""
-    return float(step_quantile(df, q).first()[0])
+    """The cut as a driver scalar (one number); 0 where there are no rows to cut."""
+    cut = step_quantile(df, q).first()[0]
+    return 0.0 if cut is None else float(cut)
 
 
 def temporal_split(df: DataFrame, cut: float, step: str = "step") -> tuple[DataFrame, DataFrame]:

@@ -810,7 +810,7 @@ def q_o1(spark, sf):
 @register("A7_confusion_matrix", with_views("SELECT * FROM cm", "cm"))
 def q_a7(spark, sf):
     scored, _, _, best = P.evaluation(spark, sf)
-    return ev.confusion(scored, best.first()["threshold"])
+    return ev.confusion(scored, ev.threshold_of(best))
 
 
 def _report_sql() -> str:
@@ -860,7 +860,7 @@ add_view("matrix", _matrix_sql(), ["score_counts", "best"])
 @register("A13_threshold_matrix", with_views("SELECT * FROM matrix", "matrix"))
 def q_a13(spark, sf):
     _, counts, _, best = P.evaluation(spark, sf)
-    return ev.threshold_matrix(counts, best.first()["threshold"])
+    return ev.threshold_matrix(counts, ev.threshold_of(best))
 
 
 def _cohort_sql() -> str:
@@ -887,13 +887,13 @@ add_view("cohort_means", _cohort_sql(), ["cohorts"])
 @register("A14_cohort_means", with_views("SELECT * FROM cohort_means", "cohort_means"))
 def q_a14(spark, sf):
     scored, _, _, best = P.evaluation(spark, sf)
-    return ev.cohort_means(scored, best.first()["threshold"])
+    return ev.cohort_means(scored, ev.threshold_of(best))
 
 
 @register("F12_cohort_label", with_views("SELECT seq, cohort FROM cohorts", "cohorts"))
 def q_f12(spark, sf):
     scored, _, _, best = P.evaluation(spark, sf)
-    t = best.first()["threshold"]
+    t = ev.threshold_of(best)
     return scored.select("seq", ev.cohort("score", "label", t).alias("cohort"))
 
 

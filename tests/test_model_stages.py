@@ -80,3 +80,12 @@ def test_validation_without_positives_or_rows_keeps_the_first_tree(spark, noisy)
     for v in (valid.where("is_fraud = 0"), valid.limit(0)):
         _, n_trees, scores = M.early_stop_freeze(fit, v, max_iter=2, patience=1, features=NAMES)
         assert n_trees == 1 and set(scores) == {0.0}
+
+
+def test_no_rows_have_a_cut_and_a_threshold(spark):
+    from fraudlake.operators import split
+
+    none = spark.createDataFrame([], "step int, score double, label int")
+    assert split.split_cut(none) == 0.0
+    best = ev.best_threshold(ev.pr_curve(ev.curve_points(ev.score_counts(none))))
+    assert ev.threshold_of(best) == 0.5 and ev.confusion(none, ev.threshold_of(best)).count() == 1
