@@ -102,30 +102,43 @@ URL_VERDICTS = _url_verdicts()
 
 
 def _licence_scan() -> str:
-    grams = "list_distinct(list_transform(range(1, len({w})), lambda i: {w}[i] || ' ' || {w}[i + 1]))"
-    words = "list_transform(regexp_extract_all(lower({t}), '[a-z0-9]+'), lambda x: CASE WHEN regexp_full_match(x, '[0-9]+') THEN '#' ELSE x END)"
-    quoted = ", ".join("('{}', '{}')".format(k, t.replace("'", "''")) for k, t in TEMPLATES)
+    """Segments and template-sized windows as lists of words; windows only where enough bigrams hit."""
+    grams = "list_transform(range(1, len({w})), lambda i: {w}[i] || ' ' || {w}[i + 1])"
+    words = "list_transform(regexp_extract_all(lower({t}), '[a-z0-9]+'), lambda x: CASE WHEN regexp_full_match(x, '[0-9]{{3,}}') THEN '#' ELSE x END)"
+    quoted = ", ".join("('{}', '{}', {})".format(t.name, t.text.replace("'", "''"), f"{list(t.must)}::VARCHAR[]") for t in TEMPLATES)
     return f"""
 WITH lt AS (
-  SELECT k, {grams.format(w="w")} AS g FROM (SELECT k, {words.format(t="x")} AS w FROM (VALUES {quoted}) v(k, x))
-), seg AS (
-  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS s, true AS is_line FROM documents
-  UNION ALL SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10) || chr(10))), false FROM documents
-  UNION ALL SELECT doc_id, coalesce(text, ''), false FROM documents
+  SELECT row_number() OVER () AS t, k, must, len(w) AS l, list_distinct({grams.format(w="w")}) AS g
+  FROM (SELECT k, must, {words.format(t="x")} AS w FROM (VALUES {quoted}) v(k, x, must))
+), tg AS (SELECT t, l, len(g) AS m, unnest(g) AS gram FROM lt),
+d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+seg AS (
+  SELECT r, unnest(string_split(text, chr(10))) AS s, true AS is_line FROM d
+  UNION ALL SELECT r, unnest(string_split(text, chr(10) || chr(10))), false FROM d
+  UNION ALL SELECT r, text, false FROM d
+), sw AS (SELECT row_number() OVER () AS n, r, is_line, w FROM (SELECT r, is_line, {words.format(t="s")} AS w FROM seg) WHERE len(w) > 1),
+sg AS (SELECT n, unnest(list_distinct({grams.format(w="w")})) AS gram FROM sw),
+sc AS (SELECT n, t FROM sg JOIN tg USING (gram) GROUP BY n, t, m HAVING count(*) >= 0.8 / 1.2 * m - 0.000001),
+dw AS (SELECT r, {words.format(t="text")} AS w FROM d),
+p AS (SELECT r, unnest({grams.format(w="w")}) AS gram, unnest(range(1, len(w))) AS i FROM dw),
+hit AS (SELECT r, i, t, l, m FROM p JOIN tg USING (gram)),
+near AS (
+  SELECT r, i, t, l FROM (
+    SELECT *, count(*) OVER (PARTITION BY r, t ORDER BY i RANGE BETWEEN CURRENT ROW AND l - 2 FOLLOWING) AS n FROM hit)
+  WHERE n >= 0.8 / 1.2 * m - 0.000001
 ), a AS (
-  SELECT doc_id, is_line, {grams.format(w="w")} AS g FROM (SELECT doc_id, is_line, {words.format(t="s")} AS w FROM seg)
-), m AS (
-  SELECT a.doc_id, a.is_line, lt.k, 2.0 * len(list_intersect(a.g, lt.g)) / (len(a.g) + len(lt.g)) AS dice
-  FROM a JOIN lt ON len(a.g) >= len(lt.g) * 0.8 / 1.2 AND len(a.g) <= len(lt.g) * 1.2 / 0.8
-), hit AS (SELECT * FROM m WHERE dice >= 0.8),
+  SELECT r, n, is_line, t, w FROM sc JOIN sw USING (n)
+  UNION ALL SELECT r, 0, false, t, w[i:i + l - 1] FROM near JOIN dw USING (r)
+), x AS (SELECT *, list_distinct({grams.format(w="w")}) AS own FROM a),
+f AS (
+  SELECT x.r, x.n, is_line, k, l, 2.0 * len(list_intersect(own, g)) / (len(own) + len(g)) AS dice
+  FROM x JOIN lt USING (t) WHERE list_has_all(w, must)
+), ok AS (SELECT * FROM f WHERE dice >= 0.8),
 best AS (
-  SELECT doc_id, k AS license_id, dice FROM (
-    SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY dice DESC, k) AS r FROM hit) WHERE r = 1
-), n AS (
-  SELECT doc_id, count(*) AS n FROM (SELECT doc_id, dice FROM hit WHERE is_line) GROUP BY doc_id
-)
-SELECT d.doc_id, best.license_id, CAST(coalesce(best.dice, 0) AS DOUBLE) AS dice, CAST(coalesce(n.n, 0) AS BIGINT) AS line_matches
-FROM documents d LEFT JOIN best USING (doc_id) LEFT JOIN n USING (doc_id)
+  SELECT r, k AS license_id, dice FROM (SELECT *, row_number() OVER (PARTITION BY r ORDER BY dice DESC, l DESC, k) AS o FROM ok) WHERE o = 1
+), n AS (SELECT r, count(DISTINCT n) AS n FROM ok WHERE is_line GROUP BY r)
+SELECT doc_id, license_id, CAST(coalesce(dice, 0) AS DOUBLE) AS dice, CAST(coalesce(n.n, 0) AS BIGINT) AS line_matches
+FROM d LEFT JOIN best USING (r) LEFT JOIN n USING (r)
 """
 
 

@@ -1,3 +1,5 @@
+import re
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
@@ -136,32 +138,63 @@ def test_resampling_odd_rows(spark):
 
 
 def slow_scan(text, threshold=0.8):
-    import re
+    def words(t):
+        return ["#" if x.isdigit() and len(x) > 2 else x for x in re.findall("[a-z0-9]+", t.lower())]
 
-    def grams(t):
-        w = ["#" if x.isdigit() else x for x in re.findall("[a-z0-9]+", t.lower())]
+    def grams(w):
         return set(zip(w, w[1:], strict=False))
 
-    best, lines = (0.0, None), 0
-    parts = [("line", x) for x in text.split("\n")] + [("p", x) for x in text.split("\n\n")] + [("t", text)]
-    for kind, part in parts:
-        a = grams(part)
-        for name, t in licences.TEMPLATES:
-            b = grams(t)
+    best, lines, whole = (0.0, 0, ""), set(), words(text)
+    known = [(k, words(t), set(must)) for k, t, must in licences.TEMPLATES]
+    parts = [(n, words(x)) for n, x in enumerate(text.split("\n"))] + [(-1, words(x)) for x in text.split("\n\n")] + [(-1, whole)]
+    parts = [(n, set(w), grams(w)) for n, w in parts]
+    for name, tw, must in known:
+        b = grams(tw)
+        windows = [whole[i : i + len(tw)] for i in range(len(whole) - 1) if (whole[i], whole[i + 1]) in b]
+        for line, w, a in parts + [(-1, set(w), grams(w)) for w in windows]:
             dice = 2 * len(a & b) / (len(a) + len(b)) if a else 0
-            if dice >= threshold:
-                lines += kind == "line"
-                if (-dice, name) < (-best[0], best[1] or ""):
-                    best = (dice, name)
-    return best[1], best[0], lines
+            if dice >= threshold and must <= w:
+                lines |= {line} - {-1}
+                best = min(best, (-dice, -len(tw), name))
+    return best[2] or None, -best[0], len(lines)
 
 
 def test_licence_scan_equals_brute_force(spark):
-    mit = licences.TEMPLATES[13][1]
+    mit = max((t for t in licences.TEMPLATES if t.name == "MIT"), key=lambda t: len(t.text)).text
     wrapped = "intro words here\n\n" + "\n".join(mit[i : i + 60] for i in range(0, len(mit), 60)) + "\n\n\ntail"
     rows = [*odd_rows(), (500, wrapped, None, None, None), (501, "Licensed under the Apache Licence, version 1.1!", None, None, None)]
+    rows += [(502, "Released under the MIT License. " * 40 + "and on", None, None, None), (None, "see the MIT License\nSPDX-License-Identifier: MIT\nx", None, None, None)]
     got = licences.scan(frame(spark, rows)).collect()
     want = [(r[0], *slow_scan(r[1] or "")) for r in rows]
     assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
     assert {r.doc_id: r.license_id for r in got}[150] == "MIT"
     assert licences.scan(frame(spark, rows).limit(0)).collect() == []
+
+
+# lines as projects write them, none of them taken from the templates
+WRITTEN = [
+    ("We walked home and talked about birds and trees. Licensed under CC BY-NC 4.0. The next day it rained.", "CC-BY-NC-4.0"),
+    ("Licensed under the MIT License.", "MIT"),
+    ("This chapter is licensed under CC BY-NC-SA 4.0, see the notes.", "CC-BY-NC-SA-4.0"),
+    ("Text is available under the Creative Commons Attribution-ShareAlike 3.0 Unported License; more terms may apply.", "CC-BY-SA-3.0"),
+    ("Except as noted, this work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.", "CC-BY-ND-4.0"),
+    ("Neither the name of Foo Inc. nor the names of its contributors may be used to endorse or promote products\nderived from this software without specific prior written permission.", "BSD-3-Clause"),
+    ("/* Copyright 2019 Foo\n * Licensed under the Apache License, Version 2.0 (the \"License\");\n * you may not use this file except in compliance with the License. */", "Apache-2.0"),
+    ("                    GNU AFFERO GENERAL PUBLIC LICENSE\n                       Version 3, 19 November 2007\n\n Copyright (C) 2007", "AGPL-3.0"),
+    ("                    GNU GENERAL PUBLIC LICENSE\n                       Version 2, June 1991\n\n Copyright (C) 1989", "GPL-2.0"),
+    ("# SPDX-License-Identifier: GPL-2.0-or-later\nimport os", "GPL-2.0"),
+    ("The code is licensed under the GNU Affero General Public License, version 3, or later", "AGPL-3.0"),
+    ("This work is licensed under the GNU Lesser General Public License, version 3.", "LGPL-3.0"),
+    ("foo is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.", "LGPL-3.0"),
+    ("bar is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.", "GPL-2.0"),
+    ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.\nIf a copy was not handed out with it, ask.", "MPL-2.0"),
+    ("He drove without a license under the bridge, released from the terms of the old contract.", None),
+    ("Licensed under the Foo License, version 7.", None),
+    ("All rights reserved.", None),
+]
+
+
+def test_licences_as_projects_write_them(spark):
+    rows = [(i, t, None, None, None) for i, (t, _) in enumerate(WRITTEN)]
+    got = {r.doc_id: r.license_id for r in licences.scan(frame(spark, rows)).collect()}
+    assert [(t, got[i]) for i, (t, _) in enumerate(WRITTEN)] == WRITTEN
