@@ -14,8 +14,9 @@ score that language's share of the letters.
 Cases: null texts and texts without a letter get ``und``, score 0 and no spans;
 letters are judged by Unicode for that, and any byte from 0x80 on counts as a
 letter inside a word; ties go to the first language in alphabetical order;
-without any labelled text every document is ``und``; repeated rows give repeated
-rows; other columns are not read.
+without any labelled text every document is ``und`` and has no spans; very long texts are
+judged whole, in one piece each; repeated rows give repeated rows; other columns are
+not read; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, DataType, DoubleType, StringType, StructField, StructType
 
 from fraudlake.llm.common import free_name, text_slices
 from fraudlake.llm.words import BASE, letter_table, mix, word_hashes, words_of
@@ -66,6 +67,10 @@ def _scripts(data: np.ndarray, start: np.ndarray) -> np.ndarray:
     return np.array([NAMES.index(name) for _, name in SCRIPTS])[at]
 
 
+#: a run of words of one language: words from 0, bytes of the lower-cased text
+SPAN = "struct<lang:string,first_word:long,n_words:long,n_bytes:long>"
+
+
 class _Distinct(NamedTuple):
     of: np.ndarray  # index of the distinct word of each word
     bucket: np.ndarray  # n-grams of the distinct words
@@ -206,28 +211,52 @@ def _result(part: pa.RecordBatch, model: Model, letters: np.ndarray):
     return pa.array(lang, pa.string()), pa.array(score)
 
 
-def _predicted(docs: DataFrame, columns: list[str], model: Model, penalty: float, names: tuple[str, str]) -> DataFrame:
-    """``columns`` of the rows, with language and score under ``names``."""
-    added = [StructField(names[0], StringType()), StructField(names[1], DoubleType())]
+def _spans(part: pa.RecordBatch, w, label: np.ndarray, model: Model) -> tuple[np.ndarray, dict[str, pa.Array]]:
+    """The row of each span, and the spans' fields."""
+    if not model.langs:
+        label = label[:0]
+    edge = np.ones(len(label), dtype=bool)
+    edge[1:] = label[1:] != label[:-1]
+    if len(label):
+        edge[w.first[:-1][np.diff(w.first) > 0]] = True
+    cut = np.flatnonzero(edge)
+    stop = np.append(cut[1:], len(label))[: len(cut)]
+    row = np.searchsorted(w.first, cut, side="right") - 1
+    return row, {
+        "lang": pa.array(model.langs, pa.string()).take(pa.array(label[cut].astype(np.int64))),
+        "first_word": pa.array(cut - w.first[row], pa.int64()),
+        "n_words": pa.array(stop - cut, pa.int64()),
+        "n_bytes": pa.array(w.end[stop - 1] - w.start[cut], pa.int64()),
+    }
+
+
+def _predicted(docs: DataFrame, columns: list[str], model: Model, penalty: float, names: list[str]) -> DataFrame:
+    """``columns`` of the rows, with language, score and, for a third name, spans under ``names``."""
+    added = [StructField(n, t) for n, t in zip(names, (StringType(), DoubleType(), ArrayType(DataType.fromDDL(SPAN))), strict=False)]
 
     def task(batches):
         for batch in batches:
-            for part in text_slices(batch, limit=4_000_000):
-                _, _, letters = _judge(part, model, penalty)
-                yield pa.record_batch([part.column(c) for c in columns] + [*_result(part, model, letters)], names=[*columns, *names])
+            for part in text_slices(batch):
+                w, label, letters = _judge(part, model, penalty)
+                out = [part.column(c) for c in columns] + [*_result(part, model, letters)]
+                if len(names) > 2:
+                    row, fields = _spans(part, w, label, model)
+                    held = pa.StructArray.from_arrays(list(fields.values()), names=list(fields))
+                    out.append(pa.ListArray.from_arrays(pa.array(np.searchsorted(row, np.arange(part.num_rows + 1)), pa.int32()), held))
+                yield pa.record_batch(out, names=[*columns, *names])
 
     rows = docs.select(*dict.fromkeys([*columns, "text"]))
     return rows.mapInArrow(task, StructType([docs.schema[c] for c in columns] + added))
 
 
-def predict(docs: DataFrame, model: Model, penalty: float = 12.0) -> DataFrame:
-    """(doc_id, lang_pred, score) of every whole text."""
-    return _predicted(docs, ["doc_id"], model, penalty, ("lang_pred", "score"))
+def predict(docs: DataFrame, model: Model, penalty: float = 12.0, with_spans: bool = False) -> DataFrame:
+    """(doc_id, lang_pred, score) of every whole text, and its spans as an array where asked."""
+    return _predicted(docs, ["doc_id"], model, penalty, ["lang_pred", "score", "spans"][: 2 + with_spans])
 
 
 def accepted(docs: DataFrame, min_score: float = 0.5) -> DataFrame:
     """The rows of ``docs``, all columns, with a language that scores ``min_score`` at least."""
-    names = (free_name(docs, "lang_pred"), free_name(docs, "score"))
+    names = [free_name(docs, "lang_pred"), free_name(docs, "score")]
     judged = _predicted(docs, docs.columns, train(docs.where(~held_out("doc_id"))), 12.0, names)
     return judged.where((F.col(names[0]) != "und") & (F.col(names[1]) >= min_score)).drop(*names)
 
@@ -239,24 +268,8 @@ def spans(docs: DataFrame, model: Model, penalty: float = 12.0) -> DataFrame:
         for batch in batches:
             for part in text_slices(batch):
                 w, label, _ = _judge(part, model, penalty)
-                if not len(label) or not model.langs:
-                    continue
-                edge = np.ones(len(label), dtype=bool)
-                edge[1:] = label[1:] != label[:-1]
-                edge[w.first[:-1][np.diff(w.first) > 0]] = True
-                cut = np.flatnonzero(edge)
-                stop = np.append(cut[1:], len(label))
-                row = np.searchsorted(w.first, cut, side="right") - 1
-                yield pa.record_batch(
-                    [
-                        part.column("doc_id").take(pa.array(row)),
-                        pa.array([model.langs[i] for i in label[cut]], pa.string()),
-                        pa.array(cut - w.first[row], pa.int64()),
-                        pa.array(stop - cut, pa.int64()),
-                        pa.array(w.end[stop - 1] - w.start[cut], pa.int64()),
-                    ],
-                    names=["doc_id", "lang", "first_word", "n_words", "n_bytes"],
-                )
+                row, fields = _spans(part, w, label, model)
+                yield pa.record_batch([part.column("doc_id").take(pa.array(row)), *fields.values()], names=["doc_id", *fields])
 
     return docs.select("doc_id", "text").mapInArrow(task, "doc_id long, lang string, first_word long, n_words long, n_bytes long")
 
@@ -267,7 +280,8 @@ def held_out(doc_id, folds: int = 5):
 
 
 def identify(docs: DataFrame, train_docs: DataFrame | None = None) -> DataFrame:
-    """Learn from the training fold and predict all: (doc_id, held_out, lang_pred, score)."""
+    """Learn from the training fold and predict all: (doc_id, held_out, lang_pred, score, spans)."""
     source = docs if train_docs is None else train_docs
     model = train(source.where(~held_out("doc_id")))
-    return predict(docs, model).select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score")
+    judged = predict(docs, model, with_spans=True)
+    return judged.select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score", "spans")

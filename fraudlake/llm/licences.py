@@ -54,6 +54,7 @@ NAMES = {
     "GPL-2.0": ["the GNU General Public License, version 2", "the GNU General Public License v2.0", "the GNU GPL v2", "GPLv2"],
     "GPL-3.0": ["the GNU General Public License, version 3", "the GNU General Public License v3.0", "the GNU GPL v3", "GPLv3"],
     "ISC": ["the ISC License"],
+    "LGPL-2.0": ["the GNU Library General Public License, version 2", "the GNU Library General Public License v2.0", "the GNU LGPL v2"],
     "LGPL-2.1": ["the GNU Lesser General Public License, version 2.1", "the GNU Lesser General Public License v2.1", "the GNU LGPL v2.1", "LGPLv2.1"],
     "LGPL-3.0": ["the GNU Lesser General Public License, version 3", "the GNU Lesser General Public License v3.0", "the GNU LGPL v3", "LGPLv3"],
     "MIT": ["the MIT License", "the MIT Licence", "the Expat License"],
@@ -79,6 +80,7 @@ PASSAGES = [
     ("BSD-3-Clause", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.", ("neither", "endorse")),
     ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\"", ("neither", "endorse")),
     ("BSL-1.0", "Boost Software License - Version 1.0 - August 17th, 2003", ("boost",)),
+    ("CC0-1.0", "Creative Commons Legal Code CC0 1.0 Universal", ("cc0",)),
     ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.", ("waived",)),
     ("EPL-1.0", "Eclipse Public License - v 1.0 THE ACCOMPANYING PROGRAM IS PROVIDED UNDER THE TERMS OF THIS ECLIPSE PUBLIC LICENSE", ("eclipse", "1")),
     ("EPL-2.0", "Eclipse Public License - v 2.0 THE ACCOMPANYING PROGRAM IS PROVIDED UNDER THE TERMS OF THIS ECLIPSE PUBLIC LICENSE", ("eclipse", "2")),
@@ -88,6 +90,8 @@ PASSAGES = [
     ("GPL-3.0", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007", ("3", "29")),
     ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.", ("general", "3")),
     ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.", ()),
+    ("LGPL-2.0", "GNU LIBRARY GENERAL PUBLIC LICENSE Version 2, June 1991", ("library", "2")),
+    ("LGPL-2.0", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Library General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.", ("general", "2")),
     ("LGPL-2.1", "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999", ("lesser",)),
     ("LGPL-2.1", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.", ("lesser", "2")),
     ("LGPL-3.0", "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007", ("lesser", "3")),

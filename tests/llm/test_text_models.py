@@ -37,6 +37,8 @@ def test_spans_of_a_mixed_text_and_scripts(spark):
     assert model.allowed[language.NAMES.index("greek")].tolist() == [x == "el" for x in model.langs]
     rows = frame(spark, [(1, f"{en} {de}", None, None, None), (2, "κόσμος", None, None, None), (3, None, None, None, None)])
     spans = language.spans(rows, model).orderBy("doc_id", "first_word").collect()
+    held = {r.doc_id: [(s.lang, s.first_word, s.n_words, s.n_bytes) for s in r.spans] for r in language.predict(rows, model, with_spans=True).collect()}
+    assert {d: s for d, s in held.items() if s} == {d: [tuple(r[1:]) for r in spans if r.doc_id == d] for d in {r.doc_id for r in spans}}
     assert [(r.doc_id, r.lang, r.n_words) for r in spans] == [(1, "en", 42), (1, "de", 42), (2, "el", 1)]
 
 
@@ -182,6 +184,7 @@ WRITTEN = [
     ("/* Copyright 2019 Foo\n * Licensed under the Apache License, Version 2.0 (the \"License\");\n * you may not use this file except in compliance with the License. */", "Apache-2.0"),
     ("                    GNU AFFERO GENERAL PUBLIC LICENSE\n                       Version 3, 19 November 2007\n\n Copyright (C) 2007", "AGPL-3.0"),
     ("                    GNU GENERAL PUBLIC LICENSE\n                       Version 2, June 1991\n\n Copyright (C) 1989", "GPL-2.0"),
+    ("                  GNU LIBRARY GENERAL PUBLIC LICENSE\n                       Version 2, June 1991\n\n Copyright (C) 1991", "LGPL-2.0"),
     ("# SPDX-License-Identifier: GPL-2.0-or-later\nimport os", "GPL-2.0"),
     ("The code is licensed under the GNU Affero General Public License, version 3, or later", "AGPL-3.0"),
     ("This work is licensed under the GNU Lesser General Public License, version 3.", "LGPL-3.0"),
