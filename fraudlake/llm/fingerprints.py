@@ -8,12 +8,14 @@ of distinct shingles; below ``K`` shingles these are exact.
 
 Cases: a null text counts as empty and has an empty sketch; two empty sketches have
 resemblance and containment 1, an empty and a full one 0; rows with a null doc_id
-come after all others; rows with one doc_id follow one another by hash of text; other
-columns are not read; an empty table gives no rows.
+come after all others; rows with one doc_id follow one another by hash of text; very
+long texts are sketched whole; other columns are not read; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -86,35 +88,59 @@ def merge_parts(parts: DataFrame, key: str, column: str = "sketch", k: int = K,
             return rows
 
 
+def _blocks(cuts: list[int]) -> tuple[Column, int]:
+    """The block of a row by its key and salt, ascending against the order of rows, and the number of blocks.
+
+    A cut that repeats is a hot key: its rows get a block a repeat, by ranges of the salt.
+    """
+    times = Counter(cuts)
+    values, bases, n = sorted(times), [], 0
+    for v in values:
+        bases.append(n)
+        n += 1 if times[v] == 1 else 1 + times[v]
+    bounds = F.array(*[F.lit(v) for v in values])
+    at = F.least(F.size(F.filter(bounds, lambda b: b < F.col("key"))), F.lit(len(values) - 1)) + 1
+    parts = F.element_at(F.array(*[F.lit(times[v]) for v in values]), at)
+    hot = (parts > 1) & (F.element_at(bounds, at) == F.col("key"))
+    part = F.least(F.floor((F.col("salt") / 2.0**64 + 0.5) * parts), parts - 1)
+    block = F.element_at(F.array(*[F.lit(b) for b in bases]), at) + F.when(hot, parts - part).otherwise(0)
+    return block.cast("int"), n
+
+
 def with_next(rows: DataFrame, columns: list[str], blocks: int | None = None) -> DataFrame:
     """``rows`` with ``next_<column>`` of the row behind it in descending doc_id, the first row behind the last.
 
-    Rows are dealt into blocks of doc_id by quantiles; the first row of each block is
-    copied to the end of the block above it, so no window reaches over a block.
+    Rows are dealt into blocks of doc_id by quantiles, those of one hot doc_id by hash of
+    text; the first row of each block is copied to the end of the block above it, so no
+    window reaches over a block. Rows equal in doc_id and text share a block.
     """
     spark = rows.sparkSession
     n = blocks or 4 * shuffle_width(spark)
-    keyed = rows.withColumn("key", F.coalesce("doc_id", F.lit(LAST)))
+    keyed = rows.withColumns({"key": F.coalesce("doc_id", F.lit(LAST)), "salt": F.xxhash64("text")})
     cuts = keyed.agg(F.percentile_approx("key", [i / n for i in range(1, n + 1)], 100 * n)).first()[0]  # n numbers
     if cuts is None:
-        return keyed.drop("key").select("*", *(F.col(c).alias(f"next_{c}") for c in columns))
-    cuts = sorted(set(cuts))
-    bounds = F.array(*[F.lit(c) for c in cuts])
-    block = F.size(F.filter(bounds, lambda b: b < F.col("key")))
+        return rows.select("*", *(F.col(c).alias(f"next_{c}") for c in columns))
+    block, _ = _blocks(cuts)
     keyed = keyed.withColumn("block", block)
-    here = F.struct(F.col("block").alias("block"), F.lit(False).alias("copy"))
-    above = F.struct(((F.col("block") + 1) % len(cuts)).alias("block"), F.lit(True).alias("copy"))
-    head = F.col("key") == F.element_at(bounds, F.col("block") + 1)
-    dealt = keyed.withColumn("at", F.explode(F.when(head, F.array(here, above)).otherwise(F.array(here))))
-    order = Window.partitionBy("at.block").orderBy("at.copy", F.col("key").desc(), F.xxhash64("text"))
+    first = F.max(F.struct("key", F.bitwise_not("salt").alias("salt"))).alias("first")
+    heads = sorted(keyed.groupBy("block").agg(first).collect())  # 2n rows at most
+    above = [h.block for h in heads[1:]] + [heads[0].block]
+    table = spark.createDataFrame([(h.block, u, *h.first) for h, u in zip(heads, above, strict=True)], "block int, above int, head_key long, head_salt long")
+    here = F.struct("block", F.lit(False).alias("copy"))
+    there = F.struct(F.col("above").alias("block"), F.lit(True).alias("copy"))
+    head = (F.col("key") == F.col("head_key")) & (F.bitwise_not("salt") == F.col("head_salt"))
+    dealt = keyed.join(F.broadcast(table), "block").withColumn("at", F.explode(F.when(head, F.array(here, there)).otherwise(F.array(here))))
+    order = Window.partitionBy("at.block").orderBy("at.copy", F.col("key").desc(), "salt")
     ahead = dealt.withColumns({f"next_{c}": F.lead(c).over(order) for c in columns})
-    return ahead.where("NOT at.copy").drop("key", "block", "at")
+    return ahead.where("NOT at.copy").select(*rows.columns, *(f"next_{c}" for c in columns))
 
 
 def fingerprint_edits(docs: DataFrame) -> DataFrame:
     """Fingerprints of every text and of its edited form, whose last half comes from the next text.
 
-    (doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, shingles).
+    (doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, shingles,
+    kept_in_edited, shingles_with_next): also the share of the text's shingles that the edited form keeps, and the
+    distinct shingles of the text and the next one together (their merged sketch).
     """
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("sketch", sketch(F.col("text")))
     rows = with_next(rows, ["text", "sketch"])
@@ -129,4 +155,6 @@ def fingerprint_edits(docs: DataFrame) -> DataFrame:
         resemblance(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
         resemblance(F.col("sketch"), F.col("next_sketch")).alias("near_next"),
         distinct_shingles(F.col("sketch")).alias("shingles"),
+        containment(F.col("sketch"), F.col("edited_sketch")).alias("kept_in_edited"),
+        distinct_shingles(merge(F.col("sketch"), F.col("next_sketch"))).alias("shingles_with_next"),
     )

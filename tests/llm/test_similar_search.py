@@ -1,8 +1,10 @@
+import hashlib
 import re
 from collections import Counter, defaultdict
 from urllib.parse import urlsplit
 
 import numpy as np
+import xxhash
 from pyspark.sql import functions as F
 from tests.conftest import SF_SMALL
 from tests.llm.helpers import frame, odd_rows
@@ -99,8 +101,6 @@ def words_jaccard(a, b):
 
 
 def test_fingerprints_of_edits(spark):
-    import hashlib
-
     rows = [r for r in odd_rows() if r[0] is not None and r[0] != 60 and "\x1f" not in (r[1] or "") and "　" not in (r[1] or "")]
     texts = sorted(((d, t or "") for d, t, *_ in rows), reverse=True)
     got = {r.doc_id: r for r in fingerprints.fingerprint_edits(frame(spark, rows)).collect()}
@@ -114,6 +114,65 @@ def test_fingerprints_of_edits(spark):
     assert got[160].fingerprint == got[170].fingerprint and got[0].fingerprint == ""
 
 
+def slow_hash(words):
+    h = 42
+    for w in words:
+        h = xxhash.xxh64_intdigest(w.encode(), seed=h)
+    return h
+
+
+def slow_sketch(text, k=128):
+    w = [x for x in re.split(r"[ \t\n\x0b\f\r]+", text) if x]
+    return sorted({slow_hash(w[i : i + 5]) >> 24 for i in range(max(1, len(w) - 4))})[:k] if w else []
+
+
+def slow_edits(rows):
+    """Every column of fingerprint_edits, by the definitions."""
+
+    def near(a, b):
+        u = sorted({*a, *b})[:128]
+        return sum(x in a and x in b for x in u) / len(u) if u else 1.0
+
+    def signed(h):
+        return h - (1 << 64) if h >> 63 else h
+
+    docs = sorted(((-(1 << 63) if d is None else d, t or "", d) for d, t, *_ in rows), key=lambda r: (-r[0], signed(slow_hash([r[1]]))))
+    out = []
+    for i, (_, t, d) in enumerate(docs):
+        after = docs[(i + 1) % len(docs)][1]
+        half = len(t) // 2
+        edited = t[: len(t) - half] + after[:half]
+        a, b, c = slow_sketch(t), slow_sketch(edited), slow_sketch(after)
+        out.append((d, len(t), hashlib.sha256(edited.encode()).hexdigest(), *(",".join(f"{x:X}" for x in s) for s in (a, b)), near(a, b), near(a, c)))
+    return sorted(out, key=str)
+
+
+def test_fingerprints_equal_brute_force(spark):
+    docs = read_table(spark, SF_SMALL, "documents")
+    columns = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
+    for rows in ([(r.doc_id, r.text) for r in docs.collect()], [r[:2] for r in odd_rows()]):
+        table = spark.createDataFrame(rows, "doc_id long, text string")
+        assert sorted(map(tuple, fingerprints.fingerprint_edits(table).select(columns).collect()), key=str) == slow_edits(rows)
+
+
+def test_hot_and_null_ids_are_dealt_by_text(spark):
+    rows = [(None if i % 3 == 0 else 7 if i % 3 == 1 else i, f"text {i} of {i % 11}") for i in range(900)] + [(7, "twice"), (7, "twice")]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    got = fingerprints.fingerprint_edits(table).select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+    assert sorted(map(tuple, got.collect()), key=str) == slow_edits(rows)
+    keyed = table.selectExpr("coalesce(doc_id, -9223372036854775808) AS key", "xxhash64(text) AS salt")
+    cuts = keyed.agg(F.percentile_approx("key", [i / 32 for i in range(1, 33)], 3200)).first()[0]
+    most = keyed.groupBy(fingerprints._blocks(cuts)[0].alias("b")).count().agg(F.max("count")).first()[0]
+    assert most < 900 / 8  # a third of the rows has one id
+
+
+def test_merged_and_contained_in_the_result(spark):
+    rows = [(2, " ".join(f"a{i}" for i in range(60))), (1, " ".join(f"b{i}" for i in range(40)))]
+    got = fingerprints.fingerprint_edits(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.shingles_with_next for r in got} == {56.0 + 36.0}
+    assert all(0 < r.kept_in_edited < 1 for r in got)
+
+
 def test_fingerprints_of_repeated_ids_and_empty_table(spark):
     docs = frame(spark, odd_rows())
     assert fingerprints.fingerprint_edits(docs).count() == len(odd_rows())
