@@ -16,14 +16,14 @@ from fraudlake.plans.strategies import cumulative_by_order, cumulative_by_order_
 from fraudlake.schemas import F1_EPSILON, FEATURES, OPERATING_THRESHOLDS
 
 
-def score_counts(scored: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
-    """One row per distinct score: positives ``tp`` and negatives ``fp``.
+def score_counts(scored: DataFrame, score: str = "score", label: str = "label", by: tuple[str, ...] = ()) -> DataFrame:
+    """One row per distinct score (and value of the columns ``by``): positives ``tp`` and negatives ``fp``.
 
     Rows without a score have a row of their own (score NULL): no threshold ever
     predicts them positive, so their positives are missed at every threshold.
     """
     return (
-        scored.groupBy(F.col(score).alias("score"))
+        scored.groupBy(*by, F.col(score).alias("score"))
         .agg(
             F.sum((F.col(label) == 1).cast("long")).alias("tp"),
             F.sum((F.col(label) != 1).cast("long")).alias("fp"),
@@ -134,6 +134,13 @@ def confusion(scored: DataFrame, threshold: float, score: str = "score", label:
     )
 
 
+def confusion_of_counts(counts: DataFrame, threshold: float) -> DataFrame:
+    """:func:`confusion` from the per-score counts, without the scored rows."""
+    pred = F.coalesce(F.col("score") >= F.lit(threshold), F.lit(False))
+    part = lambda on, c: F.sum(F.when(on, F.col(c)).otherwise(0)).cast("long")
+    return counts.agg(part(~pred, "fp").alias("tn"), part(pred, "fp").alias("fp"), part(~pred, "tp").alias("fn"), part(pred, "tp").alias("tp"))
+
+
 def _safe_div(a, b):
     return F.when(b > 0, a.cast("double") / b.cast("double")).otherwise(F.lit(0.0))
 

@@ -283,10 +283,9 @@ def feature_importance(model: PipelineModel, features=FEATURES) -> DataFrame:
     return spark.createDataFrame(rows, "feature string, importance double").orderBy(F.col("importance").desc())
 
 
-def freeze_metadata_frame(scored: DataFrame, points: DataFrame, best: DataFrame, version: str, features=FEATURES) -> DataFrame:
-    """One metadata row: threshold from the best-F1 point, PR-AUC, confusion."""
-    t = ev.threshold_of(best)
-    cm = ev.confusion(scored, t)
+def freeze_metadata_frame(counts: DataFrame, points: DataFrame, threshold: float, version: str, features=FEATURES) -> DataFrame:
+    """One metadata row: the threshold (picked on rows other than these), PR-AUC, confusion."""
+    t, cm = threshold, ev.confusion_of_counts(counts, threshold)
     ap = ev.average_precision(points).first()["average_precision"]
     return cm.select(
         F.lit(float(t)).alias("decision_threshold"),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from fraudlake.paths import guard_output
 from fraudlake.schemas import FEATURES, SCORABLE_TYPES, SPLIT_QUANTILE
+from fraudlake.session import checkpoint_root
 
 
 def extract_training(gold_df: DataFrame, types=SCORABLE_TYPES, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -39,6 +40,18 @@ def split_cut(df: DataFrame, q: float = SPLIT_QUANTILE) -> float:
     return 0.0 if cut is None else float(cut)
 
 
+def nested_cuts(df: DataFrame, q: float = SPLIT_QUANTILE, step: str = "step") -> tuple[float, float]:
+    """(test cut, validation cut): rows above the first are the test window, those of the
+    training period above the second its validation slice. The rows are read once."""
+    counts = df.groupBy(step).agg(F.count(F.lit(1)).alias("_n"))  # one row per distinct step
+    checkpoint_root(df.sparkSession)
+    counts = counts.checkpoint(eager=True)
+    cut = counts.agg(F.percentile(F.col(step), F.lit(q), F.col("_n"))).first()[0]
+    cut = 0.0 if cut is None else float(cut)
+    valid = counts.where(F.col(step) <= cut).agg(F.percentile(F.col(step), F.lit(q), F.col("_n"))).first()[0]
+    return cut, cut if valid is None else float(valid)
+
+
 def temporal_split(df: DataFrame, cut: float, step: str = "step") -> tuple[DataFrame, DataFrame]:
     """``step <= cut`` is train, ``step > cut`` is test."""
     return df.where(F.col(step) <= F.lit(cut)), df.where(F.col(step) > F.lit(cut))

@@ -758,22 +758,19 @@ _PR_SQL = with_views("SELECT threshold, precision, recall FROM pr", "pr")
 
 @register("A9_pr_curve", _PR_SQL)
 def q_a9(spark, sf):
-    _, _, pts, _ = P.evaluation(spark, sf)
-    return ev.pr_curve(pts).select("threshold", "precision", "recall")
+    return ev.pr_curve(P.Evaluation(spark, sf).points).select("threshold", "precision", "recall")
 
 
 @register("A9_pr_curve_bucketed", _PR_SQL)
 def q_a9b(spark, sf):
     """The distributed path forced (range buckets + broadcast offsets)."""
-    _, _, pts, _ = P.evaluation(spark, sf, scale_form=True)
-    return ev.pr_curve(pts).select("threshold", "precision", "recall")
+    return ev.pr_curve(P.Evaluation(spark, sf).points).select("threshold", "precision", "recall")
 
 
 @register("A9_pr_curve_plain", _PR_SQL)
 def q_a9p(spark, sf):
     """The same curve in 8 buckets."""
-    _, counts, _, _ = P.evaluation(spark, sf)
-    return ev.pr_curve(ev.curve_points(counts, n_buckets=8)).select("threshold", "precision", "recall")
+    return ev.pr_curve(ev.curve_points(P.Evaluation(spark, sf).counts, n_buckets=8)).select("threshold", "precision", "recall")
 
 
 @register(
@@ -781,8 +778,7 @@ def q_a9p(spark, sf):
     with_views("SELECT score AS threshold, CAST(cum_fp AS DOUBLE) / CAST(N AS DOUBLE) AS fpr, CAST(cum_tp AS DOUBLE) / CAST(P AS DOUBLE) AS tpr FROM curve", "curve"),
 )
 def q_a10(spark, sf):
-    _, _, pts, _ = P.evaluation(spark, sf)
-    return ev.roc_curve(pts)
+    return ev.roc_curve(P.Evaluation(spark, sf).points)
 
 
 _AP_SQL = "round(sum((CAST(tp AS DOUBLE) / CAST(P AS DOUBLE)) * (CAST(cum_tp AS DOUBLE) / CAST(cum_tp + cum_fp AS DOUBLE))), 9)"
@@ -791,26 +787,23 @@ _AUC_SQL = "round(CAST(sum(2 * tp * (N - cum_fp) + tp * fp) + max(U) AS DOUBLE)
 
 @register("A11_average_precision", with_views(f"SELECT {_AP_SQL} AS average_precision FROM curve", "curve"))
 def q_a11(spark, sf):
-    _, _, pts, _ = P.evaluation(spark, sf)
-    return ev.average_precision(pts)
+    return ev.average_precision(P.Evaluation(spark, sf).points)
 
 
 @register("A12_roc_auc", with_views(f"SELECT {_AUC_SQL} AS roc_auc FROM curve", "curve"))
 def q_a12(spark, sf):
-    _, _, pts, _ = P.evaluation(spark, sf)
-    return ev.roc_auc(pts)
+    return ev.roc_auc(P.Evaluation(spark, sf).points)
 
 
 @register("O1_best_threshold", with_views("SELECT * FROM best", "best"))
 def q_o1(spark, sf):
-    _, _, _, best = P.evaluation(spark, sf)
-    return best
+    return P.Evaluation(spark, sf).best
 
 
 @register("A7_confusion_matrix", with_views("SELECT * FROM cm", "cm"))
 def q_a7(spark, sf):
-    scored, _, _, best = P.evaluation(spark, sf)
-    return ev.confusion(scored, ev.threshold_of(best))
+    e = P.Evaluation(spark, sf)
+    return ev.confusion_of_counts(e.counts, e.threshold)
 
 
 def _report_sql() -> str:
@@ -859,8 +852,8 @@ add_view("matrix", _matrix_sql(), ["score_counts", "best"])
 
 @register("A13_threshold_matrix", with_views("SELECT * FROM matrix", "matrix"))
 def q_a13(spark, sf):
-    _, counts, _, best = P.evaluation(spark, sf)
-    return ev.threshold_matrix(counts, ev.threshold_of(best))
+    e = P.Evaluation(spark, sf)
+    return ev.threshold_matrix(e.counts, e.threshold)
 
 
 def _cohort_sql() -> str:
@@ -886,15 +879,14 @@ add_view("cohort_means", _cohort_sql(), ["cohorts"])
 
 @register("A14_cohort_means", with_views("SELECT * FROM cohort_means", "cohort_means"))
 def q_a14(spark, sf):
-    scored, _, _, best = P.evaluation(spark, sf)
-    return ev.cohort_means(scored, ev.threshold_of(best))
+    e = P.Evaluation(spark, sf)
+    return ev.cohort_means(e.scored, e.threshold)
 
 
 @register("F12_cohort_label", with_views("SELECT seq, cohort FROM cohorts", "cohorts"))
 def q_f12(spark, sf):
-    scored, _, _, best = P.evaluation(spark, sf)
-    t = ev.threshold_of(best)
-    return scored.select("seq", ev.cohort("score", "label", t).alias("cohort"))
+    e = P.Evaluation(spark, sf)
+    return e.scored.select("seq", ev.cohort("score", "label", e.threshold).alias("cohort"))
 
 
 @register(
@@ -902,8 +894,7 @@ def q_f12(spark, sf):
     with_views("SELECT min(score) AS min_probability, max(score) AS max_probability FROM test_scored", "test_scored"),
 )
 def q_a15(spark, sf):
-    scored, _, _, _ = P.evaluation(spark, sf)
-    return ev.score_range(scored)
+    return ev.score_range(P.Evaluation(spark, sf).scored)
 
 
 @register(
@@ -922,26 +913,15 @@ def q_a15(spark, sf):
 def q_m4(spark, sf):
     from fraudlake.operators.model import freeze_metadata_frame
 
-    scored, _, pts, best = P.evaluation(spark, sf)
-    return freeze_metadata_frame(scored, pts, best, score.model_version(score.SCORECARD_METADATA))
+    e = P.Evaluation(spark, sf)
+    return freeze_metadata_frame(e.counts, e.points, e.threshold, score.model_version(score.SCORECARD_METADATA))
 
 
 # baseline model: the scorecard without the fan-in feature
 _BASELINE_WEIGHTS = tuple((n, 0.0 if n == "fan_in_dest_count_24h" else w) for n, w in score.SCORECARD_WEIGHTS)
 add_view("test_scored_base", oracle_views.scored_test_sql(_BASELINE_WEIGHTS), ["labelled"])
-add_view(
-    "curve_base",
-    """WITH sc AS (SELECT score, CAST(sum(CASE WHEN label = 1 THEN 1 ELSE 0 END) AS BIGINT) AS tp,
-                          CAST(sum(CASE WHEN label = 1 THEN 0 ELSE 1 END) AS BIGINT) AS fp
-                   FROM test_scored_base GROUP BY score)
-       SELECT score, tp, fp,
-          CAST(sum(tp) OVER (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS cum_tp,
-          CAST(sum(fp) OVER (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS cum_fp,
-          (SELECT CAST(sum(tp) AS BIGINT) FROM sc) AS P, (SELECT CAST(sum(fp) AS BIGINT) FROM sc) AS N,
-          (SELECT coalesce(sum(tp * fp), 0) FROM sc WHERE score IS NULL) AS U
-       FROM sc WHERE score IS NOT NULL""",
-    ["test_scored_base"],
-)
+add_view("counts_base", oracle_views.counts_sql("test_scored_base"), ["test_scored_base"])
+add_view("curve_base", oracle_views.curve_sql("counts_base"), ["counts_base"])
 
 
 @register(
@@ -957,8 +937,7 @@ add_view(
 def q_m5(spark, sf):
     out = {}
     for name, w in (("enriched", score.SCORECARD_WEIGHTS), ("baseline", _BASELINE_WEIGHTS)):
-        _, _, pts, _ = P.evaluation(spark, sf, weights=w)
-        out[name] = ev.summary_metrics(pts)
+        out[name] = ev.summary_metrics(P.Evaluation(spark, sf, w).points)
     return ev.compare_models(out).select("model", "pr_auc", "roc_auc")
 
 
@@ -1235,5 +1214,4 @@ def q_m5g(spark, sf):
     checkpoint_root(spark)
     counts = ev.score_counts(scored).checkpoint(eager=True)
     gbt = ev.summary_metrics(ev.curve_points(counts))
-    _, _, pts, _ = P.evaluation(spark, sf)
-    return ev.compare_models({f"gbt-t{n_trees}": gbt, "scorecard": ev.summary_metrics(pts)}).select("model", "pr_auc", "roc_auc")
+    return ev.compare_models({f"gbt-t{n_trees}": gbt, "scorecard": ev.summary_metrics(P.Evaluation(spark, sf).points)}).select("model", "pr_auc", "roc_auc")

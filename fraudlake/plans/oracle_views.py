@@ -82,43 +82,56 @@ add_view(
 )
 
 
+add_view(
+    "valid_cut",
+    "SELECT quantile_cont(step, 0.8) AS valid_step FROM extract WHERE step <= (SELECT split_step FROM cut)",
+    ["extract", "cut"],
+)
+
+
 def scored_test_sql(weights=SCORECARD_WEIGHTS) -> str:
     return f"SELECT *, {scorecard_sql(weights)} AS score, is_fraud AS label FROM labelled WHERE split = 'test'"
 
 
-add_view("test_scored", scored_test_sql(), ["labelled"])
-add_view(
-    "score_counts",
-    """SELECT score, CAST(sum(CASE WHEN label = 1 THEN 1 ELSE 0 END) AS BIGINT) AS tp,
+def counts_sql(rows: str) -> str:
+    return f"""SELECT score, CAST(sum(CASE WHEN label = 1 THEN 1 ELSE 0 END) AS BIGINT) AS tp,
           CAST(sum(CASE WHEN label = 1 THEN 0 ELSE 1 END) AS BIGINT) AS fp
-       FROM test_scored GROUP BY score""",
-    ["test_scored"],
-)
-add_view(
-    "curve",
-    """SELECT score, tp, fp,
+       FROM {rows} GROUP BY score"""
+
+
+def curve_sql(counts: str) -> str:
+    return f"""SELECT score, tp, fp,
           CAST(sum(tp) OVER (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS cum_tp,
           CAST(sum(fp) OVER (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS cum_fp,
-          (SELECT CAST(sum(tp) AS BIGINT) FROM score_counts) AS P,
-          (SELECT CAST(sum(fp) AS BIGINT) FROM score_counts) AS N,
-          (SELECT coalesce(sum(tp * fp), 0) FROM score_counts WHERE score IS NULL) AS U
-       FROM score_counts WHERE score IS NOT NULL""",
-    ["score_counts"],
-)
-add_view(
-    "pr",
-    """SELECT score AS threshold,
+          (SELECT CAST(sum(tp) AS BIGINT) FROM {counts}) AS P,
+          (SELECT CAST(sum(fp) AS BIGINT) FROM {counts}) AS N,
+          (SELECT coalesce(sum(tp * fp), 0) FROM {counts} WHERE score IS NULL) AS U
+       FROM {counts} WHERE score IS NOT NULL"""
+
+
+PR_SQL = """SELECT score AS threshold,
           CAST(cum_tp AS DOUBLE) / CAST(cum_tp + cum_fp AS DOUBLE) AS precision,
           CAST(cum_tp AS DOUBLE) / CAST(P AS DOUBLE) AS recall, cum_tp, cum_fp
-       FROM curve""",
-    ["curve"],
+       FROM {}"""
+
+add_view("test_scored", scored_test_sql(), ["labelled"])
+add_view("score_counts", counts_sql("test_scored"), ["test_scored"])
+add_view("curve", curve_sql("score_counts"), ["score_counts"])
+add_view(
+    "valid_scored",
+    f"SELECT *, {scorecard_sql(SCORECARD_WEIGHTS)} AS score, is_fraud AS label FROM labelled WHERE split = 'train' AND step > (SELECT valid_step FROM valid_cut)",
+    ["labelled", "valid_cut"],
 )
+add_view("valid_counts", counts_sql("valid_scored"), ["valid_scored"])
+add_view("valid_curve", curve_sql("valid_counts"), ["valid_counts"])
+add_view("valid_pr", PR_SQL.format("valid_curve"), ["valid_curve"])
+add_view("pr", PR_SQL.format("curve"), ["curve"])
 add_view(
     "best",
     """SELECT threshold, precision, recall,
           (CAST(2 AS DOUBLE) * precision * recall) / (precision + recall + CAST(1e-10 AS DOUBLE)) AS f1
-       FROM pr ORDER BY f1 DESC, threshold ASC LIMIT 1""",
-    ["pr"],
+       FROM valid_pr ORDER BY f1 DESC, threshold ASC LIMIT 1""",
+    ["valid_pr"],
 )
 add_view(
     "cm",

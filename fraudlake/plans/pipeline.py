@@ -6,10 +6,13 @@ function returns a DataFrame plan, Catalyst prunes what a query does not use.
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame, SparkSession
 
 from fraudlake.functions import quality
 from fraudlake.operators import erasure
+from fraudlake.operators import evaluate as ev
 from fraudlake.operators.gold import gold as gold_projection
 from fraudlake.operators.silver import silver as silver_layer
 from pyspark.sql import functions as F
@@ -86,31 +89,56 @@ def labelled(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, float]:
     return with_split(ex, cut), cut
 
 
-def test_scored(spark: SparkSession, sf_dir: str, weights=None) -> DataFrame:
-    """Test split scored by the scorecard: columns ``score`` and ``label``."""
-    from pyspark.sql import functions as F
-
-    from fraudlake.operators.score import SCORECARD_WEIGHTS, scorecard_probability
-
-    lab, _ = labelled(spark, sf_dir)
-    test = lab.where(F.col("split") == "test")
-    return test.withColumns(
-        {"score": scorecard_probability(weights or SCORECARD_WEIGHTS), "label": F.col("is_fraud")}
-    )
-
-
-def evaluation(spark: SparkSession, sf_dir: str, scale_form: bool = True, weights=None):
-    """(scored test rows, per-score counts, curve points, best-threshold row)."""
-    from fraudlake.operators import evaluate as ev
-
-    scored = test_scored(spark, sf_dir, weights)
-    # one pass over the scored rows; cut points, class totals and the curve
-    # then read the small per-score aggregate from the shared checkpoint
-    checkpoint_root(spark)
-    counts = ev.score_counts(scored).checkpoint(eager=True)
-    points = ev.curve_points(counts, scale_form=scale_form)
-    best = ev.best_threshold(ev.pr_curve(points))
-    return scored, counts, points, best
+class Evaluation:
+    """The scorecard judged: the threshold comes from the validation slice (the end of the
+    training period), curves and statistics from the test window. Parts are built when asked for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, weights=None):
+        self.spark, self.sf_dir, self.weights = spark, sf_dir, weights
+
+    @cached_property
+    def judged(self) -> DataFrame:
+        """Scored rows of both parts: columns ``part``, ``score`` and ``label``."""
+        from fraudlake.operators.score import SCORECARD_WEIGHTS, scorecard_probability
+        from fraudlake.operators.split import nested_cuts
+
+        # the cuts are taken from Bronze's scorable rows, as in ``labelled``
+        steps = bronze(self.spark, self.sf_dir).where(F.col("type").isin(*SCORABLE_TYPES)).select("step")
+        cut, valid_cut = nested_cuts(steps)
+        part = F.when(F.col("step") > F.lit(cut), "test").otherwise("validation")
+        rows = extract(self.spark, self.sf_dir).where(F.col("step") > F.lit(valid_cut)).withColumn("part", part)
+        return rows.withColumns({"score": scorecard_probability(self.weights or SCORECARD_WEIGHTS), "label": F.col("is_fraud")})
+
+    @property
+    def scored(self) -> DataFrame:
+        """The test rows."""
+        return self.judged.where(F.col("part") == "test").drop("part")
+
+    @cached_property
+    def counts_by_part(self) -> DataFrame:
+        # one pass over the scored rows; all that follows reads the small per-score
+        # aggregate from the shared checkpoint
+        checkpoint_root(self.spark)
+        return ev.score_counts(self.judged, by=("part",)).checkpoint(eager=True)
+
+    def _counts(self, part: str) -> DataFrame:
+        return self.counts_by_part.where(F.col("part") == part).drop("part")
+
+    @property
+    def counts(self) -> DataFrame:
+        return self._counts("test")
+
+    @cached_property
+    def points(self) -> DataFrame:
+        return ev.curve_points(self.counts)
+
+    @cached_property
+    def best(self) -> DataFrame:
+        return ev.best_threshold(ev.pr_curve(ev.curve_points(self._counts("validation"))))
+
+    @cached_property
+    def threshold(self) -> float:
+        return ev.threshold_of(self.best)
 
 
 def metric_points(spark: SparkSession, sf_dir: str) -> DataFrame:

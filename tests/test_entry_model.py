@@ -100,6 +100,7 @@ def test_rows_without_a_score_are_missed_positives(spark):
 
     scored = spark.createDataFrame([(0.9, 1), (0.8, 0), (None, 1), (0.1, 0), (None, 0)], "score double, label int")
     cm = ev.confusion(scored, 0.5).first()
+    assert ev.confusion_of_counts(ev.score_counts(scored), 0.5).first() == cm
     assert (cm.tn, cm.fp, cm.fn, cm.tp) == (2, 1, 1, 1)
     pts = ev.curve_points(ev.score_counts(scored), n_buckets=2)
     assert {r.recall for r in ev.pr_curve(pts).collect()} == {0.5}
