@@ -158,3 +158,10 @@ def test_shards_of_one_id_keep_their_order(spark, word_tok, workdir):
     assert keys == sorted(keys) and len(got) == len(rows)
     starts = [r.start for r in got]
     assert starts == [0, *np.cumsum([r.n_tokens for r in got])[:-1].tolist()]
+
+
+def test_whole_texts_that_the_pattern_cannot_hold(byte_tok):
+    own = library_bytes(BYTE_BPE)
+    texts = [None, "", " " * 3_000_000 + "x", "a" * 300_000, "\n" * 400_000, "é日" * 100_000, "x<|endoftext|> y" * 3]
+    want = [byte_tok.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(x, "<u4").tolist() for x in own.encode(texts)] == want
