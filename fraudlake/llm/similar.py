@@ -1,7 +1,7 @@
 """Similarity join of texts on word shingles by chosen paths.
 
-A text's set holds the hashes of its runs of five words (lower case, letters and
-digits); texts with equal sets are copies and one class from the start. Classes
+A text's set holds the hashes of its runs of five words (lower case, letters, marks
+and digits; characters of scripts without spaces are words of their own); texts with equal sets are copies and one class from the start. Classes
 with Jaccard similarity of at least 0.8 are linked.
 
 Chosen paths: in every run each set walks down a tree; at a node it goes on to the
@@ -9,15 +9,16 @@ children of one or two sampled tokens (smallest token under a hash of the node's
 coordinate; 1 / similarity of them on average), so similar sets stay together with
 a known probability. Nodes of one set are dropped, nodes of few sets are leaves, the
 others are split again down to ``DEPTH``. Leaves are compared by brute force: first
-on 64-token sketches (a wide margin below the threshold), then exactly on the whole
-sets. Large leaves are compared in pairs of blocks, so no task holds a whole hot
+on 64-token sketches (so far below the threshold that a pair at it is lost with a
+chance of at most ``SKETCH_MISS``), then exactly on the whole sets. Large leaves are compared in pairs of blocks, so no task holds a whole hot
 group. A pair counts in the first leaf that holds it, so nothing is counted twice
 and no pair is ever written out: a leaf gives each set its number of partners and
 one link to a root of its group. Runs are repeated until the chance that a pair at
 the threshold meets at least once reaches the target recall.
 
 Cases: null texts and texts without a word have no shingles, link to nothing and are
-classes of their own; a text of one to four words has one shingle; repeated rows are
+classes of their own; a text of one to four words has one shingle; very long texts
+are read whole, their sets only where they have a likely partner; repeated rows are
 copies; a null doc_id comes after all others, so a class is named null only if it has
 no other; other columns are not read; an empty table gives no rows.
 """
@@ -32,12 +33,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fraudlake.llm.common import saved, shuffle_width, text_slices
-from fraudlake.llm.words import letter_table, mix, shingles, word_hashes, words_of
+from fraudlake.llm.words import letter_table, mix, shingles, spaced_words, word_hashes, words_of
 
 DEPTH = 2
 SMALL = 64  # sets of a node that is compared at once
 BLOCK_SETS, BLOCK_SHINGLES = 1024, 1_000_000
 COORDS = 64
+SKETCH_MISS = 1e-5
 
 
 def runs_for(recall: float, similarity: float) -> int:
@@ -50,8 +52,18 @@ def runs_for(recall: float, similarity: float) -> int:
     return math.ceil(math.log(1 - recall) / math.log(1 - meet))
 
 
+def sketch_floor(similarity: float) -> int:
+    """Equal sketch tokens below which a pair at ``similarity`` falls with a chance of at most ``SKETCH_MISS``."""
+    below = 0.0
+    for n in range(COORDS):
+        below += math.comb(COORDS, n) * similarity**n * (1 - similarity) ** (COORDS - n)
+        if below > SKETCH_MISS:
+            return n
+    return COORDS
+
+
 def _sets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    w = words_of(texts, letter_table(digits=True))
+    w = words_of(spaced_words(texts), letter_table(digits=True))
     return shingles(word_hashes(w), w.first)
 
 
@@ -241,7 +253,7 @@ def _square(n: int, left: np.ndarray, right: np.ndarray, mask: np.ndarray) -> np
 
 def _candidates(similarity: float, slots: int):
     """Sketch comparison: keeps the sets of a unit that have a likely partner, by family."""
-    floor = similarity - 3 * math.sqrt(similarity * (1 - similarity) / COORDS)
+    floor = sketch_floor(similarity)
     keys = ["key", "i", "j"]
 
     def task(batches):
@@ -262,7 +274,7 @@ def _candidates(similarity: float, slots: int):
                 for c in range(COORDS):
                     same += a[:, c][:, None] == b[:, c][None, :]
                 x, y = size[lo:hi][left], size[lo:hi][right]
-                ok = same >= floor * COORDS
+                ok = same >= floor
                 ok &= np.minimum.outer(x, y) >= similarity * np.maximum.outer(x, y) - 1e-9
                 if not ok.any():
                     continue

@@ -2,7 +2,11 @@
 
 A text is seen as UTF-8 bytes. Bytes fall into classes; a word is a maximal run
 of bytes of one word class inside one text. Every byte from 0x80 on counts as a
-letter, so letters of all scripts are kept (and so is non-ASCII punctuation).
+letter, so letters of all scripts are kept (and so is non-ASCII punctuation, unless
+``spaced_words`` has taken it out).
+
+Cases: a null or empty text has no words; very long texts are read whole, their words
+hashed in blocks of bytes; an empty column gives empty arrays.
 """
 
 from __future__ import annotations
@@ -58,6 +62,19 @@ def text_buffers(texts: pa.Array, lower: bool) -> tuple[np.ndarray, np.ndarray]:
     return raw, at - at[0]
 
 
+#: Scripts written without spaces between words.
+UNSPACED = r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}]\p{M}*"
+
+
+def spaced_words(texts: pa.Array) -> pa.Array:
+    """Texts with a space for non-ASCII runs of neither letters, marks nor digits, and around characters of ``UNSPACED``."""
+    col = texts.cast(pa.large_string()).fill_null("")
+    wide = pc.invert(pc.string_is_ascii(col))
+    some = pc.replace_substring_regex(col.filter(wide), r"[^\x00-\x7F\p{L}\p{M}\p{N}]+", " ")
+    some = pc.replace_substring_regex(some, f"({UNSPACED})", r" \1 ")
+    return pc.replace_with_mask(col, wide, some)
+
+
 def words_of(texts: pa.Array, table: np.ndarray, lower: bool = True) -> Words:
     data, at = text_buffers(texts, lower)
     kind = table[data]

@@ -88,6 +88,22 @@ def test_join_of_odd_rows(spark):
     assert similar.similar_documents(frame(spark, rows).limit(0)).collect() == []
 
 
+def test_words_of_other_scripts_and_marks(spark):
+    rng = np.random.default_rng(3)
+    words = [f"mot{i}é" for i in range(40)]
+    signs = "".join(chr(0x4E00 + int(i)) for i in rng.integers(0, 3000, 200))
+    rows = [(1, " ".join(words)), (2, "\u00a0".join(words)), (3, " — ".join(words)), (4, "“" + "” ".join(words))]
+    rows += [(5, signs), (6, signs[:150] + "。" + signs[150:]), (7, signs[:196] + "完全不同"), (8, signs[::-1])]
+    got = sorted(similar.similar_documents(frame(spark, [(d, t, None, None, None) for d, t in rows])).collect())
+    assert [(r.doc_id, r.class_id, r.links) for r in got] == [(i, 1, 3) for i in (1, 2, 3, 4)] + [(5, 5, 2), (6, 5, 2), (7, 5, 2), (8, 8, 0)]
+
+
+def test_sketches_rarely_lose_a_pair_at_the_threshold():
+    floor = similar.sketch_floor(0.8)
+    below = np.random.default_rng(0).binomial(similar.COORDS, 0.8, 1_000_000) < floor
+    assert below.mean() <= 3e-5 and 0 < floor < 0.8 * similar.COORDS
+
+
 def test_number_of_runs():
     assert similar.runs_for(0.999, 0.8) > similar.runs_for(0.9, 0.8) >= 1
 
@@ -254,6 +270,16 @@ def test_top_k_equals_brute_force(spark):
     assert got == slow_top_k(rows)
 
 
+def test_top_k_in_default_blocks_and_in_small_sides(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(x) for x in rng.integers(-3, 4, 6) / 4]) for i in range(3000)]  # many ties
+    want = slow_top_k(rows)
+    assert sorted(map(tuple, vector_search.top_k(vectors(spark, rows)).collect())) == want
+    monkeypatch.setattr(vector_search, "SIDE_BYTES", 8 * 6 * 700)
+    monkeypatch.setattr(vector_search, "CHUNK", 900)
+    assert sorted(map(tuple, vector_search.top_k(vectors(spark, rows)).collect())) == want
+
+
 def test_top_k_of_few_and_of_huge_numbers(spark):
     few = [(0, [1.0, 2.0]), (1, [1.0, 2.0]), (2, [1e12, -3.0])]
     assert sorted(map(tuple, vector_search.top_k(vectors(spark, few)).collect())) == slow_top_k(few)
