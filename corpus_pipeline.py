@@ -3,6 +3,11 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as
 Parquet and read again as the next stage's ``docs``. All stages but the last return
 the columns of ``documents`` for the documents they keep.
+
+Cases: a null or empty text has no letters and goes in the first stage; a stage run by
+itself treats it as its operator does; repeated rows are judged each for itself, and of those
+with words one stays among near duplicates; very long texts are read whole; columns not named
+by an operator are carried along; an empty table gives no rows at every stage.
 """
 
 from __future__ import annotations
