@@ -21,9 +21,13 @@ def write_gold(
 
     The whole mart is replaced: a type that is gone from the new data is gone from the
     mart. With ``keep_other_types`` only the partitions present in the new data are
-    replaced (a rebuild of some types).
+    replaced (a rebuild of some types). With ``by_step`` the rows of a folder are brought
+    together first, so there is about a file a folder, however many tasks there were;
+    Spark splits what is too large for one task.
     """
     guard_output(path, sources)
+    if by_step:
+        gold_df = gold_df.hint("rebalance", "type", "step")
     (
         gold_df.write.mode(mode)
         .option("partitionOverwriteMode", "dynamic" if keep_other_types else "static")

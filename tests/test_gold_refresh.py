@@ -41,3 +41,11 @@ def test_only_the_halo_is_read(spark, workdir):
     P.bronze(spark, SF_SMOKE).write.parquet(bronze_path)
     plan = halo(spark.read.parquet(bronze_path), [(200, 224)])._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(step,176)" in plan and "LessThanOrEqual(step,224)" in plan
+
+
+def test_a_folder_of_the_mart_has_a_file_or_two_however_many_tasks_wrote(spark, workdir):
+    path = os.path.join(workdir, "mart")
+    rows = spark.range(0, 6000, numPartitions=12).select(F.concat(F.lit("T"), (F.col("id") % 2).cast("string")).alias("type"), (F.col("id") % 30).cast("int").alias("step"), "id")
+    write_gold(rows, path, by_step=True)
+    files = [(d, f) for d, _, fs in os.walk(path) for f in fs if f.endswith(".parquet")]
+    assert spark.read.parquet(path).count() == 6000 and len({d for d, _ in files}) == 30 and len(files) <= 60
