@@ -45,7 +45,7 @@ def score_stream(
     thr = float(metadata["decision_threshold"])
     reasoned = quality.with_dq(txn)
     ok = (F.size("reasons") == 0) & F.col("type").isin(*SCORABLE_TYPES)
-    carry = [c for c in TXN_FIELDS if c not in ("step",)] + ["reasons"]
+    carry = [c for c in TXN_FIELDS if c not in ("step",)]
     bad = None
     if purges is not None and "bad" in purges.columns:
         purges, bad = purges.where(~F.col("bad")), purges.where(F.col("bad"))
@@ -54,7 +54,8 @@ def score_stream(
     # one stateful operator a query: purges, if wanted, pass through the same branch
     rows = stateful if control_rows else stateful.where(F.col("kind") == "txn").drop("purged")
     txn_rows = rows.drop("key")
-    txn_rows = txn_rows.withColumn("fan_in_count", F.col("fan_in_dest_count_24h"))
+    no_reasons = F.when(F.col("kind") == "txn", F.array().cast("array<string>"))  # the state gets accepted rows only
+    txn_rows = txn_rows.withColumns({"reasons": no_reasons, "fan_in_count": F.col("fan_in_dest_count_24h")})
     scored = scorer(scoring_features(txn_rows)).withColumn(
         "status",
         F.when(F.col("kind") == "purge", "gdpr_purge").when(F.col("fraud_probability").isNull(), "score_error").otherwise("scored"),

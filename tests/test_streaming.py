@@ -232,3 +232,36 @@ def test_vectorized_run_equals_row_by_row():
         a = _in_order_run(seg, dict(live), max_step, window, lateness, f1, 0)
         b = _row_by_row(seg, dict(live), max_step, window, lateness, f2, l2, 0)
         assert f1 == f2 and a == b and not any(l2)
+
+
+def _by_hand(rows, window=24, lateness=0):
+    """(fan-in, late, purged) by seq, one row at a time."""
+    live, tops, out = {}, {}, {}
+    for key, seq, kind, step in sorted(rows, key=lambda r: r[1]):
+        if kind == "purge":
+            out[seq] = (None, False, key in tops)
+            live.pop(key, None)
+            tops.pop(key, None)
+            continue
+        held, top = live.get(key, []), tops.get(key)
+        out[seq] = (sum(step - window <= s <= step for s in held), top is not None and step < top - window - lateness, False)
+        tops[key] = step if top is None else max(top, step)
+        live[key] = [s for s in [*held, step] if s >= tops[key] - window - lateness]
+    return out
+
+
+def test_keys_share_calls_and_state_rows_and_count_like_single_keys(spark, workdir):
+    # more keys than buckets; some keys out of order, some purged, one null, over three batches
+    rows = [(f"K{i % 2500}", i, "txn", (i // 2500) * 9 + (i * 7919) % 5) for i in range(7500)]
+    rows += [("M", 10_000 + i, "purge" if i % 23 == 11 else "txn", None if i % 23 == 11 else (i * 31) % 80 + i) for i in range(120)]
+    rows += [("S", 20_000 + i, "purge" if i == 30 else "txn", None if i == 30 else i) for i in range(90)] + [(None, 30_000 + i, "txn", i % 3) for i in range(9)]
+    src = os.path.join(workdir, "src")
+    for b in range(3):  # by arrival inside each key
+        part = [r for r in rows if (r[1] // 2500 if r[1] < 10_000 else r[1] % 10_000 // 40 if r[1] < 30_000 else r[1] % 10 // 3) == b]
+        spark.createDataFrame(part, CONTROL_SCHEMA).coalesce(1).write.mode("append").parquet(src)
+    stream = spark.readStream.schema(CONTROL_SCHEMA).option("maxFilesPerTrigger", 1).parquet(src)
+    q = _run_to_memory(fan_in_state(stream, lateness=3), "shared_calls", os.path.join(workdir, "ck"))
+    got = {r.seq: (r.fan_in_dest_count_24h, r.late, r.purged) for r in spark.table("shared_calls").collect()}
+    assert got == _by_hand(rows, lateness=3)
+    state_rows = [p.stateOperators[0].numRowsTotal for p in q.recentProgress if p.numInputRows]
+    assert len(state_rows) == 3 and state_rows[-1] <= 1024 < 2500
