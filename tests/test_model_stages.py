@@ -89,3 +89,19 @@ def test_no_rows_have_a_cut_and_a_threshold(spark):
     assert split.split_cut(none) == 0.0
     best = ev.best_threshold(ev.pr_curve(ev.curve_points(ev.score_counts(none))))
     assert ev.threshold_of(best) == 0.5 and ev.confusion(none, ev.threshold_of(best)).count() == 1
+
+
+def test_trees_are_the_same_with_and_without_cached_node_ids(spark, noisy, monkeypatch):
+    fit, _ = noisy
+    assert not M.gbt_pipeline().getStages()[-1].getCacheNodeIds()  # shallow trees: the cache costs more than the walk
+    plain = M.gbt_pipeline
+    trees = lambda: M.train_gbt(fit, 3, NAMES)[0].stages[-1].toDebugString.split("\n", 1)[1]
+
+    def cached(*args):
+        pipeline = plain(*args)
+        pipeline.getStages()[-1].setCacheNodeIds(True)
+        return pipeline
+
+    without = trees()
+    monkeypatch.setattr(M, "gbt_pipeline", cached)
+    assert without == trees()
