@@ -149,6 +149,15 @@ def erased_cells(table: DataFrame, requests: DataFrame, pepper: str | None = Non
     )
 
 
+def rows_and_cells(table: DataFrame, amap: DataFrame, id_columns=ID_COLUMNS) -> tuple[int, int]:
+    """(rows, cells holding an erased raw id) of a table with id columns, from one pass."""
+    cols = [c for c in id_columns if c in table.columns]
+    cells = table.select(F.explode(F.array(*[F.col(c) for c in cols])).alias("account_id"))
+    known = amap.select("account_id", F.lit(1).alias("_hit"))  # unique per account
+    found = cells.join(known, "account_id", "left").agg(F.count(F.lit(1)).alias("n"), F.count("_hit").alias("cells")).first()
+    return found["n"] // len(cols), found["cells"]
+
+
 def anonymize(table: DataFrame, amap: DataFrame, id_columns=ID_COLUMNS) -> DataFrame:
     """Project each erased raw id to its alias (columns that exist only).
 
@@ -169,7 +178,7 @@ def anonymize(table: DataFrame, amap: DataFrame, id_columns=ID_COLUMNS) -> DataF
 # --- crash-safe rewrite ----------------------------------------------------------------
 # Beside a table that is being rewritten lies ``<table>.__erase__`` with
 #   copy          the rewritten rows (all, or those of the partitions with hits)
-#   counts-<id>   cells replaced per account
+#   counts-<id>   cells replaced per account (and partition, where the table has them)
 #   intent        written in one step when copy and counts are complete and verified
 #   old           the table, once moved aside (tables without partitions)
 #   done-<id>     the counts of finished rewrites, kept until the caller has used them
@@ -180,7 +189,7 @@ def _job(path: str) -> str:
     return f"{path.rstrip('/')}.__erase__"
 
 
-def _staged_rewrite(spark: SparkSession, path: str, requests: DataFrame, amap: DataFrame, pepper, parts: list[str], on_step) -> bool:
+def _staged_rewrite(spark: SparkSession, path: str, amap: DataFrame, parts: list[str], on_step) -> bool:
     """Write and verify the rewritten copy and its intent; False where the table holds no requested id."""
     job, run = _job(path), uuid.uuid4().hex
     state = fingerprint(spark, path)
@@ -189,28 +198,25 @@ def _staged_rewrite(spark: SparkSession, path: str, requests: DataFrame, amap: D
     if not cols:
         return False
     counts_path = f"{job}/counts-{run}"
-    erased_cells(df, requests, pepper).select("account_id", F.col("cells").alias("_c")).where("_c > 0").write.parquet(counts_path)
+    hits = [F.col(c).alias(f"_hit_{c}") for c in parts]
+    found = df.select(F.explode(F.array(*[F.col(c) for c in cols])).alias("account_id"), *hits).join(amap.select("account_id"), "account_id", "left_semi")
+    found.groupBy("account_id", *[f"_hit_{c}" for c in parts]).agg(F.count(F.lit(1)).alias("_c")).write.parquet(counts_path)
     n_cells = spark.read.schema(_COUNTS).parquet(counts_path).agg(F.sum("_c")).first()[0] or 0
     if n_cells == 0:
         delete_path(spark, counts_path)
         return False
     scope = df
     if parts:
-        hit_parts = (
-            df.select(*parts, F.explode(F.array(*[F.col(c) for c in cols])).alias("account_id"))
-            .join(amap.select("account_id"), "account_id", "left_semi")
-            .select(*parts)
-            .distinct()
-        )
         # null-safe: rows may lack a partition value
         on = [df[c].eqNullSafe(F.col(f"_hit_{c}")) for c in parts]
-        scope = df.join(hit_parts.select(*[F.col(c).alias(f"_hit_{c}") for c in parts]), on, "left_semi")
-    expected = scope.count()
+        hit_parts = spark.read.parquet(counts_path).select(*[f"_hit_{c}" for c in parts]).distinct()
+        scope = df.join(hit_parts, on, "left_semi")
+    expected, in_scope = rows_and_cells(scope, amap)
     anonymize(scope, amap).write.mode("overwrite").parquet(f"{job}/copy")
-    staged = spark.read.schema(df.schema).parquet(f"{job}/copy")
-    if staged.count() != expected:
+    copied, left = rows_and_cells(spark.read.schema(df.schema).parquet(f"{job}/copy"), amap)
+    if copied != expected:
         raise RuntimeError(f"staging row count mismatch for {path}; table left unchanged")
-    if erased_cells(staged, requests, pepper).agg(F.sum("cells")).first()[0] or erased_cells(scope, requests, pepper).agg(F.sum("cells")).first()[0] != n_cells:
+    if left or in_scope != n_cells:
         raise RuntimeError(f"the staged copy for {path} does not replace every requested id; table left unchanged")
     if fingerprint(spark, path) != state:
         raise RuntimeError(f"{path} was written to during its rewrite; table left unchanged")
@@ -317,7 +323,7 @@ def erase_tables(
         if not path_exists(spark, path):
             raise FileNotFoundError(f"table {path} does not exist")
         step = partial(on_step, path)
-        if _staged_rewrite(spark, path, amap, amap, pepper, partition_cols.get(path, []), step):
+        if _staged_rewrite(spark, path, amap, partition_cols.get(path, []), step):
             _complete_rewrite(spark, path, step)
         done += [f"{_job(path)}/{n}" for n in list_names(spark, _job(path)) if n.startswith("done-")]
     out = amap.select("account_id", "account_alias", F.lit(0).cast("long").alias("rows_anonymized"))

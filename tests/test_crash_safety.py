@@ -176,3 +176,21 @@ def test_a_name_is_given_once(spark, workdir):
     p = os.path.join(workdir, "log", "1")
     assert create_if_absent(spark, p, "a") and not create_if_absent(spark, p, "b")
     assert read_text(spark, p) == "a" and list_names(spark, os.path.dirname(p)) == ["1"]
+
+
+def test_rows_and_cells_come_from_one_pass(spark, workdir, monkeypatch):
+    rows = [("C000000001", "C000000002", 1), ("C000000002", None, 2), (None, None, 3), ("C000000003", "C000000001", 4), ("C000000001", "C000000001", 5)]
+    table = spark.createDataFrame(rows, "name_orig string, name_dest string, n int")
+    amap = spark.createDataFrame([("C000000001", "x"), ("C000000009", "y")], "account_id string, account_alias string")
+    assert erasure.rows_and_cells(table, amap) == (5, 4) and erasure.rows_and_cells(table.limit(0), amap) == (0, 0)
+    asked = []
+    per_account = erasure.erased_cells
+    monkeypatch.setattr(erasure, "erased_cells", lambda *a, **k: asked.append(1) or per_account(*a, **k))
+    for parts in ([], ["n"]):
+        path = os.path.join(workdir, f"facts{len(parts)}")
+        (table.write.partitionBy(*parts) if parts else table.write).parquet(path)
+        done = erasure.erase_tables(spark, [path], amap, partition_cols={path: parts})
+        assert {(r.account_id, r.rows_anonymized) for r in done.collect()} == {("C000000001", 4), ("C000000009", 0)}
+        after = {tuple(r) for r in spark.read.parquet(path).select("name_orig", "name_dest", "n").collect()}
+        assert after == {tuple("x" if v == "C000000001" else v for v in r) for r in rows}
+    assert not asked  # the whole table is counted by account once, with its partitions
